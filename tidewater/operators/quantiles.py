@@ -12,7 +12,7 @@ map is the whole group.  Here the work is spread instead:
 4. the wanted positions ``p * (n - 1)`` (floor and ceil) are looked up by an
    equi-join on the group plus a range test on the prefix sum; each position
    matches exactly one distinct value;
-5. linear interpolation between the two values, as SQL ``percentile_cont``.
+5. linear interpolation ``lo * (1 - f) + hi * f``, as SQL ``percentile_cont``.
 """
 
 from __future__ import annotations
@@ -59,12 +59,13 @@ def exact_percentiles(
                                         F.struct(F.lit("hi").alias("_side"), F.col("_hi").alias("_pos")))).alias("_x")
     ).select(*group, "_q", "_x._side", "_x._pos")
 
-    t = broadcast_if_small(targets)
+    # targets descends from pref: rename its keys so the join is unambiguous
+    t = broadcast_if_small(targets.select(*[F.col(g).alias(f"_k_{i}") for i, g in enumerate(group)], "_q", "_side", "_pos"))
     found = pref.join(
         t,
-        [pref[g] == t[g] for g in group]
-        + [(t["_pos"] >= pref["_before"]) & (t["_pos"] < pref["_before"] + pref["_w"])],
-    ).select(*[t[g].alias(g) for g in group], "_q", "_side", pref[value].alias("_v"))
+        [F.col(g) == F.col(f"_k_{i}") for i, g in enumerate(group)]
+        + [(F.col("_pos") >= F.col("_before")) & (F.col("_pos") < F.col("_before") + F.col("_w"))],
+    ).select(*group, "_q", "_side", F.col(value).alias("_v"))
 
     picked = found.groupBy(*group, "_q").agg(
         F.max(F.when(F.col("_side") == "lo", F.col("_v"))).alias("_vlo"),
@@ -73,7 +74,7 @@ def exact_percentiles(
     interp = picked.join(wanted.select(*group, "_q", "_frac", "_n"), [*group, "_q"]).withColumn(
         "_val",
         F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(
-            F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
+            F.col("_vlo") * (F.lit(1.0) - F.col("_frac")) + F.col("_vhi") * F.col("_frac")
         ),
     )
     wide = interp.groupBy(*group).agg(

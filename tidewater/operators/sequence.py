@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 _LOW_BITS = (1 << 33) - 1
@@ -81,7 +82,8 @@ def weighted_prefix(
     """
     n = _partitions(df, num_partitions)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    out_schema = ranged.schema.add("_pid", "long").add("_cum", "long")
+    # StructType.add mutates, and DataFrame.schema is cached: build a copy.
+    out_schema = StructType(list(ranged.schema.fields)).add("_pid", "long").add("_cum", "long")
 
     def local_prefix(batches):
         from pyspark import TaskContext

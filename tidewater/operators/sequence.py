@@ -9,8 +9,9 @@ global order instead, using only:
    is spread over a third of the partitions;
 2. a sort inside each partition;
 3. the row's index inside its partition (``monotonically_increasing_id`` keeps
-   it in the low 33 bits), or a running sum of a weight column;
-4. per-partition totals -> offsets.  That table has one row per partition, a
+   it in the low 33 bits), or a running sum of a weight column, written once
+   to a parquet table in the shared checkpoint folder;
+4. per-partition totals of that table -> offsets.  That table has one row per partition, a
    bound set by configuration, so broadcasting it is safe.
 
 The callers then express ranks, quantiles and neighbour lookups as joins and
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from tidewater.session import scratch_path
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -45,6 +48,21 @@ def _offsets(totals: DataFrame, total_col: str) -> DataFrame:
     )
 
 
+def _materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh parquet table in the shared checkpoint folder
+    and read it back.
+
+    The in-partition indices come from the task's partition id and row order,
+    and ``repartitionByRange`` may draw its range bounds from a fresh sample
+    every time the plan is executed.  Writing the indexed rows once makes
+    every later branch (totals, joins, retries after a lost executor) see the
+    same positions, and cuts the lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def sequence_number(
     df: DataFrame,
     order: Sequence[str | Column],
@@ -57,49 +75,72 @@ def sequence_number(
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
     )
-    totals = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    out = ranged.join(_offsets(totals, "_n"), "_pid")
-    return out.withColumn(seq_col, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))).drop(
-        "_mid", "_pid", "_off"
+    indexed = _materialize(
+        ranged.select(
+            "*",
+            F.shiftright(F.col("_mid"), 33).alias("_pid"),
+            F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_loc"),
+        ).drop("_mid"),
+        "seq",
     )
+    totals = indexed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    out = indexed.join(_offsets(totals, "_n"), "_pid")
+    return out.withColumn(seq_col, F.col("_off") + F.col("_loc")).drop("_pid", "_loc", "_off")
 
 
 def weighted_prefix(
     df: DataFrame,
-    order: Sequence[str],
-    weight: str,
-    before_col: str = "cum_before",
+    order: Sequence[str | Column],
+    weight: str | Sequence[str],
+    before_col: str | Sequence[str] = "cum_before",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``before_col``: the sum of ``weight`` over all rows earlier in
-    ``order`` (an exclusive prefix sum over the whole table).
-
-    The running sum inside a partition is one vectorised ``cumsum`` per Arrow
-    batch; the partition totals come from a JVM aggregate over the same
-    exchange.
+    """Add, per weight column, the sum of that weight over all rows earlier
+    in ``order`` (an exclusive prefix sum over the whole table).  With a
+    weight of constant 1 this is the row's 0-based position.
+
+    The running sums inside a partition are vectorised ``cumsum`` calls per
+    Arrow batch; they are written once (``_materialize``), and the partition
+    totals are a JVM aggregate over that table.  Weights must be integral
+    (counts, cents).
     """
+    weights = [weight] if isinstance(weight, str) else list(weight)
+    outs = [before_col] if isinstance(before_col, str) else list(before_col)
     n = _partitions(df, num_partitions)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # StructType.add mutates, and DataFrame.schema is cached: build a copy.
-    out_schema = StructType(list(ranged.schema.fields)).add("_pid", "long").add("_cum", "long")
+    out_schema = StructType(list(ranged.schema.fields)).add("_pid", "long")
+    for i in range(len(weights)):
+        out_schema = out_schema.add(f"_cum{i}", "long")
 
     def local_prefix(batches):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        running = 0
+        running = [0] * len(weights)
         for pdf in batches:
-            cum = pdf[weight].astype("int64").cumsum() + running
-            if len(cum):
-                running = int(cum.iloc[-1])
-            pdf = pdf.assign(_pid=pid, _cum=cum - pdf[weight].astype("int64"))
-            yield pdf
-
-    local = ranged.mapInPandas(local_prefix, out_schema)
-    totals = ranged.withColumn("_pid", F.spark_partition_id().cast("long")).groupBy("_pid").agg(
-        F.sum(weight).cast("long").alias("_w")
+            extra = {"_pid": pid}
+            for i, w in enumerate(weights):
+                col = pdf[w].fillna(0).astype("int64")
+                cum = col.cumsum() + running[i]
+                if len(cum):
+                    running[i] = int(cum.iloc[-1])
+                extra[f"_cum{i}"] = cum - col
+            yield pdf.assign(**extra)
+
+    local = _materialize(ranged.mapInPandas(local_prefix, out_schema), "prefix")
+    totals = local.groupBy("_pid").agg(
+        *[F.coalesce(F.sum(w), F.lit(0)).cast("long").alias(f"_w{i}") for i, w in enumerate(weights)]
+    )
+    w_prev = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(
+        totals.select(
+            "_pid",
+            *[F.coalesce(F.sum(f"_w{i}").over(w_prev), F.lit(0)).cast("long").alias(f"_off{i}") for i in range(len(weights))],
+        )
     )
-    out = local.join(_offsets(totals, "_w"), "_pid")
-    return out.withColumn(before_col, F.col("_off") + F.col("_cum")).drop("_pid", "_cum", "_off")
+    out = local.join(offsets, "_pid")
+    for i, name in enumerate(outs):
+        out = out.withColumn(name, F.col(f"_off{i}") + F.col(f"_cum{i}"))
+    return out.drop("_pid", *[f"_cum{i}" for i in range(len(weights))], *[f"_off{i}" for i in range(len(weights))])

@@ -1,3 +1,353 @@
-"""Structured Streaming jobs."""
+"""Structured Streaming jobs over the replayed event log.
+
+Each job replays ``events`` into a landing folder in day slices
+(``feed.run_slices``), runs the streaming query on one checkpoint, and
+returns what the sink holds as a batch DataFrame.  Aggregations run in
+append mode, so only windows closed by the watermark are emitted; the oracle
+statements apply the same rule (window end at or before the final watermark,
+which is the latest event time minus the allowed delay).
+"""
 
 from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from tidewater.plans.catalog import job
+from tidewater.session import scratch_path
+from tidewater.sources.tables import Tables
+from tidewater.streaming.feed import day_slices, new_feed, run_slices, to_parquet
+
+# Fixed parameters of the stream jobs.
+DELAY = "1 hour"  # allowed lateness (watermark delay)
+DELAY_SQL = "INTERVAL 1 HOUR"
+SLICE_CUTS = ["2024-01-11", "2024-01-21"]  # the log arrives in three slices
+SESSION_GAP = "6 hours"
+SESSION_GAP_SQL = "INTERVAL 6 HOUR"
+SIGNUP_WINDOW = "2 hours"
+LATE_DAY = "2024-01-10"  # error events of this day arrive with the last slice
+LATE_TYPE = "error"
+
+_CLOSED = f"(SELECT max(ts) - {DELAY_SQL} FROM events)"
+
+
+def _ntz(c: str) -> F.Column:
+    return F.col(c).cast("timestamp_ntz")
+
+
+def _cents(c: str = "value") -> F.Column:
+    return F.col(c).cast("decimal(18,2)")
+
+
+def _replay(spark: SparkSession, sf_dir: str, name: str, build, output_mode: str = "append") -> DataFrame:
+    events = Tables(spark, sf_dir).events
+    feed = new_feed(spark, events, name)
+    out = scratch_path(spark, f"{name}-sink")
+    schema = run_slices(feed, events, day_slices("ts", SLICE_CUTS), to_parquet(out), build, output_mode, name)
+    return spark.read.schema(schema).parquet(out)
+
+
+# --------------------------------------------------------------------------
+# windowed aggregates
+# --------------------------------------------------------------------------
+
+
+def _daily(stream: DataFrame) -> DataFrame:
+    return (
+        stream.withWatermark("ts", DELAY)
+        .groupBy(F.window("ts", "1 day").alias("w"), "event_type")
+        .agg(F.count(F.lit(1)).alias("n_events"), F.sum(_cents()).alias("value_sum"))
+    )
+
+
+@job(
+    "stream_daily",
+    f"""
+    SELECT window_start, window_end, event_type, COUNT(*) AS n_events,
+           CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
+    FROM (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+                 CAST(date_trunc('day', ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end FROM events)
+    WHERE window_end <= {_CLOSED}
+    GROUP BY window_start, window_end, event_type
+    """,
+    group="streaming",
+)
+def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tumbling daily counts and sums per event type, watermark 1 hour."""
+    out = _replay(spark, sf_dir, "stream_daily", _daily)
+    return out.select(
+        _ntz("w.start").alias("window_start"), _ntz("w.end").alias("window_end"), "event_type",
+        "n_events", F.col("value_sum").cast("double").alias("value_sum"),
+    )
+
+
+@job(
+    "stream_sliding",
+    f"""
+    SELECT window_start, window_end, COUNT(*) AS n_events, COUNT(DISTINCT user_id) AS n_users
+    FROM (
+      SELECT user_id, CAST(s AS TIMESTAMP) AS window_start, CAST(s + INTERVAL 2 HOUR AS TIMESTAMP) AS window_end
+      FROM (SELECT user_id, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS s FROM events)
+    )
+    WHERE window_end <= {_CLOSED}
+    GROUP BY window_start, window_end
+    """,
+    group="streaming",
+)
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-hour windows sliding every hour: events and distinct users."""
+
+    def build(stream: DataFrame) -> DataFrame:
+        # exact distinct users per window: count the (window, user) pairs
+        # first, so the state holds one row per pair, not a set per window
+        return (
+            stream.withWatermark("ts", DELAY)
+            .groupBy(F.window("ts", "2 hours", "1 hour").alias("w"), "user_id")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+
+    pairs = _replay(spark, sf_dir, "stream_sliding", build)
+    return pairs.groupBy(_ntz("w.start").alias("window_start"), _ntz("w.end").alias("window_end")).agg(
+        F.sum("n").alias("n_events"), F.count(F.lit(1)).alias("n_users")
+    )
+
+
+@job(
+    "stream_sessions",
+    f"""
+    SELECT user_id, CAST(MIN(ts) AS TIMESTAMP) AS session_start,
+           CAST(MAX(ts) + {SESSION_GAP_SQL} AS TIMESTAMP) AS session_end, COUNT(*) AS n_events
+    FROM (
+      SELECT *, SUM(CASE WHEN prev IS NULL OR ts >= prev + {SESSION_GAP_SQL} THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid
+      FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)
+    )
+    GROUP BY user_id, sid
+    HAVING MAX(ts) + {SESSION_GAP_SQL} <= {_CLOSED}
+    """,
+    group="streaming",
+)
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-user sessions closed by six idle hours (``session_window``)."""
+
+    def build(stream: DataFrame) -> DataFrame:
+        return (
+            stream.withWatermark("ts", DELAY)
+            .groupBy(F.session_window("ts", SESSION_GAP).alias("s"), "user_id")
+            .agg(F.count(F.lit(1)).alias("n_events"))
+        )
+
+    out = _replay(spark, sf_dir, "stream_sessions", build)
+    return out.select("user_id", _ntz("s.start").alias("session_start"), _ntz("s.end").alias("session_end"), "n_events")
+
+
+@job(
+    "stream_dedup",
+    "SELECT event_id, user_id, ts, event_type FROM events",
+    group="streaming",
+)
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replayed events dropped with ``dropDuplicatesWithinWatermark``.
+
+    Each slice re-sends the last half hour of the previous one (an at-least-
+    once producer retrying); the duplicates are on time, so only the
+    deduplication state removes them."""
+    events = Tables(spark, sf_dir).events
+    feed = new_feed(spark, events, "stream_dedup")
+    out = scratch_path(spark, "stream_dedup-sink")
+    t = F.col("ts")
+    c1, c2 = (F.lit(c).cast("timestamp_ntz") for c in SLICE_CUTS)
+    overlap = F.expr("INTERVAL 30 MINUTES")
+    slices = [t < c1, (t >= c1 - overlap) & (t < c2), t >= c2 - overlap]
+
+    def build(stream: DataFrame) -> DataFrame:
+        return (
+            stream.withWatermark("ts", DELAY)
+            .dropDuplicatesWithinWatermark(["event_id"])
+            .select("event_id", "user_id", "ts", "event_type")
+        )
+
+    schema = run_slices(feed, events, slices, to_parquet(out), build, "append", "stream_dedup")
+    return spark.read.schema(schema).parquet(out).withColumn("ts", _ntz("ts"))
+
+
+@job(
+    "stream_signup_to_purchase",
+    f"""
+    SELECT s.user_id, s.event_id AS signup_id, s.ts AS signup_ts,
+           p.event_id AS purchase_id, p.ts AS purchase_ts
+    FROM events s JOIN events p
+      ON s.user_id = p.user_id AND s.event_type = 'signup' AND p.event_type = 'purchase'
+     AND p.ts >= s.ts AND p.ts <= s.ts + INTERVAL 2 HOUR
+    """,
+    group="streaming",
+)
+def stream_signup_to_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream-stream interval join; both sides watermarked, so join state is
+    dropped once a signup is older than the watermark plus two hours."""
+
+    def build(stream: DataFrame) -> DataFrame:
+        s = stream.filter(F.col("event_type") == "signup").select(
+            F.col("user_id").alias("s_user"), F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts")
+        ).withWatermark("signup_ts", DELAY)
+        p = stream.filter(F.col("event_type") == "purchase").select(
+            F.col("user_id").alias("p_user"), F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts")
+        ).withWatermark("purchase_ts", DELAY)
+        cond = (
+            (F.col("s_user") == F.col("p_user"))
+            & (F.col("purchase_ts") >= F.col("signup_ts"))
+            & (F.col("purchase_ts") <= F.col("signup_ts") + F.expr(f"INTERVAL {SIGNUP_WINDOW}"))
+        )
+        return s.join(p, cond, "inner")
+
+    out = _replay(spark, sf_dir, "stream_signup_to_purchase", build)
+    return out.select(
+        F.col("s_user").alias("user_id"), "signup_id", _ntz("signup_ts").alias("signup_ts"),
+        "purchase_id", _ntz("purchase_ts").alias("purchase_ts"),
+    )
+
+
+@job(
+    "stream_by_segment",
+    f"""
+    SELECT window_start, window_end, c_mktsegment, COUNT(*) AS n_events,
+           CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
+    FROM (SELECT e.*, c.c_mktsegment, CAST(date_trunc('day', e.ts) AS TIMESTAMP) AS window_start,
+                 CAST(date_trunc('day', e.ts) + INTERVAL 1 DAY AS TIMESTAMP) AS window_end
+          FROM events e JOIN customer c ON e.user_id = c.c_custkey)
+    WHERE window_end <= {_CLOSED}
+    GROUP BY window_start, window_end, c_mktsegment
+    """,
+    group="streaming",
+)
+def stream_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream-static join: events enriched with the customer's segment, then
+    daily windows per segment.  The static side is re-read per micro-batch,
+    pruned to two columns; the planner picks broadcast or shuffle by size."""
+    customer = Tables(spark, sf_dir).customer.select(F.col("c_custkey"), "c_mktsegment")
+
+    def build(stream: DataFrame) -> DataFrame:
+        return (
+            stream.join(customer, stream.user_id == customer.c_custkey)
+            .withWatermark("ts", DELAY)
+            .groupBy(F.window("ts", "1 day").alias("w"), "c_mktsegment")
+            .agg(F.count(F.lit(1)).alias("n_events"), F.sum(_cents()).alias("value_sum"))
+        )
+
+    out = _replay(spark, sf_dir, "stream_by_segment", build)
+    return out.select(
+        _ntz("w.start").alias("window_start"), _ntz("w.end").alias("window_end"), "c_mktsegment",
+        "n_events", F.col("value_sum").cast("double").alias("value_sum"),
+    )
+
+
+_TOTALS_SCHEMA = "user_id long, n_events long, value_cents long, first_ts timestamp, last_ts timestamp, n_purchases long"
+_STATE_SCHEMA = "n long, cents long, first long, last long, purchases long"
+
+
+def _user_totals(key, chunks, state):
+    """Running totals per user.  Rows arrive as Arrow chunks, so a user with
+    a huge batch is summed chunk by chunk; the state is five numbers."""
+    if state.exists:
+        n, cents, first, last, purchases = state.get
+    else:
+        n, cents, first, last, purchases = 0, 0, None, None, 0
+    for pdf in chunks:
+        micros = pdf["ts"].astype("int64") // 1000  # pandas ns -> micros
+        n += len(pdf)
+        cents += int(round((pdf["value"] * 100).round().sum()))
+        lo, hi = int(micros.min()), int(micros.max())
+        first = lo if first is None else min(first, lo)
+        last = hi if last is None else max(last, hi)
+        purchases += int((pdf["event_type"] == "purchase").sum())
+    state.update((n, cents, first, last, purchases))
+    yield pd.DataFrame(
+        {
+            "user_id": [key[0]],
+            "n_events": [n],
+            "value_cents": [cents],
+            "first_ts": [pd.Timestamp(first, unit="us")],
+            "last_ts": [pd.Timestamp(last, unit="us")],
+            "n_purchases": [purchases],
+        }
+    )
+
+
+@job(
+    "stream_user_totals",
+    """
+    SELECT user_id, COUNT(*) AS n_events,
+           CAST(SUM(CAST(value AS DECIMAL(18,2)) * 100) AS BIGINT) AS value_cents,
+           MIN(ts) AS first_ts, MAX(ts) AS last_ts,
+           COUNT(*) FILTER (WHERE event_type = 'purchase') AS n_purchases
+    FROM events GROUP BY user_id
+    """,
+    group="streaming",
+)
+def stream_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Custom per-user state with ``applyInPandasWithState``: each micro-batch
+    emits the updated running totals of the users it touched; the latest row
+    per user is the current state."""
+
+    def build(stream: DataFrame) -> DataFrame:
+        return stream.groupBy("user_id").applyInPandasWithState(
+            _user_totals, _TOTALS_SCHEMA, _STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        )
+
+    out = _replay(spark, sf_dir, "stream_user_totals", build)
+    latest = out.groupBy("user_id").agg(F.max_by(F.struct(*[c for c in out.columns if c != "user_id"]), "n_events").alias("s"))
+    return latest.select(
+        "user_id", "s.n_events", "s.value_cents", _ntz("s.first_ts").alias("first_ts"),
+        _ntz("s.last_ts").alias("last_ts"), "s.n_purchases",
+    )
+
+
+@job(
+    "stream_late_report",
+    f"""
+    SELECT window_start, event_type,
+           COUNT(*) FILTER (WHERE NOT late) AS n_stream,
+           COUNT(*) AS n_table,
+           COUNT(*) FILTER (WHERE late) AS n_late
+    FROM (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+                 (event_type = '{LATE_TYPE}' AND CAST(ts AS DATE) = DATE '{LATE_DAY}') AS late
+          FROM events)
+    WHERE window_start + INTERVAL 1 DAY <= {_CLOSED}
+    GROUP BY window_start, event_type
+    """,
+    group="streaming",
+)
+def stream_late_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed daily windows of the stream against the whole table.
+
+    The day's error events are held back and arrive with the last slice,
+    long after the watermark passed them, so the stream drops them; the report
+    shows, per window, what the stream counted, what the table holds and the
+    difference (rows lost as late)."""
+    events = Tables(spark, sf_dir).events
+    feed = new_feed(spark, events, "stream_late_report")
+    out = scratch_path(spark, "stream_late_report-sink")
+    late = (F.col("event_type") == LATE_TYPE) & (F.to_date("ts") == F.lit(LATE_DAY).cast("date"))
+    s1, s2, s3 = day_slices("ts", SLICE_CUTS)
+    slices = [s1 & ~late, s2 & ~late, s3 | late]
+    schema = run_slices(feed, events, slices, to_parquet(out), _daily, "append", "stream_late_report")
+    streamed = spark.read.schema(schema).parquet(out).select(
+        _ntz("w.start").alias("window_start"), "event_type", F.col("n_events").alias("n_stream")
+    )
+    # closed = window end at or before the final watermark (one scalar)
+    cutoff = events.agg((F.max("ts") - F.expr(f"INTERVAL {DELAY}")).alias("c")).first()["c"]
+    table = (
+        events.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "event_type")
+        .agg(F.count(F.lit(1)).alias("n_table"))
+        .filter(F.col("window_start") + F.expr("INTERVAL 1 DAY") <= F.lit(cutoff))
+    )
+    # a window whose rows were all late has no stream row at all
+    return table.join(streamed, ["window_start", "event_type"], "left").select(
+        "window_start",
+        "event_type",
+        F.coalesce("n_stream", F.lit(0)).alias("n_stream"),
+        "n_table",
+        (F.col("n_table") - F.coalesce("n_stream", F.lit(0))).alias("n_late"),
+    )

@@ -1,3 +1,416 @@
-"""Jobs: documents."""
+"""Document preparation: duplicates, repeated lines, personal data, licence
+lines, quality rules and a quality classifier, decontamination against the
+benchmark, and a language-balanced sample.
+
+Every job reads whole texts; tokens, n-grams and signatures are SQL
+expressions over arrays, evaluated inside generated code.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.functions import patterns as P
+from tidewater.functions.text import minhash, signature_agreement, tokens, with_ngrams
+from tidewater.operators.graph import connected_components
+from tidewater.operators.joins import broadcast_if_small
+from tidewater.plans.catalog import job
+from tidewater.session import scratch_path
+from tidewater.sources.tables import Tables
+
+_TOKENS_SQL = r"list_filter(regexp_split_to_array(lower({c}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+
+
+def _sql_tokens(c: str) -> str:
+    return _TOKENS_SQL.format(c=c)
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+# --------------------------------------------------------------------------
+# exact duplicates and repeated lines
+# --------------------------------------------------------------------------
+
+
+@job(
+    "exact_duplicates",
+    """
+    SELECT sha256(text) AS content_hash, MIN(doc_id) AS keep_doc_id, COUNT(*) AS n_docs
+    FROM documents GROUP BY sha256(text) HAVING COUNT(*) > 1
+    """,
+    group="documents",
+)
+def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of identical texts and the id kept for each (the smallest).
+    A partial aggregate per content hash: a group holding a third of the
+    corpus is combined map-side, never gathered."""
+    d = Tables(spark, sf_dir).documents
+    return (
+        d.groupBy(F.sha2("text", 256).alias("content_hash"))
+        .agg(F.min("doc_id").alias("keep_doc_id"), F.count(F.lit(1)).alias("n_docs"))
+        .filter(F.col("n_docs") > 1)
+    )
+
+
+@job(
+    "repeated_lines",
+    """
+    SELECT line, COUNT(DISTINCT doc_id) AS n_docs
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+    WHERE length(line) > 20
+    GROUP BY line HAVING COUNT(DISTINCT doc_id) >= 3
+    """,
+    group="documents",
+)
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines longer than 20 characters found in three or more documents
+    (boilerplate candidates)."""
+    d = Tables(spark, sf_dir).documents
+    lines = d.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 20)
+    return lines.groupBy("line").agg(F.countDistinct("doc_id").alias("n_docs")).filter(F.col("n_docs") >= 3)
+
+
+@job(
+    "label_profile",
+    """
+    SELECT d.lang, l.quality, COUNT(*) AS n_docs, CAST(SUM(l.toxic) AS BIGINT) AS n_toxic,
+           CAST(SUM(d.n_chars) AS BIGINT) AS total_chars
+    FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+    GROUP BY d.lang, l.quality
+    """,
+    group="documents",
+)
+def label_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    d = t.documents.select("doc_id", "lang", "n_chars")
+    return (
+        d.join(t.labels, "doc_id")
+        .groupBy("lang", "quality")
+        .agg(
+            F.count(F.lit(1)).alias("n_docs"),
+            F.sum("toxic").cast("bigint").alias("n_toxic"),
+            F.sum("n_chars").cast("bigint").alias("total_chars"),
+        )
+    )
+
+
+# --------------------------------------------------------------------------
+# personal data and licence lines
+# --------------------------------------------------------------------------
+
+
+def _redaction_sql() -> str:
+    cur = "text"
+    counts = []
+    for kind, pattern, repl in P.REDACTIONS:
+        counts.append(f"CAST(len(regexp_extract_all({cur}, {_sql_str(pattern)})) AS BIGINT) AS n_{kind}")
+        cur = f"regexp_replace({cur}, {_sql_str(pattern)}, {_sql_str(repl)}, 'g')"
+    return f"SELECT doc_id, {', '.join(counts)}, {cur} AS redacted FROM documents"
+
+
+def redact_df(docs: DataFrame) -> DataFrame:
+    out = docs.select("doc_id", F.col("text").alias("_r"))
+    for kind, pattern, repl in P.REDACTIONS:
+        out = out.withColumn(f"n_{kind}", F.regexp_count("_r", F.lit(pattern)).cast("bigint")).withColumn(
+            "_r", F.regexp_replace("_r", pattern, repl)
+        )
+    return out.withColumnRenamed("_r", "redacted")
+
+
+@job("redact_personal_data", _redaction_sql(), group="documents")
+def redact_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mask secrets, e-mail addresses, card numbers, phone numbers and IPv4
+    addresses (in that order) and count each kind per document."""
+    return redact_df(Tables(spark, sf_dir).documents)
+
+
+@job(
+    "license_lines",
+    f"""
+    SELECT doc_id, line_no, line FROM (
+      SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+             unnest(range(len(string_split(text, chr(10))))) AS line_no
+      FROM documents)
+    WHERE regexp_matches(line, {_sql_str(P.LICENSE_LINE)})
+    """,
+    group="documents",
+)
+def license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Tables(spark, sf_dir).documents
+    lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.filter(F.col("line").rlike(P.LICENSE_LINE)).select(
+        "doc_id", F.col("line_no").cast("bigint").alias("line_no"), "line"
+    )
+
+
+# --------------------------------------------------------------------------
+# tokens
+# --------------------------------------------------------------------------
+
+
+@job(
+    "frequent_tokens",
+    f"""
+    SELECT token, COUNT(*) AS n
+    FROM (SELECT unnest({_sql_tokens('text')}) AS token FROM documents)
+    GROUP BY token ORDER BY n DESC, token LIMIT 20
+    """,
+    group="documents",
+)
+def frequent_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 most frequent tokens of the corpus (a top-k report).  Counts
+    are combined map-side, so even 'the' ships one row per task."""
+    d = Tables(spark, sf_dir).documents
+    return (
+        d.select(F.explode(tokens("text")).alias("token"))
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.col("n").desc(), F.col("token"))
+        .limit(20)
+    )
+
+
+# --------------------------------------------------------------------------
+# quality rules
+# --------------------------------------------------------------------------
+
+
+def _stop_map():
+    return F.create_map(
+        *[x for lang, words in P.STOP_WORDS.items() for x in (F.lit(lang), F.array(*[F.lit(w) for w in words]))]
+    )
+
+
+def quality_rules_df(docs: DataFrame) -> DataFrame:
+    t = docs.select("doc_id", "lang", "text", tokens("text").alias("_t"), F.split("text", "\n").alias("_lines"))
+    n = F.size("_t")
+    word_chars = F.aggregate(F.transform("_t", lambda x: F.length(x)), F.lit(0).cast("long"), lambda a, x: a + x)
+    stop = F.coalesce(_stop_map()[F.col("lang")], F.array().cast("array<string>"))
+    sig = t.select(
+        "doc_id",
+        "lang",
+        n.cast("bigint").alias("n_words"),
+        F.when(n > 0, word_chars.cast("double") / n.cast("double")).alias("mean_word_len"),
+        F.when(n > 0, F.regexp_count("text", F.lit(P.SYMBOLS)).cast("double") / n.cast("double")).alias("symbol_ratio"),
+        (F.lit(1.0) - F.size(F.array_distinct("_lines")).cast("double") / F.size("_lines").cast("double")).alias(
+            "dup_line_frac"
+        ),
+        F.size(F.filter("_t", lambda x: F.array_contains(stop, x))).cast("bigint").alias("n_stop"),
+    )
+    reason = (
+        F.when(F.col("n_words") < P.MIN_WORDS, "too_short")
+        .when(F.col("n_words") > P.MAX_WORDS, "too_long")
+        .when(
+            (F.col("mean_word_len") < P.MIN_MEAN_WORD_LEN) | (F.col("mean_word_len") > P.MAX_MEAN_WORD_LEN), "word_length"
+        )
+        .when(F.col("symbol_ratio") > P.MAX_SYMBOL_RATIO, "symbols")
+        .when(F.col("dup_line_frac") > P.MAX_DUP_LINE_FRACTION, "repetition")
+        .when(F.col("n_stop") < P.MIN_STOP_WORDS, "no_stop_words")
+    )
+    return sig.withColumn("reason", reason).withColumn("keep", F.col("reason").isNull())
+
+
+def _quality_sql() -> str:
+    stop_cases = " ".join(
+        f"WHEN '{lang}' THEN [{', '.join(_sql_str(w) for w in words)}]" for lang, words in P.STOP_WORDS.items()
+    )
+    return f"""
+    SELECT doc_id, lang, n_words, mean_word_len, symbol_ratio, dup_line_frac, n_stop, reason, reason IS NULL AS keep
+    FROM (
+      SELECT *, CASE
+          WHEN n_words < {P.MIN_WORDS} THEN 'too_short'
+          WHEN n_words > {P.MAX_WORDS} THEN 'too_long'
+          WHEN mean_word_len < {P.MIN_MEAN_WORD_LEN} OR mean_word_len > {P.MAX_MEAN_WORD_LEN} THEN 'word_length'
+          WHEN symbol_ratio > {P.MAX_SYMBOL_RATIO} THEN 'symbols'
+          WHEN dup_line_frac > {P.MAX_DUP_LINE_FRACTION} THEN 'repetition'
+          WHEN n_stop < {P.MIN_STOP_WORDS} THEN 'no_stop_words'
+        END AS reason
+      FROM (
+        SELECT doc_id, lang,
+               CAST(len(t) AS BIGINT) AS n_words,
+               CASE WHEN len(t) > 0 THEN CAST(list_sum(list_transform(t, lambda x: length(x))) AS DOUBLE) / CAST(len(t) AS DOUBLE) END AS mean_word_len,
+               CASE WHEN len(t) > 0 THEN CAST(len(regexp_extract_all(text, {_sql_str(P.SYMBOLS)})) AS DOUBLE) / CAST(len(t) AS DOUBLE) END AS symbol_ratio,
+               1.0 - CAST(len(list_distinct(lines)) AS DOUBLE) / CAST(len(lines) AS DOUBLE) AS dup_line_frac,
+               CAST(len(list_filter(t, lambda x: list_contains(COALESCE(CASE lang {stop_cases} END, []), x))) AS BIGINT) AS n_stop
+        FROM (SELECT doc_id, lang, text, {_sql_tokens('text')} AS t, string_split(text, chr(10)) AS lines FROM documents)
+      )
+    )
+    """
+
+
+@job("quality_rules", _quality_sql(), group="documents")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heuristic quality signals per document and the first rule it fails
+    (length, word length, symbols, repeated lines, stop words)."""
+    return quality_rules_df(Tables(spark, sf_dir).documents)
+
+
+@job(
+    "quality_vs_labels",
+    f"""
+    SELECT q.keep, l.quality, COUNT(*) AS n_docs
+    FROM ({_quality_sql()}) q JOIN labels l ON q.doc_id = l.doc_id
+    GROUP BY q.keep, l.quality
+    """,
+    group="documents",
+)
+def quality_vs_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the rules' keep/drop decision lines up with the human labels."""
+    t = Tables(spark, sf_dir)
+    q = quality_rules_df(t.documents).select("doc_id", "keep")
+    return q.join(t.labels, "doc_id").groupBy("keep", "quality").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+@job("quality_classifier", group="documents")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train a logistic regression on the labelled documents (hashed term
+    frequencies, IDF weights) and score every document.  Fitting is a few
+    distributed passes (IDF counts, then L-BFGS tree aggregates); scoring is
+    map-only."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+    from pyspark.ml.functions import vector_to_array
+
+    t = Tables(spark, sf_dir)
+    docs = t.documents.select("doc_id", "text")
+    train = docs.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    pipe = Pipeline(
+        stages=[
+            RegexTokenizer(inputCol="text", outputCol="words", pattern=P.TOKEN_SPLIT, toLowercase=True),
+            HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 18),
+            IDF(inputCol="tf", outputCol="features", minDocFreq=2),
+            LogisticRegression(maxIter=50, regParam=0.01, elasticNetParam=0.0),
+        ]
+    )
+    model = pipe.fit(train)
+    scored = model.transform(docs)
+    return scored.select(
+        "doc_id",
+        vector_to_array("probability")[1].alias("p_good"),
+        F.col("prediction").cast("int").alias("predicted_quality"),
+    )
+
+
+# --------------------------------------------------------------------------
+# sampling
+# --------------------------------------------------------------------------
+
+
+@job("language_mix_sample", group="documents")
+def language_mix_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep a fixed share of each language, chosen by a hash of the id, so
+    the sample is the same on every run and for every partitioning."""
+    rates = F.create_map(*[x for lang, r in P.LANGUAGE_RATES.items() for x in (F.lit(lang), F.lit(float(r)))])
+    d = Tables(spark, sf_dir).documents.select("doc_id", "lang", "n_chars")
+    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(P.SAMPLE_SEED)), F.lit(1_000_000)).cast("double") / 1_000_000.0
+    return d.filter(u < F.coalesce(rates[F.col("lang")], F.lit(0.0)))
+
+
+# --------------------------------------------------------------------------
+# decontamination
+# --------------------------------------------------------------------------
+
+
+def decontaminate_df(docs: DataFrame, bench: DataFrame, n: int = P.DECONTAMINATION_NGRAM) -> DataFrame:
+    grams = (
+        with_ngrams(bench.select("item_id", "text"), "text", n, "_g")
+        .select("item_id", F.explode("_g").alias("gram"))
+        .distinct()
+    )
+    # The benchmark is an evaluation set; its n-grams are broadcast only if
+    # the count check passes, else this becomes a shuffle join on the n-gram.
+    grams = broadcast_if_small(grams)
+    doc_grams = with_ngrams(docs.select("doc_id", "text"), "text", n, "_g").select(
+        "doc_id", F.explode("_g").alias("gram")
+    )
+    hits = doc_grams.join(grams, "gram")
+    return hits.groupBy("doc_id", "item_id").agg(F.countDistinct("gram").alias("n_shared"))
+
+
+@job(
+    "decontaminate",
+    f"""
+    WITH bt AS (SELECT item_id, {_sql_tokens('text')} AS t FROM benchmark),
+    bg AS (SELECT DISTINCT item_id, array_to_string(t[i:i + {P.DECONTAMINATION_NGRAM - 1}], ' ') AS gram
+           FROM bt, range(1, len(t) - {P.DECONTAMINATION_NGRAM - 2}) r(i)),
+    dt AS (SELECT doc_id, {_sql_tokens('text')} AS t FROM documents),
+    dg AS (SELECT doc_id, array_to_string(t[i:i + {P.DECONTAMINATION_NGRAM - 1}], ' ') AS gram
+           FROM dt, range(1, len(t) - {P.DECONTAMINATION_NGRAM - 2}) r(i))
+    SELECT dg.doc_id, bg.item_id, COUNT(DISTINCT dg.gram) AS n_shared
+    FROM dg JOIN bg ON dg.gram = bg.gram GROUP BY dg.doc_id, bg.item_id
+    """,
+    group="documents",
+)
+def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents sharing a 13-word n-gram with a benchmark item, with the
+    number of shared n-grams.  Document n-grams are generated and probed in
+    one pipelined stage (generate -> hash join); only matches are shuffled."""
+    t = Tables(spark, sf_dir)
+    return decontaminate_df(t.documents, t.benchmark)
+
+
+# --------------------------------------------------------------------------
+# near duplicates
+# --------------------------------------------------------------------------
+
+
+def near_duplicates_df(
+    docs: DataFrame,
+    bands: int = P.MINHASH_BANDS,
+    rows: int = P.MINHASH_ROWS,
+    threshold: float = P.NEAR_DUP_JACCARD,
+) -> DataFrame:
+    """Clusters of documents whose word 5-gram sets have Jaccard similarity
+    of at least ``threshold`` (MinHash LSH).
+
+    1. per document: shingle hashes and a MinHash signature (array SQL);
+    2. band keys: ``bands`` hashes of ``rows`` signature values each;
+    3. each band bucket links its members to the bucket's smallest id -- a
+       star, so a bucket of m documents gives m - 1 edges, never m^2 pairs;
+    4. an edge is kept if the two signatures agree on at least
+       ``threshold`` of their positions (estimated Jaccard);
+    5. connected components over the kept edges.
+    """
+    spark = docs.sparkSession
+    k = max(P.MINHASH_VERIFY, bands * rows)
+    grams = with_ngrams(docs.select("doc_id", "text"), "text", P.SHINGLE_WORDS, "_g", tokens_col="_t")
+    # a text shorter than the shingle is one shingle: its whole token list
+    shingles = F.when(F.size("_t") >= P.SHINGLE_WORDS, F.col("_g")).otherwise(F.array(F.concat_ws(" ", "_t")))
+    hashes = F.array_distinct(F.transform(shingles, lambda g: F.xxhash64(g).bitwiseAND(F.lit(P.MERSENNE_31))))
+    sig = grams.select("doc_id", minhash(hashes, k).alias("sig"))
+    path = scratch_path(spark, "minhash")
+    sig.write.parquet(path)
+    sig = spark.read.parquet(path)
+
+    keyed = sig.select(
+        "doc_id",
+        F.posexplode(
+            F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(F.slice("sig", b * rows + 1, rows)))
+        ).alias("band", "bucket"),
+    )
+    heads = keyed.groupBy("band", "bucket").agg(F.min("doc_id").alias("head"))
+    star = (
+        keyed.join(heads, ["band", "bucket"])
+        .filter(F.col("doc_id") != F.col("head"))
+        .select(F.col("doc_id").alias("src"), F.col("head").alias("dst"))
+        .distinct()
+    )
+    a = sig.select(F.col("doc_id").alias("src"), F.col("sig").alias("sa"))
+    b = sig.select(F.col("doc_id").alias("dst"), F.col("sig").alias("sb"))
+    edges = (
+        star.join(a, "src")
+        .join(b, "dst")
+        .filter(signature_agreement(F.col("sa"), F.col("sb")) >= F.lit(threshold))
+        .select("src", "dst")
+    )
+    comps = connected_components(edges)
+    return comps.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster_id"))
+
+
+@job("near_duplicates", group="documents")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates_df(Tables(spark, sf_dir).documents)

@@ -1,3 +1,120 @@
-"""Jobs: pages."""
+"""Web pages: title, links and main text; hosts and canonical URLs.
+
+Extraction is a chain of built-in regex functions over the whole page (no
+HTML parser library, no Python worker).
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.functions import patterns as P
+from tidewater.plans.catalog import job
+from tidewater.sources.tables import Tables
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _main_text_steps():
+    """(pattern, replacement) steps turning a page into its main text."""
+    steps = [(P.BOILERPLATE_BLOCKS, " "), (P.COMMENT, " "), (P.AD_BLOCK, " "), (P.TITLE, " "), (P.TAG, " ")]
+    steps += [(ent, ch) for ent, ch in P.ENTITIES]
+    steps += [(r"\s+", " "), (r"^ | $", "")]
+    return steps
+
+
+def _main_text_sql(col: str) -> str:
+    cur = col
+    for pat, rep in _main_text_steps():
+        cur = f"regexp_replace({cur}, {_q(pat)}, {_q(rep)}, 'g')"
+    return cur
+
+
+def main_text(col: str) -> F.Column:
+    c = F.col(col)
+    for pat, rep in _main_text_steps():
+        if pat.startswith("&"):
+            c = F.replace(c, F.lit(pat), F.lit(rep))
+        else:
+            c = F.regexp_replace(c, pat, rep)
+    return c
+
+
+@job(
+    "page_text",
+    f"""
+    SELECT page_id,
+           regexp_extract(html, {_q(P.TITLE)}, 1) AS title,
+           CAST(len(regexp_extract_all(html, {_q(P.LINK)}, 1)) AS BIGINT) AS n_links,
+           {_main_text_sql('html')} AS main_text
+    FROM pages
+    """,
+    group="pages",
+)
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, number of links, and the main text with navigation, headers,
+    footers, scripts, styles, comments and ad blocks removed."""
+    pages = Tables(spark, sf_dir).pages
+    return pages.select(
+        "page_id",
+        F.regexp_extract("html", P.TITLE, 1).alias("title"),
+        F.size(F.regexp_extract_all("html", F.lit(P.LINK), F.lit(1))).cast("bigint").alias("n_links"),
+        main_text("html").alias("main_text"),
+    )
+
+
+@job(
+    "url_hosts",
+    f"""
+    SELECT regexp_extract(url, {_q(P.URL_HOST)}, 1) AS host, COUNT(*) AS n_pages
+    FROM pages GROUP BY 1
+    """,
+    group="pages",
+)
+def url_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        Tables(spark, sf_dir)
+        .pages.groupBy(F.regexp_extract("url", P.URL_HOST, 1).alias("host"))
+        .agg(F.count(F.lit(1)).alias("n_pages"))
+    )
+
+
+_CANON_STEPS = [
+    (r"^[a-z][a-z0-9+.-]*://", ""),
+    (r"^(www|m)\.", ""),
+    (r"#.*$", ""),
+    (P.TRACKING_PARAM, ""),
+    (r"[?&]$", ""),
+    (r"/$", ""),
+]
+
+
+def _canon_sql() -> str:
+    cur = "lower(url)"
+    for pat, rep in _CANON_STEPS:
+        cur = f"regexp_replace({cur}, {_q(pat)}, {_q(rep)}, 'g')"
+    return cur
+
+
+@job(
+    "canonical_urls",
+    f"""
+    SELECT {_canon_sql()} AS canonical_url, COUNT(*) AS n_pages, MIN(page_id) AS keep_page_id
+    FROM pages GROUP BY 1
+    """,
+    group="pages",
+)
+def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised URLs (scheme, www/m prefix, fragment, tracking parameters
+    and trailing slash removed) with the pages sharing each one."""
+    c = F.lower("url")
+    for pat, rep in _CANON_STEPS:
+        c = F.regexp_replace(c, pat, rep)
+    return (
+        Tables(spark, sf_dir)
+        .pages.groupBy(c.alias("canonical_url"))
+        .agg(F.count(F.lit(1)).alias("n_pages"), F.min("page_id").alias("keep_page_id"))
+    )

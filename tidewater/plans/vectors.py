@@ -1,3 +1,62 @@
-"""Jobs: vectors."""
+"""Embeddings: per-label centroids and similar pairs."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.plans.catalog import job
+from tidewater.sources.tables import Tables
+
+SIMILAR_COSINE = 0.45
+LSH_BUCKET_LENGTH = 0.25
+LSH_TABLES = 12
+LSH_SEED = 11
+
+
+@job(
+    "label_centroids",
+    """
+    SELECT label, CAST(i - 1 AS BIGINT) AS dim, round(avg(CAST(embedding[i] AS DOUBLE)), 6) AS mean, COUNT(*) AS n
+    FROM embeddings, range(1, 65) r(i)
+    GROUP BY label, i
+    """,
+    group="vectors",
+)
+def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean vector per label, one row per (label, dimension): a partial
+    aggregate per (label, dim), so a label with most vectors is combined
+    map-side."""
+    e = Tables(spark, sf_dir).embeddings
+    x = e.select("label", F.posexplode("embedding").alias("dim", "x"))
+    return x.groupBy("label", F.col("dim").cast("bigint").alias("dim")).agg(
+        F.round(F.avg(F.col("x").cast("double")), 6).alias("mean"), F.count(F.lit(1)).alias("n")
+    )
+
+
+def similar_vectors_df(emb: DataFrame, cosine: float = SIMILAR_COSINE) -> DataFrame:
+    """Pairs with cosine similarity >= ``cosine``, via random-projection LSH
+    (``BucketedRandomProjectionLSH.approxSimilarityJoin``): vectors are unit
+    length, so cosine >= c is Euclidean distance <= sqrt(2 - 2c).  The join
+    runs on (hash table, bucket) keys, then the exact distance is checked."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    v = emb.select("vec_id", "label", array_to_vector("embedding").alias("v"))
+    lsh = BucketedRandomProjectionLSH(
+        inputCol="v", outputCol="h", bucketLength=LSH_BUCKET_LENGTH, numHashTables=LSH_TABLES, seed=LSH_SEED
+    ).fit(v)
+    radius = (2.0 - 2.0 * cosine) ** 0.5
+    pairs = lsh.approxSimilarityJoin(v, v, radius, distCol="dist").filter(F.col("datasetA.vec_id") < F.col("datasetB.vec_id"))
+    return pairs.select(
+        F.col("datasetA.vec_id").alias("vec_a"),
+        F.col("datasetB.vec_id").alias("vec_b"),
+        F.col("datasetA.label").alias("label_a"),
+        F.col("datasetB.label").alias("label_b"),
+        (F.lit(1.0) - F.col("dist") * F.col("dist") / 2.0).alias("cosine"),
+    )
+
+
+@job("similar_vectors", group="vectors")
+def similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_vectors_df(Tables(spark, sf_dir).embeddings)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -82,3 +84,30 @@ def with_ngrams(df, text: str, n: int, out: str, tokens_col: str | None = None):
     toks = RegexTokenizer(inputCol=text, outputCol=tok, pattern=TOKEN_SPLIT, gaps=True, toLowercase=True, minTokenLength=1)
     res = NGram(n=n, inputCol=tok, outputCol=out).transform(toks.transform(df))
     return res if tokens_col else res.drop(tok)
+
+
+def minhash_udf(k: int, seed: int = 7):
+    """The same signature as ``minhash`` as an Arrow-batched pandas UDF.
+
+    Higher-order SQL functions are interpreted per element; for k = 128 that
+    is ~1 microsecond per shingle and coefficient.  Here each batch's hashes
+    are flattened once and every coefficient is one vectorised numpy pass
+    (``np.minimum.reduceat`` per document)."""
+    coeffs = minhash_coefficients(k, seed)
+    a = np.array([c[0] for c in coeffs], dtype=np.int64)
+    b = np.array([c[1] for c in coeffs], dtype=np.int64)
+
+    @F.pandas_udf("array<long>")
+    def _minhash(hashes: pd.Series) -> pd.Series:
+        arrays = [np.asarray(h, dtype=np.int64) for h in hashes]
+        lens = np.array([len(h) for h in arrays], dtype=np.int64)
+        out = np.full((len(arrays), k), MERSENNE_31, dtype=np.int64)
+        filled = lens > 0
+        if filled.any():
+            flat = np.concatenate([h for h in arrays if len(h)])
+            starts = np.concatenate([[0], np.cumsum(lens[filled])[:-1]])
+            for j in range(k):
+                out[filled, j] = np.minimum.reduceat((a[j] * flat + b[j]) % MERSENNE_31, starts)
+        return pd.Series(list(out))
+
+    return _minhash

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import patterns as P
-from tidewater.functions.text import minhash, signature_agreement, tokens, with_ngrams
+from tidewater.functions.text import minhash_udf, signature_agreement, tokens, with_ngrams
 from tidewater.operators.graph import connected_components
 from tidewater.operators.joins import broadcast_if_small
 from tidewater.plans.catalog import job
@@ -367,7 +367,8 @@ def near_duplicates_df(
     """Clusters of documents whose word 5-gram sets have Jaccard similarity
     of at least ``threshold`` (MinHash LSH).
 
-    1. per document: shingle hashes and a MinHash signature (array SQL);
+    1. per document: shingle hashes (array SQL) and a MinHash signature
+       (vectorised numpy over Arrow batches);
     2. band keys: ``bands`` hashes of ``rows`` signature values each;
     3. each band bucket links its members to the bucket's smallest id -- a
        star, so a bucket of m documents gives m - 1 edges, never m^2 pairs;
@@ -381,7 +382,7 @@ def near_duplicates_df(
     # a text shorter than the shingle is one shingle: its whole token list
     shingles = F.when(F.size("_t") >= P.SHINGLE_WORDS, F.col("_g")).otherwise(F.array(F.concat_ws(" ", "_t")))
     hashes = F.array_distinct(F.transform(shingles, lambda g: F.xxhash64(g).bitwiseAND(F.lit(P.MERSENNE_31))))
-    sig = grams.select("doc_id", minhash(hashes, k).alias("sig"))
+    sig = grams.select("doc_id", minhash_udf(k)(hashes).alias("sig"))
     path = scratch_path(spark, "minhash")
     sig.write.parquet(path)
     sig = spark.read.parquet(path)

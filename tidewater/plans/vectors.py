@@ -9,8 +9,8 @@ from tidewater.plans.catalog import job
 from tidewater.sources.tables import Tables
 
 SIMILAR_COSINE = 0.45
-LSH_BUCKET_LENGTH = 0.25
-LSH_TABLES = 12
+LSH_BUCKET_LENGTH = 0.1
+LSH_TABLES = 20
 LSH_SEED = 11
 
 

@@ -316,19 +316,40 @@ def language_mix_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontaminate_df(docs: DataFrame, bench: DataFrame, n: int = P.DECONTAMINATION_NGRAM) -> DataFrame:
+    """Pairs (document, benchmark item) sharing word n-grams, with the number
+    of distinct shared n-grams.
+
+    1. benchmark n-grams with a 64-bit hash -- an evaluation set, broadcast
+       only if the count check passes (else a shuffle join on the hash);
+    2. document n-gram hashes are generated and probed in one pipelined stage
+       (generate -> hash join); rows are longs, not 13-word strings;
+    3. the matches are written once; they are confirmed by comparing the
+       n-gram text itself, re-tokenising only the matched documents, so a hash
+       collision cannot add a pair.
+    """
     grams = (
         with_ngrams(bench.select("item_id", "text"), "text", n, "_g")
         .select("item_id", F.explode("_g").alias("gram"))
         .distinct()
+        .withColumn("h", F.xxhash64("gram"))
     )
-    # The benchmark is an evaluation set; its n-grams are broadcast only if
-    # the count check passes, else this becomes a shuffle join on the n-gram.
     grams = broadcast_if_small(grams)
-    doc_grams = with_ngrams(docs.select("doc_id", "text"), "text", n, "_g").select(
-        "doc_id", F.explode("_g").alias("gram")
+    doc_hashes = with_ngrams(docs.select("doc_id", "text"), "text", n, "_g").select(
+        "doc_id", F.posexplode(F.transform("_g", lambda g: F.xxhash64(g))).alias("pos", "h")
+    )
+    cand = doc_hashes.join(grams, "h").select("doc_id", "pos", "item_id", "gram")
+    # the matches are few: write them once, so checking their size does not
+    # run the document pass again
+    path = scratch_path(docs.sparkSession, "decontamination-candidates")
+    cand.write.parquet(path)
+    cand = docs.sparkSession.read.parquet(path)
+
+    hit_ids = broadcast_if_small(cand.select("doc_id").distinct())
+    hit_docs = with_ngrams(docs.select("doc_id", "text").join(hit_ids, "doc_id", "left_semi"), "text", n, "_g")
+    confirmed = cand.join(hit_docs.select("doc_id", "_g"), "doc_id").filter(
+        F.element_at("_g", F.col("pos") + 1) == F.col("gram")
     )
-    hits = doc_grams.join(grams, "gram")
-    return hits.groupBy("doc_id", "item_id").agg(F.countDistinct("gram").alias("n_shared"))
+    return confirmed.groupBy("doc_id", "item_id").agg(F.countDistinct("gram").alias("n_shared"))
 
 
 @job(
@@ -347,8 +368,7 @@ def decontaminate_df(docs: DataFrame, bench: DataFrame, n: int = P.DECONTAMINATI
 )
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents sharing a 13-word n-gram with a benchmark item, with the
-    number of shared n-grams.  Document n-grams are generated and probed in
-    one pipelined stage (generate -> hash join); only matches are shuffled."""
+    number of shared n-grams."""
     t = Tables(spark, sf_dir)
     return decontaminate_df(t.documents, t.benchmark)
 

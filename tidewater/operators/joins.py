@@ -12,20 +12,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a checked broadcast may hold.  With a few narrow columns this stays
-# well under spark.sql.autoBroadcastJoinThreshold-sized payloads.
+# Bounds for a checked broadcast: rows, and bytes of the rows as JSON text
+# (a stand-in for their in-memory size that does not depend on plan stats).
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+def broadcast_if_small(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
+) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows and about
+    ``max_bytes`` of data.
 
-    The check reads at most ``max_rows + 1`` rows (a bounded job), so it is
-    cheap even when the side turns out large; then the join falls back to a
-    shuffle join.
+    The probe reads at most ``max_rows + 1`` rows (a bounded job), so it is
+    cheap even when the side turns out large; then the join stays a shuffle
+    join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct(*df.columns)))).alias("b")
+    ).first()
+    small = probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
+    return F.broadcast(df) if small else df
 
 
 def band_join(

@@ -34,10 +34,12 @@ from tidewater.session import scratch_path
 _LOW_BITS = (1 << 33) - 1
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _ranged(df: DataFrame, order, num_partitions: int | None) -> DataFrame:
+    """Range-partition and sort.  Without an explicit count the cluster's
+    shuffle settings decide, and AQE may merge adjacent small ranges (order
+    is kept, since only neighbouring partitions are merged)."""
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 def _offsets(totals: DataFrame, total_col: str) -> DataFrame:
@@ -70,12 +72,7 @@ def sequence_number(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``seq_col``: the 0-based position of each row in ``order``."""
-    n = _partitions(df, num_partitions)
-    ranged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
+    ranged = _ranged(df, order, num_partitions).withColumn("_mid", F.monotonically_increasing_id())
     indexed = _materialize(
         ranged.select(
             "*",
@@ -107,8 +104,7 @@ def weighted_prefix(
     """
     weights = [weight] if isinstance(weight, str) else list(weight)
     outs = [before_col] if isinstance(before_col, str) else list(before_col)
-    n = _partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = _ranged(df, order, num_partitions)
     # StructType.add mutates, and DataFrame.schema is cached: build a copy.
     out_schema = StructType(list(ranged.schema.fields)).add("_pid", "long")
     for i in range(len(weights)):

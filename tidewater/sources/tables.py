@@ -39,9 +39,24 @@ def table_path(sf_dir: str, name: str) -> str:
     return single if os.path.exists(single) or "://" in sf_dir else os.path.join(sf_dir, name)
 
 
+# Tables whose jobs are CPU-heavy per row (tokenising, regex over whole
+# texts and pages).
+TEXT_TABLES = frozenset({"documents", "pages", "benchmark", "conversations"})
+
+
+def ensure_parallel(df: DataFrame) -> DataFrame:
+    """Spread ``df`` over the cluster's cores if its scan has fewer splits
+    than that (a small file with one row group is one task).  A large table
+    already has far more splits than cores and is returned unchanged, so no
+    shuffle is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return ensure_parallel(df) if name in TEXT_TABLES else df
 
 
 class Tables:

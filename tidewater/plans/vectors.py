@@ -1,17 +1,20 @@
-"""Embeddings: per-label centroids and similar pairs."""
+"""Embeddings: per-label centroids and clusters of similar vectors."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.vectors import cosine_of, simhash_bands_udf
+from tidewater.operators.graph import connected_components
 from tidewater.plans.catalog import job
 from tidewater.sources.tables import Tables
 
 SIMILAR_COSINE = 0.45
-LSH_BUCKET_LENGTH = 0.1
-LSH_TABLES = 20
-LSH_SEED = 11
+# sign-random-projection LSH: bands of bits, one hyperplane per bit
+SIMHASH_BANDS = 32
+SIMHASH_BITS = 8
+SIMHASH_SEED = 11
 
 
 @job(
@@ -34,26 +37,44 @@ def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def similar_vectors_df(emb: DataFrame, cosine: float = SIMILAR_COSINE) -> DataFrame:
-    """Pairs with cosine similarity >= ``cosine``, via random-projection LSH
-    (``BucketedRandomProjectionLSH.approxSimilarityJoin``): vectors are unit
-    length, so cosine >= c is Euclidean distance <= sqrt(2 - 2c).  The join
-    runs on (hash table, bucket) keys, then the exact distance is checked."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    v = emb.select("vec_id", "label", array_to_vector("embedding").alias("v"))
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="v", outputCol="h", bucketLength=LSH_BUCKET_LENGTH, numHashTables=LSH_TABLES, seed=LSH_SEED
-    ).fit(v)
-    radius = (2.0 - 2.0 * cosine) ** 0.5
-    pairs = lsh.approxSimilarityJoin(v, v, radius, distCol="dist").filter(F.col("datasetA.vec_id") < F.col("datasetB.vec_id"))
-    return pairs.select(
-        F.col("datasetA.vec_id").alias("vec_a"),
-        F.col("datasetB.vec_id").alias("vec_b"),
-        F.col("datasetA.label").alias("label_a"),
-        F.col("datasetB.label").alias("label_b"),
-        (F.lit(1.0) - F.col("dist") * F.col("dist") / 2.0).alias("cosine"),
+def similar_vectors_df(
+    emb: DataFrame,
+    cosine: float = SIMILAR_COSINE,
+    bands: int = SIMHASH_BANDS,
+    bits: int = SIMHASH_BITS,
+) -> DataFrame:
+    """Clusters of similar vectors: ``(vec_id, cluster_id, label)`` for every
+    vector linked to another one; ``cluster_id`` is the smallest id.
+
+    1. per vector, ``bands`` band codes of ``bits`` sign bits each (random
+       hyperplanes; one matrix product per Arrow batch);
+    2. each (band, code) bucket links its members to its smallest id -- a
+       star, so a bucket of m vectors gives m - 1 edges, never m^2 pairs, and
+       a bucket holding a third of all vectors is an equi-join, not a task;
+    3. an edge is kept if the exact cosine of its two vectors is at least
+       ``cosine``;
+    4. connected components over the kept edges.
+    """
+    v = emb.select("vec_id", "label", "embedding")
+    codes = v.select("vec_id", F.posexplode(simhash_bands_udf(bands, bits, SIMHASH_SEED)("embedding")).alias("band", "code"))
+    heads = codes.groupBy("band", "code").agg(F.min("vec_id").alias("head"))
+    star = (
+        codes.join(heads, ["band", "code"])
+        .filter(F.col("vec_id") != F.col("head"))
+        .select(F.col("vec_id").alias("src"), F.col("head").alias("dst"))
+        .distinct()
+    )
+    a = v.select(F.col("vec_id").alias("src"), F.col("embedding").alias("ea"))
+    b = v.select(F.col("vec_id").alias("dst"), F.col("embedding").alias("eb"))
+    edges = (
+        star.join(a, "src")
+        .join(b, "dst")
+        .filter(cosine_of(F.col("ea"), F.col("eb")) >= F.lit(cosine))
+        .select("src", "dst")
+    )
+    comps = connected_components(edges)
+    return comps.join(v.select(F.col("vec_id").alias("node"), "label"), "node").select(
+        F.col("node").alias("vec_id"), F.col("component").alias("cluster_id"), "label"
     )
 
 

@@ -50,6 +50,17 @@ def test_near_duplicates_against_exact_jaccard(spark):
     # cluster ids are the smallest member
     for d, c in clusters.items():
         assert c <= d
+    # edges are checked with the exact Jaccard: every clustered document has
+    # a partner in its cluster at or above the threshold
+    def jac(a, b):
+        return len(sh[a] & sh[b]) / len(sh[a] | sh[b])
+
+    members = {}
+    for d, c in clusters.items():
+        members.setdefault(c, []).append(d)
+    for group in members.values():
+        for d in group:
+            assert any(jac(d, e) >= P.NEAR_DUP_JACCARD for e in group if e != d), d
 
 
 def test_decontaminate_matches_python(spark):

@@ -54,7 +54,6 @@ SAMPLE_SEED = 42
 SHINGLE_WORDS = 5
 MINHASH_BANDS = 16
 MINHASH_ROWS = 4
-MINHASH_VERIFY = 128  # signature length used to estimate Jaccard
 NEAR_DUP_JACCARD = 0.7
 DECONTAMINATION_NGRAM = 13
 MERSENNE_31 = 2147483647

@@ -64,10 +64,12 @@ def minhash(hashes: str | Column, k: int, seed: int = 7) -> Column:
     )
 
 
-def signature_agreement(s1: Column, s2: Column) -> Column:
-    """Share of equal positions of two signatures (estimates Jaccard)."""
-    eq = F.zip_with(s1, s2, lambda x, y: F.when(x == y, 1).otherwise(0))
-    return F.aggregate(eq, F.lit(0), lambda acc, x: acc + x).cast("double") / F.size(s1).cast("double")
+def jaccard(a: Column, b: Column) -> Column:
+    """Exact Jaccard similarity of two arrays read as sets."""
+    union = F.size(F.array_union(a, b))
+    return F.when(union > 0, F.size(F.array_intersect(a, b)).cast("double") / union.cast("double")).otherwise(
+        F.lit(1.0)
+    )
 
 
 def with_ngrams(df, text: str, n: int, out: str, tokens_col: str | None = None):

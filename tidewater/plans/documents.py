@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import patterns as P
-from tidewater.functions.text import minhash_udf, signature_agreement, tokens, with_ngrams
+from tidewater.functions.text import jaccard, minhash_udf, tokens, with_ngrams
 from tidewater.operators.graph import connected_components
 from tidewater.operators.joins import broadcast_if_small
 from tidewater.plans.catalog import job
@@ -324,8 +324,8 @@ def decontaminate_df(docs: DataFrame, bench: DataFrame, n: int = P.DECONTAMINATI
     2. document n-gram hashes are generated and probed in one pipelined stage
        (generate -> hash join); rows are longs, not 13-word strings;
     3. the matches are written once; they are confirmed by comparing the
-       n-gram text itself, re-tokenising only the matched documents, so a hash
-       collision cannot add a pair.
+       n-gram text itself at the matched position, re-tokenising only the
+       matched documents, so a hash collision cannot add a pair.
     """
     grams = (
         with_ngrams(bench.select("item_id", "text"), "text", n, "_g")
@@ -346,9 +346,10 @@ def decontaminate_df(docs: DataFrame, bench: DataFrame, n: int = P.DECONTAMINATI
 
     hit_ids = broadcast_if_small(cand.select("doc_id").distinct())
     hit_docs = with_ngrams(docs.select("doc_id", "text").join(hit_ids, "doc_id", "left_semi"), "text", n, "_g")
-    confirmed = cand.join(hit_docs.select("doc_id", "_g"), "doc_id").filter(
-        F.element_at("_g", F.col("pos") + 1) == F.col("gram")
-    )
+    # one row per n-gram of a hit document, joined on (doc_id, pos): linear in
+    # the hit documents, and a long document is spread over its positions
+    hit_grams = hit_docs.select("doc_id", F.posexplode("_g").alias("pos", "doc_gram"))
+    confirmed = cand.join(hit_grams, ["doc_id", "pos"]).filter(F.col("doc_gram") == F.col("gram"))
     return confirmed.groupBy("doc_id", "item_id").agg(F.countDistinct("gram").alias("n_shared"))
 
 
@@ -392,17 +393,19 @@ def near_duplicates_df(
     2. band keys: ``bands`` hashes of ``rows`` signature values each;
     3. each band bucket links its members to the bucket's smallest id -- a
        star, so a bucket of m documents gives m - 1 edges, never m^2 pairs;
-    4. an edge is kept if the two signatures agree on at least
-       ``threshold`` of their positions (estimated Jaccard);
+    4. an edge is kept if the exact Jaccard similarity of the two shingle
+       hash sets is at least ``threshold`` (``array_intersect`` /
+       ``array_union``: hash-set work linear in the two texts, per edge);
     5. connected components over the kept edges.
     """
     spark = docs.sparkSession
-    k = max(P.MINHASH_VERIFY, bands * rows)
     grams = with_ngrams(docs.select("doc_id", "text"), "text", P.SHINGLE_WORDS, "_g", tokens_col="_t")
     # a text shorter than the shingle is one shingle: its whole token list
     shingles = F.when(F.size("_t") >= P.SHINGLE_WORDS, F.col("_g")).otherwise(F.array(F.concat_ws(" ", "_t")))
     hashes = F.array_distinct(F.transform(shingles, lambda g: F.xxhash64(g).bitwiseAND(F.lit(P.MERSENNE_31))))
-    sig = grams.select("doc_id", minhash_udf(k)(hashes).alias("sig"))
+    sig = grams.select("doc_id", hashes.alias("sh")).select(
+        "doc_id", "sh", minhash_udf(bands * rows)(F.col("sh")).alias("sig")
+    )
     path = scratch_path(spark, "minhash")
     sig.write.parquet(path)
     sig = spark.read.parquet(path)
@@ -420,12 +423,12 @@ def near_duplicates_df(
         .select(F.col("doc_id").alias("src"), F.col("head").alias("dst"))
         .distinct()
     )
-    a = sig.select(F.col("doc_id").alias("src"), F.col("sig").alias("sa"))
-    b = sig.select(F.col("doc_id").alias("dst"), F.col("sig").alias("sb"))
+    a = sig.select(F.col("doc_id").alias("src"), F.col("sh").alias("sa"))
+    b = sig.select(F.col("doc_id").alias("dst"), F.col("sh").alias("sb"))
     edges = (
         star.join(a, "src")
         .join(b, "dst")
-        .filter(signature_agreement(F.col("sa"), F.col("sb")) >= F.lit(threshold))
+        .filter(jaccard(F.col("sa"), F.col("sb")) >= F.lit(threshold))
         .select("src", "dst")
     )
     comps = connected_components(edges)

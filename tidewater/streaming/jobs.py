@@ -10,10 +10,8 @@ which is the latest event time minus the allowed delay).
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidewater.plans.catalog import job
 from tidewater.session import scratch_path
@@ -243,38 +241,6 @@ def stream_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_TOTALS_SCHEMA = "user_id long, n_events long, value_cents long, first_ts timestamp, last_ts timestamp, n_purchases long"
-_STATE_SCHEMA = "n long, cents long, first long, last long, purchases long"
-
-
-def _user_totals(key, chunks, state):
-    """Running totals per user.  Rows arrive as Arrow chunks, so a user with
-    a huge batch is summed chunk by chunk; the state is five numbers."""
-    if state.exists:
-        n, cents, first, last, purchases = state.get
-    else:
-        n, cents, first, last, purchases = 0, 0, None, None, 0
-    for pdf in chunks:
-        micros = pdf["ts"].astype("int64") // 1000  # pandas ns -> micros
-        n += len(pdf)
-        cents += int(round((pdf["value"] * 100).round().sum()))
-        lo, hi = int(micros.min()), int(micros.max())
-        first = lo if first is None else min(first, lo)
-        last = hi if last is None else max(last, hi)
-        purchases += int((pdf["event_type"] == "purchase").sum())
-    state.update((n, cents, first, last, purchases))
-    yield pd.DataFrame(
-        {
-            "user_id": [key[0]],
-            "n_events": [n],
-            "value_cents": [cents],
-            "first_ts": [pd.Timestamp(first, unit="us")],
-            "last_ts": [pd.Timestamp(last, unit="us")],
-            "n_purchases": [purchases],
-        }
-    )
-
-
 @job(
     "stream_user_totals",
     """
@@ -287,17 +253,34 @@ def _user_totals(key, chunks, state):
     group="streaming",
 )
 def stream_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Custom per-user state with ``applyInPandasWithState``: each micro-batch
-    emits the updated running totals of the users it touched; the latest row
-    per user is the current state."""
+    """Running totals per user as a built-in stateful aggregation in update
+    mode: partial aggregates are combined on the map side before the state
+    store, so a user holding a third of the stream costs a few rows per task.
+    Each micro-batch appends the rows it updated (``foreachBatch``); the
+    latest row per user -- the one with the most events, as counts only grow
+    -- is the current state."""
 
     def build(stream: DataFrame) -> DataFrame:
-        return stream.groupBy("user_id").applyInPandasWithState(
-            _user_totals, _TOTALS_SCHEMA, _STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        return stream.groupBy("user_id").agg(
+            F.count(F.lit(1)).alias("n_events"),
+            F.sum(_cents() * 100).cast("bigint").alias("value_cents"),
+            F.min("ts").alias("first_ts"),
+            F.max("ts").alias("last_ts"),
+            F.count(F.when(F.col("event_type") == "purchase", 1)).alias("n_purchases"),
         )
 
-    out = _replay(spark, sf_dir, "stream_user_totals", build)
-    latest = out.groupBy("user_id").agg(F.max_by(F.struct(*[c for c in out.columns if c != "user_id"]), "n_events").alias("s"))
+    events = Tables(spark, sf_dir).events
+    feed = new_feed(spark, events, "stream_user_totals")
+    out = scratch_path(spark, "stream_user_totals-sink")
+
+    def start(writer):
+        return writer.foreachBatch(lambda batch, _id: batch.write.mode("append").parquet(out)).start()
+
+    schema = run_slices(feed, events, day_slices("ts", SLICE_CUTS), start, build, "update", "stream_user_totals")
+    updates = spark.read.schema(schema).parquet(out)
+    latest = updates.groupBy("user_id").agg(
+        F.max_by(F.struct(*[c for c in updates.columns if c != "user_id"]), "n_events").alias("s")
+    )
     return latest.select(
         "user_id", "s.n_events", "s.value_cents", _ntz("s.first_ts").alias("first_ts"),
         _ntz("s.last_ts").alias("last_ts"), "s.n_purchases",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import patterns as P
+from tidewater.functions.arrays import explode_rows, posexplode_rows
 from tidewater.functions.text import jaccard, minhash_udf, tokens, with_ngrams
 from tidewater.operators.graph import connected_components
 from tidewater.operators.joins import broadcast_if_small
@@ -69,7 +70,7 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines longer than 20 characters found in three or more documents
     (boilerplate candidates)."""
     d = Tables(spark, sf_dir).documents
-    lines = d.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 20)
+    lines = explode_rows(d, ["doc_id"], F.split("text", "\n"), "line").filter(F.length("line") > 20)
     return lines.groupBy("line").agg(F.countDistinct("doc_id").alias("n_docs")).filter(F.col("n_docs") >= 3)
 
 
@@ -140,7 +141,7 @@ def redact_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def license_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Tables(spark, sf_dir).documents
-    lines = d.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = posexplode_rows(d, ["doc_id"], F.split("text", "\n"), "line_no", "line")
     return lines.filter(F.col("line").rlike(P.LICENSE_LINE)).select(
         "doc_id", F.col("line_no").cast("bigint").alias("line_no"), "line"
     )
@@ -165,7 +166,7 @@ def frequent_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     are combined map-side, so even 'the' ships one row per task."""
     d = Tables(spark, sf_dir).documents
     return (
-        d.select(F.explode(tokens("text")).alias("token"))
+        explode_rows(d, [], tokens("text"), "token")
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.col("n").desc(), F.col("token"))
@@ -328,14 +329,17 @@ def decontaminate_df(docs: DataFrame, bench: DataFrame, n: int = P.DECONTAMINATI
        matched documents, so a hash collision cannot add a pair.
     """
     grams = (
-        with_ngrams(bench.select("item_id", "text"), "text", n, "_g")
-        .select("item_id", F.explode("_g").alias("gram"))
+        explode_rows(with_ngrams(bench.select("item_id", "text"), "text", n, "_g"), ["item_id"], "_g", "gram")
         .distinct()
         .withColumn("h", F.xxhash64("gram"))
     )
     grams = broadcast_if_small(grams)
-    doc_hashes = with_ngrams(docs.select("doc_id", "text"), "text", n, "_g").select(
-        "doc_id", F.posexplode(F.transform("_g", lambda g: F.xxhash64(g))).alias("pos", "h")
+    doc_hashes = posexplode_rows(
+        with_ngrams(docs.select("doc_id", "text"), "text", n, "_g"),
+        ["doc_id"],
+        F.transform("_g", lambda g: F.xxhash64(g)),
+        "pos",
+        "h",
     )
     cand = doc_hashes.join(grams, "h").select("doc_id", "pos", "item_id", "gram")
     # the matches are few: write them once, so checking their size does not
@@ -348,7 +352,7 @@ def decontaminate_df(docs: DataFrame, bench: DataFrame, n: int = P.DECONTAMINATI
     hit_docs = with_ngrams(docs.select("doc_id", "text").join(hit_ids, "doc_id", "left_semi"), "text", n, "_g")
     # one row per n-gram of a hit document, joined on (doc_id, pos): linear in
     # the hit documents, and a long document is spread over its positions
-    hit_grams = hit_docs.select("doc_id", F.posexplode("_g").alias("pos", "doc_gram"))
+    hit_grams = posexplode_rows(hit_docs, ["doc_id"], "_g", "pos", "doc_gram")
     confirmed = cand.join(hit_grams, ["doc_id", "pos"]).filter(F.col("doc_gram") == F.col("gram"))
     return confirmed.groupBy("doc_id", "item_id").agg(F.countDistinct("gram").alias("n_shared"))
 

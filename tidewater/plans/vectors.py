@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.arrays import posexplode_rows
 from tidewater.functions.vectors import cosine_of, simhash_bands_udf
 from tidewater.operators.graph import connected_components
 from tidewater.plans.catalog import job
@@ -56,7 +57,7 @@ def similar_vectors_df(
     4. connected components over the kept edges.
     """
     v = emb.select("vec_id", "label", "embedding")
-    codes = v.select("vec_id", F.posexplode(simhash_bands_udf(bands, bits, SIMHASH_SEED)("embedding")).alias("band", "code"))
+    codes = posexplode_rows(v, ["vec_id"], simhash_bands_udf(bands, bits, SIMHASH_SEED)("embedding"), "band", "code")
     heads = codes.groupBy("band", "code").agg(F.min("vec_id").alias("head"))
     star = (
         codes.join(heads, ["band", "code"])

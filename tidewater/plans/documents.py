@@ -301,13 +301,28 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-@job("language_mix_sample", group="documents")
+def _sample_rates_sql() -> str:
+    return " ".join(f"WHEN '{lang}' THEN {float(r)}" for lang, r in P.LANGUAGE_RATES.items())
+
+
+@job(
+    "language_mix_sample",
+    f"""
+    SELECT doc_id, lang, n_chars FROM documents
+    WHERE CAST(CAST(('0x' || substr(sha256(CAST(doc_id AS VARCHAR) || ':{P.SAMPLE_SEED}'), 1, 8)) AS BIGINT) % 1000000 AS DOUBLE)
+          / 1000000.0 < COALESCE(CASE lang {_sample_rates_sql()} END, 0.0)
+    """,
+    group="documents",
+)
 def language_mix_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keep a fixed share of each language, chosen by a hash of the id, so
-    the sample is the same on every run and for every partitioning."""
+    """Keep a fixed share of each language, chosen by a hash of the id (the
+    first 32 bits of SHA-256 of ``id:seed``), so the sample is the same on
+    every run, for every partitioning, and in any engine with SHA-256."""
     rates = F.create_map(*[x for lang, r in P.LANGUAGE_RATES.items() for x in (F.lit(lang), F.lit(float(r)))])
     d = Tables(spark, sf_dir).documents.select("doc_id", "lang", "n_chars")
-    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(P.SAMPLE_SEED)), F.lit(1_000_000)).cast("double") / 1_000_000.0
+    key = F.concat(F.col("doc_id").cast("string"), F.lit(f":{P.SAMPLE_SEED}"))
+    bits = F.conv(F.substring(F.sha2(key, 256), 1, 8), 16, 10).cast("long")
+    u = (bits % F.lit(1_000_000)).cast("double") / F.lit(1_000_000.0)
     return d.filter(u < F.coalesce(rates[F.col("lang")], F.lit(0.0)))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.exact import dec, sum_cents, sum_exact
+from tidewater.functions.exact import sum_units_cents, sum_units_double, units
 from tidewater.operators.joins import band_join
 from tidewater.operators.ranking import group_ranks
 from tidewater.plans.catalog import job
@@ -31,22 +31,25 @@ SINK_YEAR = 1999
 
 
 def pricing_summary_df(lineitem: DataFrame) -> DataFrame:
-    price = dec("l_extendedprice")
-    disc = dec("l_discount", 2, 6)
-    tax = dec("l_tax", 2, 6)
-    disc_price = price * (F.lit(1) - disc)
+    # money as exact integer units: cents, hundredths of the rates, and their
+    # products (1e-4 and 1e-6 of a unit) -- long arithmetic in generated code
+    price = units("l_extendedprice")
+    disc = units("l_discount")
+    disc_price = price * (F.lit(100) - disc)
+    charge = disc_price * (F.lit(100) + units("l_tax"))
+    n = F.count(F.lit(1))
     return (
         lineitem.filter(F.col("l_shipdate") <= F.lit(SHIP_CUTOFF).cast("timestamp_ntz"))
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
             F.sum("l_quantity").alias("sum_qty"),
-            sum_cents(price).alias("sum_base_price"),
-            sum_cents(disc_price).alias("sum_disc_price"),
-            sum_cents(disc_price * (F.lit(1) + tax)).alias("sum_charge"),
-            (F.sum("l_quantity") / F.count(F.lit(1))).alias("avg_qty"),
-            (sum_cents(price) / F.count(F.lit(1))).alias("avg_price"),
-            (sum_exact(disc) / F.count(F.lit(1))).alias("avg_disc"),
-            F.count(F.lit(1)).alias("count_order"),
+            sum_units_cents(price, 2).alias("sum_base_price"),
+            sum_units_cents(disc_price, 4).alias("sum_disc_price"),
+            sum_units_cents(charge, 6).alias("sum_charge"),
+            (F.sum("l_quantity") / n).alias("avg_qty"),
+            (sum_units_cents(price, 2) / n).alias("avg_price"),
+            (sum_units_double(disc, 2) / n).alias("avg_disc"),
+            n.alias("count_order"),
         )
         .orderBy("l_returnflag", "l_linestatus")
     )
@@ -263,7 +266,7 @@ def region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(region, F.col("n_regionkey") == region.r_regionkey)
     )
     return joined.groupBy("n_name", "r_name").agg(
-        sum_cents(dec("l_extendedprice") * (F.lit(1) - dec("l_discount", 2, 6))).alias("revenue"),
+        sum_units_cents(units("l_extendedprice") * (F.lit(100) - units("l_discount")), 4).alias("revenue"),
         F.count(F.lit(1)).alias("n_lines"),
     )
 
@@ -317,7 +320,7 @@ def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("band")
         .agg(
             F.count(F.lit(1)).alias("n_parts"),
-            (sum_cents(dec("p_retailprice")) / F.count(F.lit(1))).alias("avg_price"),
+            (sum_units_cents(units("p_retailprice"), 2) / F.count(F.lit(1))).alias("avg_price"),
             F.min("p_retailprice").alias("min_price"),
             F.max("p_retailprice").alias("max_price"),
         )
@@ -351,7 +354,7 @@ def customers_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return c.rollup("r_name", "n_name").agg(
         F.count(F.lit(1)).alias("n_customers"),
-        sum_cents(dec("c_acctbal")).alias("total_acctbal"),
+        sum_units_cents(units("c_acctbal"), 2).alias("total_acctbal"),
         F.grouping_id("r_name", "n_name").cast("bigint").alias("grouping_level"),
     )
 

@@ -68,9 +68,10 @@ def test_last_click_small_blocks(spark):
     assert rows(last_click_before_purchase_df(ev, block_rows=4)) == rows(last_click_before_purchase_df(ev))
 
 
-def test_events_last_day_small_blocks(spark):
+def test_events_last_day_many_ranges(spark):
     ev = _events(spark)
-    got = events_last_day_df(ev, block_rows=6)
+    # many small range partitions: one user's events and probes span several
+    got = events_last_day_df(ev, num_partitions=13)
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     w = Window.partitionBy("user_id").orderBy(micros).rangeBetween(-86_400_000_000, 0)
     want = ev.select(

@@ -1,4 +1,4 @@
-"""Block-based scans must equal plain windows, also across block edges."""
+"""Position-based scans must equal plain windows, also across range and block edges."""
 
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,21 +30,21 @@ def test_weighted_prefix_matches_running_sum(spark):
     assert rows(got) == rows(want)
 
 
-def test_carry_last_across_blocks(spark):
+def test_carry_last_across_ranges(spark):
     ev = _events(spark).select("event_id", "user_id", "ts", "event_type")
     ev = ev.withColumn("v", F.when(F.col("event_type") == "click", F.col("event_id")))
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
     want = ev.withColumn("last", F.last("v", ignorenulls=True).over(w))
-    for block in (3, 17, 1000):
-        got = carry_last(ev, "user_id", ["ts", "event_id"], "v", "last", block_rows=block)
-        assert rows(got) == rows(want), block
+    for parts in (3, 17, None):
+        got = carry_last(ev, "user_id", ["ts", "event_id"], "v", "last", num_partitions=parts)
+        assert rows(got) == rows(want), parts
 
 
 def test_carry_last_one_hot_key(spark):
-    # one key owning every row: the carry must run through many blocks
+    # one key owning every row: the carry must run through many ranges
     df = spark.range(0, 500).select(F.lit(1).alias("k"), F.col("id").alias("t"),
                                     F.when(F.col("id") % 37 == 0, F.col("id")).alias("v"))
-    got = carry_last(df, "k", ["t"], "v", "last", block_rows=10)
+    got = carry_last(df, "k", ["t"], "v", "last", num_partitions=10)
     w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
     assert rows(got) == rows(df.withColumn("last", F.last("v", ignorenulls=True).over(w)))
 
@@ -63,9 +63,9 @@ def test_halo_window_lag_lead_sum(spark):
     assert rows(got) == rows(want)
 
 
-def test_last_click_small_blocks(spark):
+def test_last_click_many_ranges(spark):
     ev = _events(spark)
-    assert rows(last_click_before_purchase_df(ev, block_rows=4)) == rows(last_click_before_purchase_df(ev))
+    assert rows(last_click_before_purchase_df(ev, num_partitions=9)) == rows(last_click_before_purchase_df(ev))
 
 
 def test_events_last_day_many_ranges(spark):

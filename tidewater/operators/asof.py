@@ -2,19 +2,17 @@
 
 The usual tools -- ``Window.partitionBy(key).orderBy(t)`` for lag/lead or a
 last-non-null fill, a join on ``key`` for an as-of match -- put every row of
-a key in one task.  Both operators here first give each row its global
-position (``sequence_number`` over ``(key, order...)``, range-partitioned),
-then cut the positions into fixed blocks of ``block_rows``.  Windows run per
-``(block, key)``, so no task sees more than one block, and what crosses a
-block boundary is handled explicitly:
+a key in one task.  Both operators here work on global positions in
+(key, order...) order, range-partitioned, so a key holding a third of the
+table is spread over a third of the tasks:
 
 * ``carry_last``: last non-null value before each row within its key (an
-  as-of lookup).  Each block reports its last key and last value; a window
-  over those block summaries (one row per block) carries values across
-  blocks; the carry is joined back by block id.
-* ``halo_window``: row-bounded frames (lag, lead, moving sums).  Rows within
-  ``before``/``after`` rows of a block edge are copied into the neighbour
-  block, so every frame is complete inside one block.
+  as-of lookup) -- a prefix count of non-null values, then an equi-join on
+  that count, which is unique on one side;
+* ``halo_window``: row-bounded frames (lag, lead, moving sums).  Positions are
+  cut into fixed blocks of ``block_rows``; rows within ``before``/``after``
+  rows of a block edge are copied into the neighbour block, so every frame is
+  complete inside one (block, key) window.
 """
 
 from __future__ import annotations
@@ -25,8 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from tidewater.operators.joins import broadcast_if_small
-from tidewater.operators.sequence import sequence_number
+from tidewater.operators.sequence import sequence_number, weighted_prefix
 
 DEFAULT_BLOCK_ROWS = 1_000_000
 
@@ -41,44 +38,30 @@ def carry_last(
     order: Sequence[str | Column],
     value: str,
     out: str,
-    block_rows: int = DEFAULT_BLOCK_ROWS,
+    num_partitions: int | None = None,
     inclusive: bool = False,
 ) -> DataFrame:
     """Add ``out``: the last non-null ``value`` among earlier rows with the
-    same ``key`` in ``order`` (including the row itself if ``inclusive``)."""
-    pos = sequence_number(df, [F.col(key), *[_col(c) for c in order]], "_seq").withColumn(
-        "_blk", F.floor(F.col("_seq") / F.lit(block_rows)).cast("long")
-    )
+    same ``key`` in ``order`` (including the row itself if ``inclusive``).
 
-    # block summaries: first and last key, and the last value if it belongs
-    # to the block's last key
-    bounds = pos.groupBy("_blk").agg(
-        F.min_by(F.col(key), F.col("_seq")).alias("_fk"), F.max_by(F.col(key), F.col("_seq")).alias("_lk")
-    )
-    last_val = (
-        pos.filter(F.col(value).isNotNull())
-        .groupBy("_blk")
-        .agg(F.max_by(F.struct(F.col(key).alias("k"), F.col(value).alias("v")), F.col("_seq")).alias("_lv"))
-    )
-    summary = bounds.join(last_val, "_blk", "left").select(
-        "_blk", "_fk", "_lk", F.when(F.col("_lv.k") == F.col("_lk"), F.col("_lv.v")).alias("_bv")
-    )
-    # one row per block; a key spanning many blocks is many small rows here
-    upto = Window.partitionBy("_lk").orderBy("_blk").rowsBetween(Window.unboundedPreceding, 0)
-    summary = summary.withColumn("_cout", F.last("_bv", ignorenulls=True).over(upto))
-    prev = summary.select(
-        (F.col("_blk") + 1).alias("_blk"), F.col("_lk").alias("_plk"), F.col("_cout").alias("_pcout")
+    One global prefix count of non-null values in (key, order...) order
+    (``weighted_prefix``, range-partitioned) gives every row the index of the
+    last non-null row before it, and every non-null row its own index.  An
+    equi-join on that index -- unique on the value side, so no key can be hot
+    -- fetches the value, kept only if that row has the same key.
+    """
+    has = F.col(value).isNotNull().cast("long")
+    pref = weighted_prefix(
+        df.withColumn("_has", has), [F.col(key), *[_col(c) for c in order]], "_has", "_nn", num_partitions
     )
-    carry = summary.select("_blk", "_fk").join(prev, "_blk", "left").select(
-        "_blk", "_fk", F.when(F.col("_plk") == F.col("_fk"), F.col("_pcout")).alias("_cin")
+    target = F.col("_nn") - F.lit(1) + (F.col("_has") if inclusive else F.lit(0))
+    rows = pref.withColumn("_want", target)
+    vals = pref.filter(F.col("_has") == 1).select(
+        F.col("_nn").alias("_idx"), F.col(key).alias("_vk"), F.col(value).alias("_vv")
     )
-
-    frame_end = 0 if inclusive else -1
-    inside = Window.partitionBy("_blk", key).orderBy("_seq").rowsBetween(Window.unboundedPreceding, frame_end)
-    scanned = pos.withColumn("_in", F.last(value, ignorenulls=True).over(inside))
-    res = scanned.join(broadcast_if_small(carry), "_blk", "left")
-    res = res.withColumn(out, F.coalesce(F.col("_in"), F.when(F.col(key) == F.col("_fk"), F.col("_cin"))))
-    return res.drop("_seq", "_blk", "_in", "_fk", "_cin")
+    res = rows.join(vals, rows["_want"] == vals["_idx"], "left")
+    res = res.withColumn(out, F.when(F.col("_vk").eqNullSafe(F.col(key)), F.col("_vv")))
+    return res.drop("_has", "_nn", "_want", "_idx", "_vk", "_vv")
 
 
 def halo_window(

@@ -20,6 +20,10 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming session windows: merge each partition's sessions before the
+    # shuffle (a map-side combine), so a user with a third of a micro-batch
+    # ships a few sessions per task instead of all its events.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

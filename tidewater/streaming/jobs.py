@@ -25,6 +25,7 @@ SLICE_CUTS = ["2024-01-11", "2024-01-21"]  # the log arrives in three slices
 SESSION_GAP = "6 hours"
 SESSION_GAP_SQL = "INTERVAL 6 HOUR"
 SIGNUP_WINDOW = "2 hours"
+SIGNUP_WINDOW_SECONDS = 2 * 3600
 LATE_DAY = "2024-01-10"  # error events of this day arrive with the last slice
 LATE_TYPE = "error"
 
@@ -184,17 +185,32 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_signup_to_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream-stream interval join; both sides watermarked, so join state is
-    dropped once a signup is older than the watermark plus two hours."""
+    dropped once a signup is older than the watermark plus two hours.
+
+    The equality key is (user, two-hour bucket), as in the batch
+    ``interval_join``: a signup is repeated for the (at most two) buckets its
+    interval touches, a purchase has one, so every pair meets exactly once and
+    a hot user's state and work are spread over its time buckets."""
+    width = F.lit(SIGNUP_WINDOW_SECONDS * 1_000_000)
+
+    def bucket(ts: F.Column) -> F.Column:
+        return F.floor(F.unix_micros(ts) / width).cast("long")
 
     def build(stream: DataFrame) -> DataFrame:
         s = stream.filter(F.col("event_type") == "signup").select(
             F.col("user_id").alias("s_user"), F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts")
         ).withWatermark("signup_ts", DELAY)
+        s = s.withColumn(
+            "s_bucket",
+            F.explode(F.sequence(bucket(F.col("signup_ts")), bucket(F.col("signup_ts") + F.expr(f"INTERVAL {SIGNUP_WINDOW}")))),
+        )
         p = stream.filter(F.col("event_type") == "purchase").select(
             F.col("user_id").alias("p_user"), F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts")
         ).withWatermark("purchase_ts", DELAY)
+        p = p.withColumn("p_bucket", bucket(F.col("purchase_ts")))
         cond = (
             (F.col("s_user") == F.col("p_user"))
+            & (F.col("s_bucket") == F.col("p_bucket"))
             & (F.col("purchase_ts") >= F.col("signup_ts"))
             & (F.col("purchase_ts") <= F.col("signup_ts") + F.expr(f"INTERVAL {SIGNUP_WINDOW}"))
         )

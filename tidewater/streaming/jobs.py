@@ -237,17 +237,27 @@ def stream_signup_to_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     group="streaming",
 )
 def stream_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream-static join: events enriched with the customer's segment, then
-    daily windows per segment.  The static side is re-read per micro-batch,
-    pruned to two columns; the planner picks broadcast or shuffle by size."""
+    """Stream-static join: daily totals per customer segment.
+
+    Events are first combined per (day, user) -- a windowed aggregate with
+    partial aggregation map-side -- and only those rows are joined with the
+    customer table (re-read per micro-batch, pruned to two columns), then
+    summed per (day, segment) in a second windowed aggregate chained on the
+    first one's window.  A user holding a third of the stream reaches the
+    join as one row per day, whether the customer side is broadcast or
+    shuffled."""
     customer = Tables(spark, sf_dir).customer.select(F.col("c_custkey"), "c_mktsegment")
 
     def build(stream: DataFrame) -> DataFrame:
+        per_user = (
+            stream.withWatermark("ts", DELAY)
+            .groupBy(F.window("ts", "1 day").alias("w"), "user_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(_cents()).alias("v"))
+        )
         return (
-            stream.join(customer, stream.user_id == customer.c_custkey)
-            .withWatermark("ts", DELAY)
-            .groupBy(F.window("ts", "1 day").alias("w"), "c_mktsegment")
-            .agg(F.count(F.lit(1)).alias("n_events"), F.sum(_cents()).alias("value_sum"))
+            per_user.join(customer, per_user.user_id == customer.c_custkey)
+            .groupBy(F.col("w"), "c_mktsegment")
+            .agg(F.sum("n").alias("n_events"), F.sum("v").alias("value_sum"))
         )
 
     out = _replay(spark, sf_dir, "stream_by_segment", build)

@@ -57,3 +57,17 @@ def test_stream_interval_join_equals_batch(spark):
 
     batch = signup_to_purchase_df(_events(spark)).drop("purchase_value")
     assert rows(S.stream_signup_to_purchase(spark, SF_SMALL)) == rows(batch)
+
+
+def test_stream_by_segment_equals_batch(spark):
+    ev = _events(spark)
+    cust = spark.read.parquet(f"{SF_SMALL}/customer.parquet").select("c_custkey", "c_mktsegment")
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    want = (
+        ev.join(cust, ev.user_id == cust.c_custkey)
+        .groupBy(day.alias("window_start"), "c_mktsegment")
+        .agg(F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value_sum"))
+        .withColumn("window_end", (F.col("window_start") + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz"))
+        .filter(F.col("window_end") <= F.lit(_cutoff(ev)))
+    )
+    assert rows(S.stream_by_segment(spark, SF_SMALL)) == rows(want)

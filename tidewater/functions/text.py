@@ -23,27 +23,6 @@ def tokens(text: str | Column) -> Column:
     return F.filter(F.split(F.lower(c), TOKEN_SPLIT), lambda t: t != F.lit(""))
 
 
-def ngrams(toks: str | Column, n: int) -> Column:
-    """Word n-grams joined by a space; texts shorter than ``n`` give none.
-
-    The guard sits inside the expression (``when`` + ``greatest``): a filter
-    on ``size`` next to it may be evaluated after it, and ``sequence(0, -1)``
-    would count down.
-    """
-    t = F.col(toks) if isinstance(toks, str) else toks
-    last = F.greatest(F.size(t) - F.lit(n), F.lit(0))
-    grams = F.transform(F.sequence(F.lit(0), last), lambda i: F.concat_ws(" ", F.slice(t, i + 1, n)))
-    return F.when(F.size(t) >= F.lit(n), grams).otherwise(F.array().cast("array<string>"))
-
-
-def shingle_hashes(toks: str | Column, n: int) -> Column:
-    """31-bit hashes of the word n-grams; a text shorter than ``n`` words is
-    one shingle (its whole token list)."""
-    t = F.col(toks) if isinstance(toks, str) else toks
-    grams = F.when(F.size(t) >= n, ngrams(t, n)).otherwise(F.array(F.concat_ws(" ", t)))
-    return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g).bitwiseAND(F.lit(MERSENNE_31))))
-
-
 def minhash_coefficients(k: int, seed: int = 7) -> list[tuple[int, int]]:
     """``k`` universal-hash coefficient pairs (a, b) from a seeded generator."""
     rng = random.Random(seed)

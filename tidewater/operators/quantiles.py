@@ -54,24 +54,30 @@ def exact_percentiles(
         (F.col("_g0") + F.floor("_rn")).cast("long").alias("_lo"),
         (F.col("_g0") + F.ceil("_rn")).cast("long").alias("_hi"),
     )
+    # the fraction and the group size ride along, so no join back is needed
     targets = wanted.select(
-        *group, "_q", F.explode(F.array(F.struct(F.lit("lo").alias("_side"), F.col("_lo").alias("_pos")),
-                                        F.struct(F.lit("hi").alias("_side"), F.col("_hi").alias("_pos")))).alias("_x")
-    ).select(*group, "_q", "_x._side", "_x._pos")
+        *group, "_q", "_frac", "_n",
+        F.explode(F.array(F.struct(F.lit("lo").alias("_side"), F.col("_lo").alias("_pos")),
+                          F.struct(F.lit("hi").alias("_side"), F.col("_hi").alias("_pos")))).alias("_x"),
+    ).select(*group, "_q", "_frac", "_n", "_x._side", "_x._pos")
 
     # targets descends from pref: rename its keys so the join is unambiguous
-    t = broadcast_if_small(targets.select(*[F.col(g).alias(f"_k_{i}") for i, g in enumerate(group)], "_q", "_side", "_pos"))
+    t = broadcast_if_small(
+        targets.select(*[F.col(g).alias(f"_k_{i}") for i, g in enumerate(group)], "_q", "_frac", "_n", "_side", "_pos")
+    )
     found = pref.join(
         t,
         [F.col(g) == F.col(f"_k_{i}") for i, g in enumerate(group)]
         + [(F.col("_pos") >= F.col("_before")) & (F.col("_pos") < F.col("_before") + F.col("_w"))],
-    ).select(*group, "_q", "_side", F.col(value).alias("_v"))
+    ).select(*group, "_q", "_frac", "_n", "_side", F.col(value).alias("_v"))
 
     picked = found.groupBy(*group, "_q").agg(
         F.max(F.when(F.col("_side") == "lo", F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("_side") == "hi", F.col("_v"))).alias("_vhi"),
+        F.max("_frac").alias("_frac"),
+        F.max("_n").alias("_n"),
     )
-    interp = picked.join(wanted.select(*group, "_q", "_frac", "_n"), [*group, "_q"]).withColumn(
+    interp = picked.withColumn(
         "_val",
         F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(
             F.col("_vlo") * (F.lit(1.0) - F.col("_frac")) + F.col("_vhi") * F.col("_frac")

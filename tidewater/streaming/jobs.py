@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.exact import units
 from tidewater.plans.catalog import job
 from tidewater.session import scratch_path
 from tidewater.sources.tables import Tables
@@ -37,7 +38,8 @@ def _ntz(c: str) -> F.Column:
 
 
 def _cents(c: str = "value") -> F.Column:
-    return F.col(c).cast("decimal(18,2)")
+    """Money as exact cents in a long: state and sums stay long arithmetic."""
+    return units(c)
 
 
 def _replay(spark: SparkSession, sf_dir: str, name: str, build, output_mode: str = "append") -> DataFrame:
@@ -78,7 +80,7 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _replay(spark, sf_dir, "stream_daily", _daily)
     return out.select(
         _ntz("w.start").alias("window_start"), _ntz("w.end").alias("window_end"), "event_type",
-        "n_events", F.col("value_sum").cast("double").alias("value_sum"),
+        "n_events", (F.col("value_sum").cast("double") / F.lit(100.0)).alias("value_sum"),
     )
 
 
@@ -263,7 +265,7 @@ def stream_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _replay(spark, sf_dir, "stream_by_segment", build)
     return out.select(
         _ntz("w.start").alias("window_start"), _ntz("w.end").alias("window_end"), "c_mktsegment",
-        "n_events", F.col("value_sum").cast("double").alias("value_sum"),
+        "n_events", (F.col("value_sum").cast("double") / F.lit(100.0)).alias("value_sum"),
     )
 
 
@@ -289,7 +291,7 @@ def stream_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(stream: DataFrame) -> DataFrame:
         return stream.groupBy("user_id").agg(
             F.count(F.lit(1)).alias("n_events"),
-            F.sum(_cents() * 100).cast("bigint").alias("value_cents"),
+            F.sum(_cents()).alias("value_cents"),
             F.min("ts").alias("first_ts"),
             F.max("ts").alias("last_ts"),
             F.count(F.when(F.col("event_type") == "purchase", 1)).alias("n_purchases"),

@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Written, fresh, ship, slices
+from tidewater.llm.common import Written, fresh, ship, sieve, sieved, slices
 from tidewater.operators.graph import connected_components
 
 ship(__name__)
@@ -411,7 +411,9 @@ def cluster(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     sizes = member.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long")
     wanted = member.join(sizes, "region").select("node", "region", "same", F.col("rep").alias("id"), blocks.alias("blocks"))
-    source = docs.select(identity(docs).alias("id"), digest(F.col("text")).alias("same"), normal(F.col("text")).alias("text"))
+    # most texts are in no region: a sieve keeps them out of the shuffle
+    source = sieved(docs.select(identity(docs).alias("id"), "text"), "id", sieve(member, "rep"), "wanted").filter("wanted")
+    source = source.select("id", digest(F.col("text")).alias("same"), normal(F.col("text")).alias("text"))
     # one row a text, whatever rows repeat
     found = wanted.join(source, ["id", "same"]).groupBy("node", "region", "blocks").agg(F.first("text").alias("text"))
     found = Written(found, "region-texts").df
@@ -432,13 +434,15 @@ def deduplicate(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     Of rows that repeat the id and words of the one that stays the least (by
     all columns) does."""
     named = Written(cluster(docs, least), "dedup-classes").df
-    key, own = fresh("id", docs), fresh("same", docs)
-    marked = docs.withColumn(key, identity(docs)).withColumn(own, digest(F.col("text")))
+    key, own, flag = fresh("id", docs), fresh("same", docs), fresh("flag", docs)
     gone = named.filter("not kept").select(F.col("id").alias(key), F.col("same").alias(own))
     repeated = named.filter("kept").groupBy("class_id").count().filter("count > 1").select(F.col("class_id").alias(key))
-    stay = marked.join(gone, [key, own], "left_anti")
+    # only rows that a sieve of the dropped ids lets through are shuffled
+    marked = sieved(docs.withColumn(key, identity(docs)), key, sieve(gone, key), flag)
+    maybe = marked.filter(flag).withColumn(own, digest(F.col("text"))).join(gone, [key, own], "left_anti")
+    stay = marked.filter(~F.col(flag)).select(key, *docs.columns).unionByName(maybe.select(key, *docs.columns))
     if repeated.isEmpty():
         return stay.select(*docs.columns)
     single = stay.join(repeated, key, "left_anti").select(*docs.columns)
-    once = stay.join(repeated.distinct(), key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    once = stay.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row"))
     return single.unionByName(once.select("row.*"))

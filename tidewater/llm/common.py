@@ -82,6 +82,32 @@ def remainder(doc_id: Column, m: int) -> Column:
     return F.crc32(doc_id.cast("string")) % m
 
 
+#: Bits of a sieve: 8 MB when full, whatever the number of keys.
+SIEVE_BITS = 26
+
+
+def _sieve_place(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(1 << SIEVE_BITS)) + 1
+
+
+def sieve(keys: DataFrame, key: str) -> DataFrame:
+    """A bitmap of hashed keys, in rows of 4 KB.  Its size has a fixed bound, so
+    it may be broadcast; the fuller it is, the more rows it lets through."""
+    place = _sieve_place(F.col(key))
+    rows = keys.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+    return rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+
+
+def sieved(df: DataFrame, key: str, keys: DataFrame, flag: str) -> DataFrame:
+    """``df`` with ``flag``: false for rows whose key is certainly not among
+    the sieve's."""
+    place, own = _sieve_place(F.col(key)), [fresh(c, df) for c in ("bucket", "bits")]
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col(own[1]), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    joined = df.withColumn(own[0], F.bitmap_bucket_number(place)).join(F.broadcast(keys.toDF(*own)), own[0], "left")
+    return joined.withColumn(flag, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop(*own)
+
+
 def text_digest(text: Column) -> Column:
     """128 bits of a text (null counts as empty)."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))

@@ -76,7 +76,7 @@ def _uniform(x: np.ndarray) -> np.ndarray:
 class Hasher:
     """64-bit hashes of words, remembered (bounded) by a worker."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         self.known, self.most = {}, most
 
     def __call__(self, ws: list[str]) -> np.ndarray:
@@ -185,7 +185,7 @@ def _signed(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         hasher = Hasher()
-        for part in slices(batches, 512):
+        for part in slices(batches, 384):
             bags = [shingles(words(t), hasher) for t in part.column(2).to_pylist()]
             signed = signatures(bags)
             keys = band_keys(signed)
@@ -376,18 +376,28 @@ def _large_regions(blocks: DataFrame, least: float) -> DataFrame:
     """Links of regions of many blocks (see the module's text)."""
     blocks = Written(blocks, "dedup-blocks").df
     left = blocks.select("region", F.col("block").alias("a_block"), *[F.col(c).alias(f"a_{c}") for c in ("ids", "sizes", "flat")])
-    everything = F.lit(None).cast("array<long>")
-    pivots = blocks.groupBy("region").agg(F.min("block").alias("block"))
-    first = left.join(blocks.join(pivots, ["region", "block"]), "region").withColumn("only", everything)
-    found = Written(_pair_edges(first, least), "dedup-links").df
+    keys = blocks.select("region", "block")
+    a_keys = keys.withColumnRenamed("block", "a_block")
+
+    def pairs(which: DataFrame, first: DataFrame) -> DataFrame:
+        """The blocks of key pairs (region, a_block, block).  The last join
+        deals them out by the first block, so a large region is many tasks."""
+        return _pair_edges(which.join(blocks, ["region", "block"]).join(first, ["region", "a_block"]), least)
+
+    everything = left.withColumn("only", F.lit(None).cast("array<long>"))
+    pivots = keys.groupBy("region").agg(F.min("block").alias("block"))
+    found = Written(pairs(a_keys.join(pivots, "region"), everything), "dedup-links").df
     # the class of the pivots in each region that holds most documents
     nodes = blocks.select("region", "block", F.explode("ids").alias("node"))
     classes = nodes.join(connected_components(found), "node", "left").withColumn("class", F.coalesce("component", "node"))
     main = classes.groupBy("region", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("region").agg(F.max_by("class", F.struct("n", "class")).alias("main"))
     rest = classes.join(main, "region").filter(F.col("class") != F.col("main"))
-    only = rest.groupBy("region", F.col("block").alias("a_block")).agg(F.collect_list("node").alias("only"))  # a block's documents at most
-    second = left.join(only, ["region", "a_block"]).join(blocks.drop("block"), "region")
-    return found.unionByName(_pair_edges(second, least))
+    # at most a block's documents in a list
+    cell = rest.groupBy(F.xxhash64("region", "block").alias("cell"))
+    only = cell.agg(F.first("region").alias("region"), F.first("block").alias("a_block"), F.collect_list("node").alias("only")).drop("cell")
+    only = Written(only, "dedup-rest").df
+    again = pairs(only.select("region", "a_block").join(keys, "region"), left.join(only, ["region", "a_block"]))
+    return found.unionByName(again)
 
 
 def identity(docs: DataFrame) -> Column:

@@ -193,9 +193,13 @@ def _large_links(spark, members: DataFrame, threshold: float) -> DataFrame:
         )
 
     schema = "component long, block long, dim int, outer int, ids binary, n binary, inner binary, x binary, inner_n long"
-    blocks = Written(members.join(centre, "component").groupBy("component", "block").applyInPandas(pack, schema), "vector-blocks").df
-    left = blocks.filter("outer > 0").select("component", *[F.col(c).alias(f"a_{c}") for c in ("ids", "n", "inner", "x")])
-    pairs = left.join(blocks.select("component", "dim", "ids", "n", "inner", "x"), "component")
+    cells = Written(members.join(centre, "component"), "vector-large").df.groupBy("component", "block")
+    blocks = Written(cells.applyInPandas(pack, schema), "vector-blocks").df
+    left = blocks.filter("outer > 0").select("component", F.col("block").alias("a_block"), *[F.col(c).alias(f"a_{c}") for c in ("ids", "n", "inner", "x")])
+    # pairs of keys first; the last join deals them out by the first block
+    keys = left.select("component", "a_block").join(blocks.select("component", "block"), "component")
+    right = blocks.select("component", "block", "dim", "ids", "n", "inner", "x")
+    pairs = keys.join(right, ["component", "block"]).join(left, ["component", "a_block"])
 
     def compare(batches):
         import pyarrow as pa

@@ -118,7 +118,9 @@ def _round_blocks(rows: DataFrame, level: int) -> DataFrame:
         out["_part"] = pivot(pdf["_key"].to_numpy(), pdf["_size"].to_numpy(), pdf["_part"].to_numpy(), level)
         return out
 
-    return rows.groupBy("_source", "_block").applyInPandas(one, "_key long, _source long, _block long, _size double, _part double")
+    # one key of both, or rows that come dealt by source would stay so
+    cell = rows.withColumn("_cell", F.xxhash64("_source", "_block"))
+    return cell.groupBy("_cell").applyInPandas(one, "_key long, _source long, _block long, _size double, _part double")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:

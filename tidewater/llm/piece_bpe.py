@@ -36,7 +36,7 @@ ship(__name__)
 
 SPACE = "▁"
 #: Words (in each of two generations) and pairs of pieces that a worker remembers.
-WORDS, PAIRS = 200_000, 1_000_000
+WORDS, PAIRS = 100_000, 300_000
 #: Texts the vocabulary's rules are tried on when it is read.
 PROBES = ("", " ", "a", "  a  b ", "a\tb\nc", "é▁x", " \n ", "　ﬁ ሴ", "the   words▁▁ of it!! \U0001f600")
 

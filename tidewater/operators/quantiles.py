@@ -67,7 +67,7 @@ def exact_percentiles(
     )
     found = pref.join(
         t,
-        [F.col(g) == F.col(f"_k_{i}") for i, g in enumerate(group)]
+        [F.col(g).eqNullSafe(F.col(f"_k_{i}")) for i, g in enumerate(group)]
         + [(F.col("_pos") >= F.col("_before")) & (F.col("_pos") < F.col("_before") + F.col("_w"))],
     ).select(*group, "_q", "_frac", "_n", "_side", F.col(value).alias("_v"))
 

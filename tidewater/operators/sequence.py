@@ -97,8 +97,8 @@ def weighted_prefix(
     in ``order`` (an exclusive prefix sum over the whole table).  With a
     weight of constant 1 this is the row's 0-based position.
 
-    The running sums inside a partition are vectorised ``cumsum`` calls per
-    Arrow batch; they are written once (``_materialize``), and the partition
+    The running sums inside a partition are Arrow cumulative sums per batch,
+    so no value of any other column is converted; they are written once (``_materialize``), and the partition
     totals are a JVM aggregate over that table.  Weights must be integral
     (counts, cents).
     """
@@ -111,21 +111,25 @@ def weighted_prefix(
         out_schema = out_schema.add(f"_cum{i}", "long")
 
     def local_prefix(batches):
+        # Arrow keeps 64-bit integers and nulls of every column as they are
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
         running = [0] * len(weights)
-        for pdf in batches:
-            extra = {"_pid": pid}
+        for batch in batches:
+            n = batch.num_rows
+            arrays = [*batch.columns, pa.array([pid] * n, pa.int64())]
             for i, w in enumerate(weights):
-                col = pdf[w].fillna(0).astype("int64")
-                cum = col.cumsum() + running[i]
-                if len(cum):
-                    running[i] = int(cum.iloc[-1])
-                extra[f"_cum{i}"] = cum - col
-            yield pdf.assign(**extra)
-
-    local = _materialize(ranged.mapInPandas(local_prefix, out_schema), "prefix")
+                col = pc.fill_null(batch.column(batch.schema.get_field_index(w)).cast(pa.int64()), 0)
+                cum = pc.add(pc.cumulative_sum(col), running[i])
+                if n:
+                    running[i] = cum[n - 1].as_py()
+                arrays.append(pc.subtract(cum, col))
+            yield pa.RecordBatch.from_arrays(arrays, names=out_schema.fieldNames())
+
+    local = _materialize(ranged.mapInArrow(local_prefix, out_schema), "prefix")
     totals = local.groupBy("_pid").agg(
         *[F.coalesce(F.sum(w), F.lit(0)).cast("long").alias(f"_w{i}") for i, w in enumerate(weights)]
     )

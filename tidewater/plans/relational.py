@@ -662,7 +662,7 @@ def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.get_json_object("props", "$.k").try_cast("bigint")
     return (
         Tables(spark, sf_dir)
         .events.withColumn("k", k)

@@ -46,10 +46,12 @@ TEXT_TABLES = frozenset({"documents", "pages", "benchmark", "conversations"})
 
 def ensure_parallel(df: DataFrame) -> DataFrame:
     """Spread ``df`` over the cluster's cores if its scan has fewer splits
-    than that (a small file with one row group is one task).  A large table
-    already has far more splits than cores and is returned unchanged, so no
-    shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    than that (a small file with one row group is one task).  Local sessions
+    only: on a cluster the table is returned unchanged."""
+    sc = df.sparkSession.sparkContext
+    if not sc.master.startswith("local"):
+        return df
+    cores = sc.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 

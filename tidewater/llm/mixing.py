@@ -35,6 +35,8 @@ ship(__name__)
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
 BLOCK, FAN = 4096, 256
+#: Sources up to which their plan (24 bytes each) is broadcast.
+BROADCAST_SOURCES = 100_000
 
 
 def words(text: Column) -> Column:
@@ -135,6 +137,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     blocks = F.greatest(F.lit(1), F.ceil(F.col("_units") / BLOCK)).cast("long")
     counts = units.groupBy("_source").agg(F.count(F.lit(1)).alias("_units"))
     plan = shares.join(counts, "_source").select("_source", rate.alias("_rate"), blocks.alias("_blocks"))
+    deepest, sources = counts.agg(F.max("_units"), F.count(F.lit(1))).first()
+    if sources <= BROADCAST_SOURCES:  # three numbers a source; more are joined by a shuffle
+        plan = F.broadcast(plan)
     parts = (
         units.join(plan, "_source")
         .withColumn("_whole", F.floor("_rate"))
@@ -143,8 +148,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
         .withColumnRenamed("row_key", "_key")
     )
     level, open_, decided = 0, parts, []
-    deepest = counts.agg(F.max("_units")).first()[0] or 1
-    width = -(-deepest // BLOCK)
+    width = -(-(deepest or 1) // BLOCK)
     while True:
         out = Written(_round_blocks(open_.select("_key", "_source", "_block", "_size", "_part"), level), "mix-level").df
         decided.append(out.filter((F.col("_part") == 0) | (F.col("_part") == 1)).select("_key", "_part"))

@@ -1,6 +1,6 @@
 """Training-order materialisation of token ids.
 
-Documents are encoded (``piece_bpe``), cut into sequences of ``stride`` ids,
+Documents are encoded (by the sentencepiece library, in the tasks), cut into sequences of ``stride`` ids,
 and every sequence gets a global slot: its index goes through a keyed Feistel
 permutation of the next larger power of four, walked on until it falls below
 the number of sequences (cycle-walking), which is a permutation of
@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewater.llm.common import Sent, Written, ship, slices
-from tidewater.llm.piece_bpe import Vocabulary
 from tidewater.session import scratch_path
 
 ship(__name__)
@@ -67,16 +66,19 @@ def _encoded(docs: DataFrame, sent: Sent, kind: str, stride: int) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        coder, pid, before = sent.value.coder(), TaskContext.get().partitionId(), 0
-        small = len(coder.plain) <= 1 << 16
+        import sentencepiece
+
+        coder = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
+        pid, before = TaskContext.get().partitionId(), 0
+        kind = "<u2" if coder.get_piece_size() <= 1 << 16 else "<u4"
         for part in slices(batches):
+            texts = [t or "" for t in part.column(1).to_pylist()]
             ids, n, first = [], [], []
-            for text in part.column(1).to_pylist():
-                packed = coder.encode(text)
-                n.append(len(packed) // 4)
+            for own in coder.encode(texts, add_bos=True, add_eos=True, num_threads=1):
+                n.append(len(own))
                 first.append(before)
                 before += -(-n[-1] // stride)
-                ids.append(np.frombuffer(packed, "<u4").astype("<u2").tobytes() if small else packed)
+                ids.append(np.array(own, kind).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(ids, pa.binary()), pa.array(n, pa.int32()), pa.array([pid] * len(n), pa.int32()), pa.array(first, pa.int64())], ["doc_id", "ids", "n", "pid", "first"]
             )
@@ -159,19 +161,37 @@ class Shards:
     def index(self) -> DataFrame:
         """A row a sequence: where it is, and the SHA-256 of its ids as they
         were written."""
-        size = self.stride * self.width
-        digest = F.transform(F.sequence(F.lit(0), F.size("doc_ids") - 1), lambda i: F.sha2(F.substring("payload", i * size + 1, F.get(F.col("n_tokens"), i) * self.width), 256))
-        rows = self.table.select("shard", "first_slot", F.posexplode(F.arrays_zip("doc_ids", "parts", "n_tokens", digest.alias("digest"))).alias("at", "r"))
-        return rows.select(
-            F.col("r.doc_ids").alias("doc_id"), F.col("r.parts").alias("part"), (F.col("first_slot") + F.col("at")).alias("slot"), "shard", F.col("at").alias("record"), F.col("r.n_tokens").alias("n_tokens"), F.col("r.digest").alias("tokens_sha256")
-        )
+        stride, width, per_shard = self.stride, self.width, self.per_shard
+
+        def run(batches):
+            import hashlib
+
+            import pyarrow as pa
+
+            for part in slices(batches, 4):
+                for k in range(part.num_rows):
+                    shard, slot, docs, parts, sizes = (part.column(i)[k].as_py() for i in range(5))
+                    payload = part.column(5)[k].as_buffer()
+                    n = len(docs)
+                    digest = [hashlib.sha256(payload[i * stride * width : (i * stride + m) * width]).hexdigest() for i, m in enumerate(sizes)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(docs, part.schema.field(2).type.value_type), pa.array(parts, pa.int32()), pa.array(range(slot, slot + n), pa.int64()), pa.array([shard] * n, pa.int64()), pa.array(range(slot - shard * per_shard, slot - shard * per_shard + n), pa.int32()), pa.array(sizes, pa.int32()), pa.array(digest)],
+                        ["doc_id", "part", "slot", "shard", "record", "n_tokens", "tokens_sha256"],
+                    )
+
+        rows = self.table.select("shard", "first_slot", "doc_ids", "parts", "n_tokens", "payload")
+        kind = rows.schema["doc_ids"].dataType.elementType.simpleString()
+        return rows.mapInArrow(run, f"doc_id {kind}, part int, slot long, shard long, record int, n_tokens int, tokens_sha256 string")
 
 
 def materialise(docs: DataFrame, model: str, stride: int = STRIDE, per_shard: int = PER_SHARD, seed: int = SEED) -> Shards:
     """Encode, permute and write all documents (columns doc_id and text)."""
     spark = docs.sparkSession
-    vocabulary = Vocabulary(model)
-    width = 2 if len(vocabulary.pieces) <= 1 << 16 else 4
+    with open(model, "rb") as file:
+        vocabulary = file.read()
+    import sentencepiece
+
+    width = 2 if sentencepiece.SentencePieceProcessor(model_proto=vocabulary).get_piece_size() <= 1 << 16 else 4
     kind = docs.schema["doc_id"].dataType.simpleString()
     tokens = Written(_encoded(docs.select("doc_id", "text"), Sent(spark, vocabulary), kind, stride), "tokens")
     sums = tokens.df.groupBy("pid").agg(F.sum(F.ceil(F.col("n") / stride)).alias("m"))

@@ -23,6 +23,8 @@ slots of their own; null ids stay null.  An empty table writes no shard.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,7 +72,7 @@ def _encoded(docs: DataFrame, sent: Sent, kind: str, stride: int) -> DataFrame:
 
         coder = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
         pid, before = TaskContext.get().partitionId(), 0
-        kind = "<u2" if coder.get_piece_size() <= 1 << 16 else "<u4"
+        kind = "H" if coder.get_piece_size() <= 1 << 16 else "I"
         for part in slices(batches):
             texts = [t or "" for t in part.column(1).to_pylist()]
             ids, n, first = [], [], []
@@ -78,7 +80,7 @@ def _encoded(docs: DataFrame, sent: Sent, kind: str, stride: int) -> DataFrame:
                 n.append(len(own))
                 first.append(before)
                 before += -(-n[-1] // stride)
-                ids.append(np.array(own, kind).tobytes())
+                ids.append(array(kind, own).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(ids, pa.binary()), pa.array(n, pa.int32()), pa.array([pid] * len(n), pa.int32()), pa.array(first, pa.int64())], ["doc_id", "ids", "n", "pid", "first"]
             )
@@ -193,7 +195,7 @@ def materialise(docs: DataFrame, model: str, stride: int = STRIDE, per_shard: in
 
     width = 2 if sentencepiece.SentencePieceProcessor(model_proto=vocabulary).get_piece_size() <= 1 << 16 else 4
     kind = docs.schema["doc_id"].dataType.simpleString()
-    tokens = Written(_encoded(docs.select("doc_id", "text"), Sent(spark, vocabulary), kind, stride), "tokens")
+    tokens = Written(_encoded(docs.select("doc_id", "text"), Sent(spark, vocabulary), kind, stride), "tokens", "zstd")
     sums = tokens.df.groupBy("pid").agg(F.sum(F.ceil(F.col("n") / stride)).alias("m"))
     # a row a partition of the scan, however much each holds
     offsets = sums.select("pid", F.coalesce(F.sum("m").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("offset"))
@@ -203,6 +205,6 @@ def materialise(docs: DataFrame, model: str, stride: int = STRIDE, per_shard: in
     ordered = sequences.repartitionByRange("shard").sortWithinPartitions("shard", "slot")
     path = scratch_path(spark, "training-order")
     pad = PAD.to_bytes(width, "little")
-    _shards(ordered, stride, width, pad, kind).write.parquet(path)
+    _shards(ordered, stride, width, pad, kind).write.option("compression", "zstd").parquet(path)
     tokens.delete()
     return Shards(spark, path, total, stride, width, per_shard)

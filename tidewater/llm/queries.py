@@ -91,7 +91,7 @@ ORACLES = {
     "op6_sorted_projection_dedup": """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND list_sum(list_transform(embedding, x -> abs(x))) > 0
+  WHERE embedding IS NOT NULL AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0
 ), l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
   ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9

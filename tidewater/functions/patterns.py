@@ -60,11 +60,17 @@ MERSENNE_31 = 2147483647
 
 # --- pages ------------------------------------------------------------------
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-LINK = r"(?i)<a\s[^>]*href\s*=\s*\"([^\"]*)\""
-BOILERPLATE_BLOCKS = r"(?is)<(script|style|nav|footer|header|aside)[^>]*>.*?</(script|style|nav|footer|header|aside)>"
+LINK = r"""(?i)<a\s+([^>]*\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Raw-text elements end at their own closing tag, or with the page.
+RAW_TEXT = [rf"(?is)<{tag}\b[^>]*>.*?(</{tag}\s*>|\z)" for tag in ("script", "style")]
+# Elements dropped with all they hold, and how deep one may nest in itself.
+BLOCK_TAGS = ["nav", "aside", "footer", "header"]
+BLOCK_DEPTH = 4
 COMMENT = r"(?s)<!--.*?-->"
 AD_BLOCK = r"(?is)<div class=\"ad\"[^>]*>.*?</div>"
 TAG = r"<[^>]+>"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 URL_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)"
-TRACKING_PARAM = r"(utm_[a-z]+|ref|fbclid|gclid)=[^&#]*&?"
+URL_PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*://)?([^/?#]*)([^?#]*)(\?([^#]*))?"  # scheme, host, path, ?query, query
+# Of a query with "&" put before each parameter.
+TRACKING_PARAM = r"&(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"

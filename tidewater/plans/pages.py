@@ -19,8 +19,16 @@ def _q(s: str) -> str:
 
 
 def _main_text_steps():
-    """(pattern, replacement) steps turning a page into its main text."""
-    steps = [(P.BOILERPLATE_BLOCKS, " "), (P.COMMENT, " "), (P.AD_BLOCK, " "), (P.TITLE, " "), (P.TAG, " ")]
+    """(pattern, replacement) steps turning a page into its main text.
+
+    Scripts and styles go first, as a tag inside their source is no tag.  The
+    tags of each block element become two marks, so "the innermost block" is a
+    pattern without look-around; it is replaced once for every level."""
+    steps = [(r"[\x01\x02]", " "), *((pat, " ") for pat in P.RAW_TEXT), (P.COMMENT, " ")]
+    for tag in P.BLOCK_TAGS:
+        steps += [(rf"(?i)<{tag}\b[^>]*>", "\x01"), (rf"(?i)</{tag}\s*>", "\x02")]
+        steps += [(r"\x01[^\x01\x02]*\x02", " ")] * P.BLOCK_DEPTH + [(r"[\x01\x02]", " ")]
+    steps += [(P.AD_BLOCK, " "), (P.TITLE, " "), (P.TAG, " ")]
     steps += [(ent, ch) for ent, ch in P.ENTITIES]
     steps += [(r"\s+", " "), (r"^ | $", "")]
     return steps
@@ -48,7 +56,7 @@ def main_text(col: str) -> F.Column:
     f"""
     SELECT page_id,
            regexp_extract(html, {_q(P.TITLE)}, 1) AS title,
-           CAST(len(regexp_extract_all(html, {_q(P.LINK)}, 1)) AS BIGINT) AS n_links,
+           CAST(len(regexp_extract_all(html, {_q(P.LINK)}, 0)) AS BIGINT) AS n_links,
            {_main_text_sql('html')} AS main_text
     FROM pages
     """,
@@ -58,10 +66,14 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title, number of links, and the main text with navigation, headers,
     footers, scripts, styles, comments and ad blocks removed."""
     pages = Tables(spark, sf_dir).pages
+    return page_text_df(pages)
+
+
+def page_text_df(pages: DataFrame) -> DataFrame:
     return pages.select(
         "page_id",
         F.regexp_extract("html", P.TITLE, 1).alias("title"),
-        F.size(F.regexp_extract_all("html", F.lit(P.LINK), F.lit(1))).cast("bigint").alias("n_links"),
+        F.size(F.regexp_extract_all("html", F.lit(P.LINK), F.lit(0))).cast("bigint").alias("n_links"),
         main_text("html").alias("main_text"),
     )
 
@@ -82,21 +94,32 @@ def url_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_CANON_STEPS = [
-    (r"^[a-z][a-z0-9+.-]*://", ""),
-    (r"^(www|m)\.", ""),
-    (r"#.*$", ""),
-    (P.TRACKING_PARAM, ""),
-    (r"[?&]$", ""),
-    (r"/$", ""),
-]
+_HOST_PREFIX, _LAST_SLASH, _NO_PARAMS = r"^(www|m)\.", r"/$", r"&+"
 
 
 def _canon_sql() -> str:
-    cur = "lower(url)"
-    for pat, rep in _CANON_STEPS:
-        cur = f"regexp_replace({cur}, {_q(pat)}, {_q(rep)}, 'g')"
-    return cur
+    part = [f"regexp_extract(url, {_q(P.URL_PARTS)}, {i})" for i in (2, 3, 5)]
+    query = f"regexp_replace('&' || {part[2]}, {_q(P.TRACKING_PARAM)}, '', 'g')"
+    params = f"trim(regexp_replace({query}, {_q(_NO_PARAMS)}, '&', 'g'), '&')"
+    return (
+        f"regexp_replace(lower({part[0]}), {_q(_HOST_PREFIX)}, '') || regexp_replace({part[1]}, {_q(_LAST_SLASH)}, '')"
+        f" || CASE WHEN {params} = '' THEN '' ELSE '?' || array_to_string(list_sort(string_split({params}, '&')), '&') END"
+    )
+
+
+def canonical(url: str) -> F.Column:
+    """One spelling of a URL: scheme, ``www.``/``m.``, fragment, tracking
+    parameters and a last slash removed, the host in lower case, parameters
+    sorted.  Path and query keep their case."""
+    host, path, query = (F.regexp_extract(url, P.URL_PARTS, i) for i in (2, 3, 5))
+    query = F.regexp_replace(F.concat(F.lit("&"), query), P.TRACKING_PARAM, "")
+    params = F.btrim(F.regexp_replace(query, _NO_PARAMS, "&"), F.lit("&"))
+    tail = F.concat(F.lit("?"), F.array_join(F.array_sort(F.split(params, "&")), "&"))
+    return F.concat(
+        F.regexp_replace(F.lower(host), _HOST_PREFIX, ""),
+        F.regexp_replace(path, _LAST_SLASH, ""),
+        F.when(params == "", F.lit("")).otherwise(tail),
+    )
 
 
 @job(
@@ -108,13 +131,9 @@ def _canon_sql() -> str:
     group="pages",
 )
 def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised URLs (scheme, www/m prefix, fragment, tracking parameters
-    and trailing slash removed) with the pages sharing each one."""
-    c = F.lower("url")
-    for pat, rep in _CANON_STEPS:
-        c = F.regexp_replace(c, pat, rep)
+    """Canonical URLs with the pages sharing each one."""
     return (
         Tables(spark, sf_dir)
-        .pages.groupBy(c.alias("canonical_url"))
+        .pages.groupBy(canonical("url").alias("canonical_url"))
         .agg(F.count(F.lit(1)).alias("n_pages"), F.min("page_id").alias("keep_page_id"))
     )

@@ -63,9 +63,8 @@ def interval_join(
     right_ts: str,
     lower_seconds: int,
     upper_seconds: int,
-    how: str = "inner",
 ) -> DataFrame:
-    """Join rows with equal ``keys`` and ``left_ts + lower <= right_ts <= left_ts + upper``.
+    """Inner join of rows with equal ``keys`` and ``left_ts + lower <= right_ts <= left_ts + upper``.
 
     The time bounds are turned into an extra equi key: both sides get a time
     bucket of the interval's width, and each left row is repeated for the few
@@ -87,5 +86,5 @@ def interval_join(
     cond = [l2[k] == r2[k] for k in keys] + [l2["_tb"] == r2["_tb"]]
     delta = F.unix_micros(r2[right_ts].cast("timestamp")) - F.unix_micros(l2[left_ts].cast("timestamp"))
     cond.append(delta.between(lower_seconds * 1_000_000, upper_seconds * 1_000_000))
-    out = l2.join(r2, cond, how)
+    out = l2.join(r2, cond)
     return out.drop(l2["_tb"]).drop(r2["_tb"])

@@ -19,7 +19,7 @@ from tidewater.sources.tables import Tables
 # Fixed parameters of the reports.
 SHIP_CUTOFF = "2000-09-02"  # pricing summary: lines shipped on or before this day
 REVENUE_YEAR = 1997  # region revenue: orders placed in this year
-PRICE_BANDS = [("budget", 0.0, 930.0), ("standard", 930.0, 970.0), ("premium", 970.0, 1e12)]
+PRICE_BANDS = [("budget", float("-inf"), 930.0), ("standard", 930.0, 970.0), ("premium", 970.0, float("inf"))]
 TOP_PER_NATION = 3
 LARGEST_ORDERS = 10
 SINK_YEAR = 1999
@@ -298,7 +298,7 @@ def orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _BANDS_SQL = " UNION ALL ".join(
-    f"SELECT '{name}' AS band, {lo} AS lo, {hi} AS hi" for name, lo, hi in PRICE_BANDS
+    f"SELECT '{name}' AS band, CAST('{lo}' AS DOUBLE) AS lo, CAST('{hi}' AS DOUBLE) AS hi" for name, lo, hi in PRICE_BANDS
 )
 
 
@@ -388,14 +388,10 @@ def flags_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def orders_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    Tables(spark, sf_dir).orders.createOrReplaceTempView("tw_orders")
-    return spark.sql(
-        """
-        SELECT o_orderstatus, o_orderpriority, COUNT(*) AS n_orders,
-               CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_price
-        FROM tw_orders GROUP BY GROUPING SETS ((o_orderstatus), (o_orderpriority), ())
-        """
-    )
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    sets = Tables(spark, sf_dir).orders.groupingSets([[status], [priority], []], status, priority)
+    total = F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")), 2).cast("double")
+    return sets.agg(F.count(F.lit(1)).alias("n_orders"), total.alias("total_price"))
 
 
 @job(
@@ -443,14 +439,23 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
            COUNT(*) FILTER (WHERE event_type = 'error') AS error,
            COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchase,
            COUNT(*) FILTER (WHERE event_type = 'signup') AS signup,
-           COUNT(*) FILTER (WHERE event_type = 'view') AS "view"
+           COUNT(*) FILTER (WHERE event_type = 'view') AS "view",
+           COUNT(*) FILTER (WHERE event_type IS NULL
+                            OR event_type NOT IN ('click', 'error', 'purchase', 'signup', 'view')) AS other
     FROM events GROUP BY user_id
     """,
 )
 def event_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Listing the pivot values skips the extra job that would find them.
-    p = Tables(spark, sf_dir).events.groupBy("user_id").pivot("event_type", EVENT_TYPES).agg(F.count(F.lit(1)))
-    return p.select("user_id", *[F.coalesce(F.col(v), F.lit(0)).cast("bigint").alias(v) for v in EVENT_TYPES])
+    return event_pivot_df(Tables(spark, sf_dir).events)
+
+
+def event_pivot_df(events: DataFrame) -> DataFrame:
+    # Listing the pivot values skips the extra job that would find them; any
+    # other type, and null, counts as "other".
+    kind = F.when(F.col("event_type").isin(EVENT_TYPES), F.col("event_type")).otherwise("other")
+    values = [*EVENT_TYPES, "other"]
+    p = events.select("user_id", kind.alias("kind")).groupBy("user_id").pivot("kind", values).agg(F.count(F.lit(1)))
+    return p.select("user_id", *[F.coalesce(F.col(v), F.lit(0)).cast("bigint").alias(v) for v in values])
 
 
 @job(

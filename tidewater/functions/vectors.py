@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Functions of this module travel by value: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def cosine_of(a: Column, b: Column) -> Column:
     """Exact cosine of two equal-length numeric arrays (a JVM expression)."""

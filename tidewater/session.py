@@ -11,8 +11,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. Runtime SQL confs only, so they can be applied
-# to a session somebody else built.
+# Settings the jobs want. Runtime SQL confs only, so they can be applied to a
+# session somebody else built. The jobs' results need the UTC timezone: whoever
+# sets another one gets days and hours of that zone.
 _RUNTIME_CONF = {
     # Timestamps in the tables are naive; pin UTC so casts between
     # TIMESTAMP_NTZ and TIMESTAMP never shift a value.
@@ -28,10 +29,12 @@ _RUNTIME_CONF = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the jobs need and make sure a checkpoint
-    directory exists.  Idempotent and cheap; called by every table read."""
+    """Apply the runtime settings that the session leaves unset and make sure a
+    checkpoint directory exists.  Idempotent and cheap; called by every table
+    read."""
+    made = spark.conf.getAll
     for key, value in _RUNTIME_CONF.items():
-        if spark.conf.get(key, None) != value:
+        if key not in made:
             spark.conf.set(key, value)
     checkpoint_dir(spark)
     return spark

@@ -284,7 +284,8 @@ def stream_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running totals per user as a built-in stateful aggregation in update
     mode: partial aggregates are combined on the map side before the state
     store, so a user holding a third of the stream costs a few rows per task.
-    Each micro-batch appends the rows it updated (``foreachBatch``); the
+    Each micro-batch writes the rows it updated to a folder of its own
+    (``foreachBatch``), which a retry of the batch overwrites; the
     latest row per user -- the one with the most events, as counts only grow
     -- is the current state."""
 
@@ -302,10 +303,10 @@ def stream_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream_user_totals-sink")
 
     def start(writer):
-        return writer.foreachBatch(lambda batch, _id: batch.write.mode("append").parquet(out)).start()
+        return writer.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{out}/batch={n}")).start()
 
     schema = run_slices(feed, events, day_slices("ts", SLICE_CUTS), start, build, "update", "stream_user_totals")
-    updates = spark.read.schema(schema).parquet(out)
+    updates = spark.read.schema(schema).parquet(f"{out}/batch=*")
     latest = updates.groupBy("user_id").agg(
         F.max_by(F.struct(*[c for c in updates.columns if c != "user_id"]), "n_events").alias("s")
     )

@@ -47,7 +47,7 @@ def test_stream_user_totals_equal_batch(spark):
 def test_stream_late_report_counts_held_back_rows(spark):
     ev = _events(spark)
     rep = S.stream_late_report(spark, SF_SMALL)
-    late = ev.filter((F.col("event_type") == S.LATE_TYPE) & (F.to_date("ts") == F.lit(S.LATE_DAY).cast("date"))).count()
+    late = ev.filter((F.col("event_type") == S.LATE_TYPE) & (F.to_date("ts") == F.date_sub(F.lit(S._cuts(ev)[0]), 1))).count()
     assert rep.agg(F.sum("n_late")).first()[0] == late
     assert rep.filter(F.col("n_late") != 0).select("event_type").distinct().collect()[0][0] == S.LATE_TYPE
 

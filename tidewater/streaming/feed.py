@@ -83,7 +83,7 @@ def to_parquet(path: str) -> Callable[[DataStreamWriter], object]:
     return start
 
 
-def day_slices(ts: str, cuts: Sequence[str]) -> list[Column]:
+def day_slices(ts: str, cuts: Sequence) -> list[Column]:
     """Slices of the event log between the given day boundaries, in order."""
     t = F.col(ts)
     bounds = [None, *cuts, None]

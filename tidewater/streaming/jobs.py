@@ -10,6 +10,8 @@ which is the latest event time minus the allowed delay).
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,13 +24,13 @@ from tidewater.streaming.feed import day_slices, new_feed, run_slices, to_parque
 # Fixed parameters of the stream jobs.
 DELAY = "1 hour"  # allowed lateness (watermark delay)
 DELAY_SQL = "INTERVAL 1 HOUR"
-SLICE_CUTS = ["2024-01-11", "2024-01-21"]  # the log arrives in three slices
 SESSION_GAP = "6 hours"
 SESSION_GAP_SQL = "INTERVAL 6 HOUR"
 SIGNUP_WINDOW = "2 hours"
 SIGNUP_WINDOW_SECONDS = 2 * 3600
-LATE_DAY = "2024-01-10"  # error events of this day arrive with the last slice
+# Events of this type on the last day of the first slice arrive with the last one.
 LATE_TYPE = "error"
+LATE_DAY_SQL = "(SELECT CAST(min(ts) AS DATE) + CAST(date_diff('day', min(ts), max(ts)) // 3 AS INTEGER) FROM events)"
 
 _CLOSED = f"(SELECT max(ts) - {DELAY_SQL} FROM events)"
 
@@ -42,11 +44,18 @@ def _cents(c: str = "value") -> F.Column:
     return units(c)
 
 
+def _cuts(events: DataFrame) -> list:
+    """The days after a third and two thirds of the log's days: it arrives in
+    three slices.  None for an empty log, which is one slice."""
+    lo, hi = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    return [] if lo is None else [lo + timedelta(days=k * (hi - lo).days // 3 + 1) for k in (1, 2)]
+
+
 def _replay(spark: SparkSession, sf_dir: str, name: str, build, output_mode: str = "append") -> DataFrame:
     events = Tables(spark, sf_dir).events
     feed = new_feed(spark, events, name)
     out = scratch_path(spark, f"{name}-sink")
-    schema = run_slices(feed, events, day_slices("ts", SLICE_CUTS), to_parquet(out), build, output_mode, name)
+    schema = run_slices(feed, events, day_slices("ts", _cuts(events)), to_parquet(out), build, output_mode, name)
     return spark.read.schema(schema).parquet(out)
 
 
@@ -159,9 +168,9 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = new_feed(spark, events, "stream_dedup")
     out = scratch_path(spark, "stream_dedup-sink")
     t = F.col("ts")
-    c1, c2 = (F.lit(c).cast("timestamp_ntz") for c in SLICE_CUTS)
-    overlap = F.expr("INTERVAL 30 MINUTES")
-    slices = [t < c1, (t >= c1 - overlap) & (t < c2), t >= c2 - overlap]
+    overlap, cuts = F.expr("INTERVAL 30 MINUTES"), [F.lit(c).cast("timestamp_ntz") for c in _cuts(events)]
+    starts = [t >= c - overlap for c in cuts]
+    slices = [a & b for a, b in zip([F.lit(True), *starts], [*(t < c for c in cuts), F.lit(True)])]
 
     def build(stream: DataFrame) -> DataFrame:
         return (
@@ -305,7 +314,7 @@ def stream_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(writer):
         return writer.foreachBatch(lambda rows, n: rows.write.mode("overwrite").parquet(f"{out}/batch={n}")).start()
 
-    schema = run_slices(feed, events, day_slices("ts", SLICE_CUTS), start, build, "update", "stream_user_totals")
+    schema = run_slices(feed, events, day_slices("ts", _cuts(events)), start, build, "update", "stream_user_totals")
     updates = spark.read.schema(schema).parquet(f"{out}/batch=*")
     latest = updates.groupBy("user_id").agg(
         F.max_by(F.struct(*[c for c in updates.columns if c != "user_id"]), "n_events").alias("s")
@@ -324,7 +333,7 @@ def stream_user_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
            COUNT(*) AS n_table,
            COUNT(*) FILTER (WHERE late) AS n_late
     FROM (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
-                 (event_type = '{LATE_TYPE}' AND CAST(ts AS DATE) = DATE '{LATE_DAY}') AS late
+                 (event_type = '{LATE_TYPE}' AND CAST(ts AS DATE) = {LATE_DAY_SQL}) AS late
           FROM events)
     WHERE window_start + INTERVAL 1 DAY <= {_CLOSED}
     GROUP BY window_start, event_type
@@ -341,9 +350,13 @@ def stream_late_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = Tables(spark, sf_dir).events
     feed = new_feed(spark, events, "stream_late_report")
     out = scratch_path(spark, "stream_late_report-sink")
-    late = (F.col("event_type") == LATE_TYPE) & (F.to_date("ts") == F.lit(LATE_DAY).cast("date"))
-    s1, s2, s3 = day_slices("ts", SLICE_CUTS)
-    slices = [s1 & ~late, s2 & ~late, s3 | late]
+    cuts = _cuts(events)
+    late = F.lit(False)
+    if cuts:
+        late = (F.col("event_type") == LATE_TYPE) & (F.to_date("ts") == F.lit(cuts[0] - timedelta(days=1)))
+        late = F.coalesce(late, F.lit(False))
+    *early, last = day_slices("ts", cuts)
+    slices = [*(s & ~late for s in early), last | late]
     schema = run_slices(feed, events, slices, to_parquet(out), _daily, "append", "stream_late_report")
     streamed = spark.read.schema(schema).parquet(out).select(
         _ntz("w.start").alias("window_start"), "event_type", F.col("n_events").alias("n_stream")

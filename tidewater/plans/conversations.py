@@ -13,7 +13,9 @@ ROLES = ["system", "user", "assistant"]
 
 
 def conversation_check_df(conv: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    c = conv.select("conv_id", "turn", "role", "text")
+    # the text stays behind: only whether it is blank goes through the sort
+    blank = F.length(F.regexp_replace("text", r"\s", "")) == 0
+    c = conv.select("conv_id", "turn", "role", blank.alias("blank"))
 
     def exprs(w):
         return {"prev_turn": F.lag("turn", 1).over(w), "prev_role": F.lag("role", 1).over(w)}
@@ -24,7 +26,7 @@ def conversation_check_df(conv: DataFrame, block_rows: int = DEFAULT_BLOCK_ROWS)
         "conv_id",
         F.when(first, F.col("turn") != 0).otherwise(F.col("turn") != F.col("prev_turn") + 1).alias("turn_gap"),
         (F.col("role") == F.col("prev_role")).alias("role_repeat"),
-        (F.length(F.regexp_replace("text", r"\s", "")) == 0).alias("blank"),
+        "blank",
         (~F.col("role").isin(*ROLES)).alias("bad_role"),
         ((F.col("role") == "system") & ~first).alias("late_system"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.exact import sum_units_cents, sum_units_double, units
-from tidewater.operators.joins import band_join
+from tidewater.operators.joins import band_join, broadcast_if_small
 from tidewater.operators.ranking import group_ranks
 from tidewater.plans.catalog import job
 from tidewater.session import scratch_path
@@ -113,15 +113,16 @@ def partitioned_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, then read one year back: the filter becomes a PartitionFilter and
     only that folder is listed and read.
 
-    No shuffle by year before the write: each task writes its own rows into
-    the year folders (a year is a seventh of the table, far too much for one
-    task)."""
+    The rows are rebalanced by year before the write, so a folder gets files
+    of the advisory size and not one file a scan task; a year too large for
+    one task is split by AQE."""
     path = scratch_path(spark, "lineitem_by_year")
     (
         Tables(spark, sf_dir)
         .lineitem.select(
             "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", F.year("l_shipdate").alias("ship_year")
         )
+        .hint("rebalance", "ship_year")
         .write.mode("overwrite")
         .partitionBy("ship_year")
         .parquet(path)
@@ -243,10 +244,11 @@ def table_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue of lines whose customer and supplier share a nation, per nation.
 
-    Only nation and region are hinted for broadcast (25 and 5 rows by
-    definition).  lineitem-orders and orders-customer are big-big joins left
-    to sort-merge; AQE switches any side it measures as small to broadcast and
-    splits skewed partitions (one hot customer) at run time.
+    One year's orders meet their customers first, so the large table of lines
+    is shuffled once, by order; suppliers are broadcast after a check of their
+    size, nation and region (25 and 5 rows by definition) without one.  AQE
+    switches any side it measures as small to broadcast and splits skewed
+    partitions (one hot customer) at run time.
     """
     t = Tables(spark, sf_dir)
     orders = t.orders.filter(
@@ -255,12 +257,14 @@ def region_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("o_orderkey", "o_custkey")
     lines = t.lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount")
     cust = t.customer.select(F.col("c_custkey"), F.col("c_nationkey"))
-    supp = t.supplier.select("s_suppkey", "s_nationkey")
+    supp = broadcast_if_small(t.supplier.select("s_suppkey", "s_nationkey"))
     nation = F.broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
     region = F.broadcast(t.region.select("r_regionkey", "r_name"))
     joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(cust, F.col("o_custkey") == cust.c_custkey)
+        lines.join(
+            orders.join(cust, F.col("o_custkey") == cust.c_custkey).select("o_orderkey", "c_nationkey"),
+            F.col("l_orderkey") == F.col("o_orderkey"),
+        )
         .join(supp, (F.col("l_suppkey") == supp.s_suppkey) & (F.col("c_nationkey") == supp.s_nationkey))
         .join(nation, F.col("s_nationkey") == nation.n_nationkey)
         .join(region, F.col("n_regionkey") == region.r_regionkey)
@@ -412,12 +416,23 @@ def users_per_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@job("users_approx")
+# Five standard errors of approx_count_distinct at 0.01 and of a sketch of 2^12 registers.
+APPROX_BOUND, SKETCH_BOUND = 0.05, 0.08
+
+
+@job(
+    "users_approx",
+    """
+    SELECT event_type, COUNT(DISTINCT user_id) AS exact_users, TRUE AS approx_within, TRUE AS sketch_within
+    FROM events GROUP BY event_type
+    """,
+)
 def users_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate distinct users per event type: HyperLogLog++ through
     ``approx_count_distinct`` next to a mergeable ``hll_sketch_agg`` sketch,
-    which can be stored and unioned across days."""
-    return (
+    which can be stored and unioned across days.  The exact count stands
+    beside them, with whether each estimate is within its bound of it."""
+    counts = (
         Tables(spark, sf_dir)
         .events.groupBy("event_type")
         .agg(
@@ -427,6 +442,15 @@ def users_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
 
+    def within(estimate: str, bound: float) -> F.Column:
+        return F.abs(F.col(estimate) - F.col("exact_users")) <= F.col("exact_users") * F.lit(bound)
+
+    return counts.select(
+        "event_type", "exact_users",
+        within("approx_users", APPROX_BOUND).alias("approx_within"),
+        within("sketch_users", SKETCH_BOUND).alias("sketch_within"),
+    )
+
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 

@@ -115,3 +115,16 @@ def test_quality_rules_edge_rows(spark):
     assert got[2] == "too_short"  # symbols are not tokens
     assert got[3] == "repetition"
     assert got[4] == "no_stop_words"
+
+
+def test_quality_classifier_ranks_held_out_rows(spark):
+    from pyspark.sql import functions as F
+    from tidewater.plans.documents import quality_classifier_df
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    scored = quality_classifier_df(docs, labels.filter(~held)).join(labels.filter(held), "doc_id")
+    got = scored.select("p_good", "quality").collect()
+    good, bad = ([r.p_good for r in got if r.quality == q] for q in (1, 0))
+    auc = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    assert len(good) > 500 and len(bad) > 50 and auc >= 0.8, auc

@@ -9,6 +9,8 @@ no back-references.
 # --- tokenisation -----------------------------------------------------------
 # A token is a maximal run of letters or digits, lower-cased.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+# For the quality classifier, runs of other signs are tokens too: junk shows there.
+WORD_OR_SIGNS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 
 # --- personal data and secrets (replaced in this order) ---------------------
 SECRET = r'(token|api_key|apikey|password|secret)\s*[=:]\s*"[^"]*"'

@@ -69,9 +69,21 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines longer than 20 characters found in three or more documents
     (boilerplate candidates)."""
-    d = Tables(spark, sf_dir).documents
-    lines = explode_rows(d, ["doc_id"], F.split("text", "\n"), "line").filter(F.length("line") > 20)
-    return lines.groupBy("line").agg(F.countDistinct("doc_id").alias("n_docs")).filter(F.col("n_docs") >= 3)
+    return repeated_lines_df(Tables(spark, sf_dir).documents)
+
+
+def repeated_lines_df(docs: DataFrame, min_docs: int = 3) -> DataFrame:
+    """Documents are counted by 128-bit digests of the lines, so no text is
+    shuffled; the found digests are written, and the lines they stand for are
+    combined map-side (one row a line and task)."""
+    spark = docs.sparkSession
+    lines = explode_rows(docs, ["doc_id"], F.split("text", "\n"), "line").filter(F.length("line") > 20)
+    lines = lines.withColumn("h", F.unhex(F.md5("line")))
+    counts = lines.groupBy("h").agg(F.countDistinct("doc_id").alias("n_docs")).filter(F.col("n_docs") >= min_docs)
+    path = scratch_path(spark, "repeated-lines")
+    counts.write.parquet(path)
+    found = broadcast_if_small(spark.read.parquet(path))
+    return lines.join(found, "h").groupBy("h").agg(F.min("line").alias("line"), F.min("n_docs").alias("n_docs")).drop("h")
 
 
 @job(
@@ -267,23 +279,31 @@ def quality_vs_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @job("quality_classifier", group="documents")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train a logistic regression on the labelled documents (hashed term
-    frequencies, IDF weights) and score every document.  Fitting is a few
+    """Train a logistic regression on the labelled documents (hashed
+    frequencies of words and of runs of signs, IDF weights, unit length, so a
+    long text weighs no more than a short one) and score every document.  Fitting is a few
     distributed passes (IDF counts, then L-BFGS tree aggregates); scoring is
     map-only."""
+    t = Tables(spark, sf_dir)
+    return quality_classifier_df(t.documents, t.labels)
+
+
+def quality_classifier_df(documents: DataFrame, labels: DataFrame) -> DataFrame:
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+    from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
     from pyspark.ml.functions import vector_to_array
 
-    t = Tables(spark, sf_dir)
-    docs = t.documents.select("doc_id", "text")
-    train = docs.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    docs = documents.select("doc_id", "text")
+    # the narrow labels are broadcast if they are few, so the texts stay put
+    marks = broadcast_if_small(labels.select("doc_id", F.col("quality").cast("double").alias("label")))
+    train = docs.join(marks, "doc_id")
     pipe = Pipeline(
         stages=[
-            RegexTokenizer(inputCol="text", outputCol="words", pattern=P.TOKEN_SPLIT, toLowercase=True),
+            RegexTokenizer(inputCol="text", outputCol="words", pattern=P.WORD_OR_SIGNS, gaps=False, toLowercase=True),
             HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 18),
-            IDF(inputCol="tf", outputCol="features", minDocFreq=2),
+            IDF(inputCol="tf", outputCol="weights", minDocFreq=2),
+            Normalizer(inputCol="weights", outputCol="features"),
             LogisticRegression(maxIter=50, regParam=0.01, elasticNetParam=0.0),
         ]
     )

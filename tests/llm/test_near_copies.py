@@ -119,6 +119,48 @@ def test_links_equal_brute_force(spark, monkeypatch, block):
     assert (out["kept"] == (out.index == out["component_id"])).all()
 
 
+def unit_rows(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def dense_cone(n_cone, n_far, pairs, seed=1):
+    """A cone of mutual cosine about 0.78 with hardly any links, some planted
+    pairs at about 0.91 in it, and random vectors."""
+    rng = np.random.default_rng(seed)
+    axis = np.eye(64)[0]
+
+    def around(r):
+        return math.sqrt(0.78) * axis + math.sqrt(0.22) * r
+
+    residual = rng.standard_normal((n_cone, 64))
+    residual[:, 0] = 0
+    residual = unit_rows(residual)
+    other = rng.standard_normal((pairs, 64))
+    other[:, 0] = 0
+    near = 0.59 * residual[:pairs] + math.sqrt(1 - 0.59**2) * unit_rows(other)
+    x = np.concatenate([around(residual), around(unit_rows(near)), rng.standard_normal((n_far, 64))])
+    return rng.permutation(x).astype(np.float32)
+
+
+def assert_all_pairs(out, x):
+    out = out.toPandas().set_index("vec_id").sort_index()
+    u = unit_rows(x.astype(float))
+    linked = u @ u.T >= 0.9
+    np.fill_diagonal(linked, False)
+    assert linked.any()
+    assert (out["n_links"].to_numpy() != linked.sum(axis=1)).sum() == 0
+    assert out["component_id"].to_dict() == classes(range(len(x)), zip(*np.nonzero(linked), strict=True))
+
+
+@pytest.mark.parametrize("pass_cost", [embedding_dedup.PASS_COST, 0])
+def test_links_in_a_dense_cone(spark, monkeypatch, pass_cost):
+    """More vectors under a prefix than a window holds: compared exactly, or
+    (cost 0) in further passes until each is covered."""
+    monkeypatch.setattr(embedding_dedup, "PASS_COST", pass_cost)
+    x = dense_cone(3000, 500, 250)
+    assert_all_pairs(embedding_dedup.link(vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])), x)
+
+
 ODD = [
     (1, [1.0, 0.0, 0.0], 0),
     (2, [2.0, 0.0, 0.0], None),

@@ -3,9 +3,20 @@
 Each pass hashes every vector to a code of ``BITS`` concatenated random signs
 and sorts by the code; a vector is compared with the ``WINDOW`` vectors after
 it, by cosine in double precision.  Verified pairs of all passes are united
-into components.  The number of passes follows from the table's size: for a
-pair at the threshold the chance to agree in the leading log2(n / WINDOW)
-bits is p, and passes are made until (1 - p)^passes is below ``MISS``.
+into components.  The first number of passes follows from the table's size, as
+if codes were spread evenly: for a pair at the threshold the chance to agree
+in the leading log2(n / WINDOW) bits and a half is p, and passes are made until
+(1 - p)^passes is below ``MISS``.
+
+Whether that was enough is measured, vector by vector: a pass covers a vector
+to the first bit that everything outside its window differs within, and the
+chance that a pair at the threshold agrees so far is the pass's share.  A
+vector whose shares do not bring the chance of a miss below ``MISS`` is open,
+as all of a dense cone are.  Only pairs of two open vectors can be missing
+(one covered end finds the pair), so further passes take the open ones only,
+until none is left, or, where that is dearer, the open ones are all compared
+with each other, in blocks of matrix products; members of a large component
+already found are not compared among themselves again.
 
 What the windows bound is made up for exactly: equal vectors are collapsed
 first (a group of copies is one vector with a weight), and links are counted
@@ -40,6 +51,8 @@ ship(__name__)
 THRESHOLD, WINDOW, BITS, MISS, SEED = 0.9, 128, 48, 1e-4, 77
 #: Members of a block, and of a component that is compared in one piece.
 BLOCK = 1024
+#: What a vector costs in a pass (hash, shuffle, sort, windows), in cosines.
+PASS_COST = 2000
 
 
 def usable(vector: Column) -> Column:
@@ -60,14 +73,19 @@ def unit(rows: list) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def agreement(threshold: float) -> float:
+    """Chance that vectors of that cosine have the same random sign."""
+    return 1 - math.acos(threshold) / math.pi
+
+
 def passes_for(n: int, threshold: float, window: int, miss: float) -> int:
-    agree = 1 - math.acos(threshold) / math.pi
-    p = agree ** max(0.0, math.log2(max(n, 1) / window))
+    p = agreement(threshold) ** max(0.0, math.log2(max(n, 1) / window) + 0.5)
     return 1 if p >= 1 - miss else max(2, math.ceil(math.log(miss) / math.log(1 - p)))
 
 
-def _codes(vectors: DataFrame, passes: int, bits: int, seed: int) -> DataFrame:
-    """A row a pass and vector: ``(pass, dim, code, id, vec)``."""
+def _codes(vectors: DataFrame, passes: int, bits: int, seed: int, turn: int) -> DataFrame:
+    """A row a pass and vector: ``(pass, dim, code, id, vec)``; every turn has
+    its own random signs."""
 
     def run(batches):
         import pyarrow as pa
@@ -84,7 +102,7 @@ def _codes(vectors: DataFrame, passes: int, bits: int, seed: int) -> DataFrame:
                     x = unit([vecs[i] for i in own])
                     if dim not in planes:
                         planes.clear()
-                        planes[dim] = np.random.default_rng([seed, dim]).standard_normal((dim, passes * bits))
+                        planes[dim] = np.random.default_rng([seed, dim, turn] if turn else [seed, dim]).standard_normal((dim, passes * bits))
                     signs = (x @ planes[dim] >= 0).reshape(len(own), passes, bits)
                     codes = (signs @ shifts).astype(np.int64)
                     raw = [r.tobytes() for r in x]
@@ -108,14 +126,29 @@ def _labels(linked: np.ndarray) -> np.ndarray:
         own = least
 
 
-def _window_edges(ordered: DataFrame, threshold: float, window: int) -> DataFrame:
+def _covered(codes: np.ndarray, lo: int, hi: int, window: int, bits: int) -> np.ndarray:
+    """For the rows lo to hi of a sorted pass the leading bits shared with the
+    nearest rows outside the window: -1 if all rows are within."""
+    at = np.arange(lo, hi)
+    left, right = at - window - 1, at + window + 1
+
+    def shared(other):
+        return bits - np.frexp((codes[at] ^ codes[other]).astype(np.float64))[1]
+
+    before = np.where(left >= 0, shared(np.maximum(left, 0)), -1)
+    after = np.where(right < len(codes), shared(np.minimum(right, len(codes) - 1)), -1)
+    return np.maximum(before, after)
+
+
+def _window_edges(ordered: DataFrame, threshold: float, window: int, bits: int) -> DataFrame:
     """Edges ``(src, dst)`` that connect what the windows link: at most one a
-    row and block."""
+    row and block; and for every row ``(src, shared)``, as of ``_covered``."""
 
     def run(batches):
         import pyarrow as pa
 
-        key, ids, x = None, np.zeros(0, np.int64), np.zeros((0, 0))
+        key, ids, x, codes, done = None, np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0, np.int64), 0
+        names, kinds = ["src", "dst", "shared"], [pa.int64(), pa.int64(), pa.int32()]
 
         def edges(ids, x):
             n = len(ids)
@@ -123,26 +156,130 @@ def _window_edges(ordered: DataFrame, threshold: float, window: int) -> DataFram
             linked = (x @ x.T >= threshold) & near
             label = _labels(linked)
             own = np.flatnonzero(label != np.arange(n))
-            return pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[label[own]])], ["src", "dst"])
+            return pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[label[own]]), pa.nulls(len(own), kinds[2])], names)
+
+        def rows(to):
+            shared = _covered(codes, done, to, window, bits)
+            return pa.RecordBatch.from_arrays([pa.array(ids[done:to]), pa.nulls(to - done, kinds[1]), pa.array(shared, kinds[2])], names)
 
         for batch in batches:
             heads = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            sorted_codes = np.array(batch.column(2).to_pylist(), np.int64)
             more, raw = np.array(batch.column(3).to_pylist(), np.int64), batch.column(4).to_pylist()
             at = 0
             while at < len(heads):
                 if heads[at] != key:
-                    key, ids, x = heads[at], np.zeros(0, np.int64), np.zeros((0, heads[at][1]))
+                    if done < len(ids):
+                        yield rows(len(ids))
+                    key, ids, x, codes, done = heads[at], np.zeros(0, np.int64), np.zeros((0, heads[at][1])), np.zeros(0, np.int64), 0
                 to = at
                 while to < len(heads) and to - at < 512 and heads[to] == key:
                     to += 1
-                ids = np.concatenate([ids[-window:], more[at:to]])
+                ids, codes = np.concatenate([ids, more[at:to]]), np.concatenate([codes, sorted_codes[at:to]])
                 x = np.concatenate([x[-window:], np.frombuffer(b"".join(raw[at:to])).reshape(to - at, -1)])
                 at = to
-                found = edges(ids, x)
+                found = edges(ids[-len(x) :], x)
                 if found.num_rows:
                     yield found
+                # a row waits for the first one after its window
+                ready = len(ids) - window - 1
+                if ready > done:
+                    yield rows(ready)
+                    done = ready
+                old = max(0, done - window - 1)
+                ids, codes, done = ids[old:], codes[old:], done - old
+        if done < len(ids):
+            yield rows(len(ids))
+
+    return ordered.mapInArrow(run, "src long, dst long, shared int")
+
+
+def _turn(vectors: DataFrame, passes: int, turn: int, threshold: float, window: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The edges of some passes over ``(node, vec)``, and ``(node, chance)``:
+    the logarithm of the chance that they miss a pair at the threshold."""
+    coded = _codes(vectors.select(F.col("node").alias("rep"), "vec"), passes, BITS, seed, turn)
+    ordered = coded.repartitionByRange("pass", "dim", "code", "id").sortWithinPartitions("pass", "dim", "code", "id")
+    found = Written(_window_edges(ordered, threshold, window, BITS), "vector-windows").df
+    share = F.pow(F.lit(agreement(threshold)), F.col("shared") + 1)
+    chance = F.when(F.col("shared") < 0, F.lit(-1e9)).when(F.col("shared") >= BITS, F.lit(0.0)).otherwise(F.log1p(-share))
+    missed = found.filter("shared is not null").groupBy(F.col("src").alias("node")).agg(F.sum(chance).alias("chance"))
+    return found.filter("dst is not null").select("src", "dst"), missed
+
+
+def _all_pairs(spark, vectors: DataFrame, threshold: float) -> DataFrame:
+    """Edges ``(src, dst)`` that connect all links among ``(component, node,
+    vec)``; pairs within a component of several blocks are left out."""
+    vectors = Written(vectors.withColumn("dim", F.size("vec")), "vector-open").df
+    counts = vectors.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    total = vectors.count()
+    large = F.col("size") > BLOCK
+    dealt = vectors.join(counts, "component").select(
+        "dim", F.when(large, F.col("component")).alias("own"), F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.when(large, F.col("size")).otherwise(F.lit(total)) / BLOCK)).cast("long").alias("cell"), "node", "vec"
+    )
+
+    def pack(key, pdf):
+        import pandas as pd
 
-    return ordered.mapInArrow(run, "src long, dst long")
+        x = unit(pdf["vec"].tolist())
+        own = None if pd.isna(key[1]) else int(key[1])
+        return pd.DataFrame({"dim": [int(key[0])], "own": pd.array([own], "Int64"), "cell": [int(key[2])], "ids": [pdf["node"].to_numpy(np.int64).tobytes()], "x": [x.tobytes()]})
+
+    packed_ = dealt.groupBy("dim", "own", "cell").applyInPandas(pack, "dim int, own long, cell long, ids binary, x binary")
+    blocks = Written(packed_.withColumn("block", F.xxhash64("dim", F.coalesce("own", F.lit(0)), F.col("own").isNull(), "cell")), "vector-open-blocks").df
+    keys = blocks.select("dim", "own", "block")
+    a_keys = keys.select("dim", F.col("own").alias("a_own"), F.col("block").alias("a_block"))
+    which = a_keys.join(keys, "dim").filter((F.col("a_block") <= F.col("block")) & F.coalesce(F.col("a_own") != F.col("own"), F.lit(True))).select("a_block", "block")
+    left = blocks.select(F.col("block").alias("a_block"), F.col("ids").alias("a_ids"), F.col("x").alias("a_x"))
+    pairs = which.join(blocks.select("block", "dim", "ids", "x"), "block").join(left, "a_block")
+
+    def compare(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                a, b = (np.frombuffer(r[c]).reshape(-1, r["dim"]) for c in ("a_x", "x"))
+                linked = a @ b.T >= threshold
+                if r["a_block"] == r["block"]:
+                    np.fill_diagonal(linked, False)
+                own, other = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+                if not len(own):
+                    continue
+                ids = np.concatenate([np.frombuffer(r["a_ids"], np.int64)[own], np.frombuffer(r["ids"], np.int64)[other]])
+                both = np.zeros((len(ids), len(ids)), bool)
+                both[: len(own), len(own) :] = linked[np.ix_(own, other)]
+                label = _labels(both | both.T | np.eye(len(ids), dtype=bool))
+                child = np.flatnonzero(label != np.arange(len(ids)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[child]), pa.array(ids[label[child]])], ["src", "dst"])
+
+    return pairs.mapInArrow(compare, "src long, dst long").filter("src != dst")
+
+
+def _components(vectors: DataFrame, n: int, threshold: float, window: int, miss: float, seed: int) -> DataFrame:
+    """``(node, component)`` of the ``n`` rows ``(node, vec)`` that link."""
+    spark = vectors.sparkSession
+    turn, made = 0, passes_for(n, threshold, window, miss)
+    edges, missed = _turn(vectors, made, turn, threshold, window, seed)
+    while True:
+        # the open vectors, with the passes that each would still need
+        left = F.lit(math.log(miss)) / F.col("chance") * made - made
+        open_ = missed.filter(F.col("chance") > math.log(miss)).withColumn("need", F.when(F.col("chance") < 0, F.ceil(left)).otherwise(F.lit(float("inf"))))
+        open_ = Written(open_, "vector-uncovered").df
+        count, need = open_.agg(F.count(F.lit(1)), F.percentile_approx("need", 0.5)).first()
+        if not count:
+            return connected_components(edges)
+        rest = vectors.join(open_.select("node", "chance"), "node")
+        if not need * PASS_COST <= count / 2:
+            break
+        turn, more = turn + 1, max(1, math.ceil(need))
+        found, again = _turn(rest, more, turn, threshold, window, seed)
+        edges = edges.unionByName(found)
+        missed = open_.select("node", "chance").join(again.withColumnRenamed("chance", "further"), "node").select("node", (F.col("chance") + F.col("further")).alias("chance"))
+        made += more
+    comps = Written(connected_components(edges), "vector-found").df
+    rest = rest.join(comps, "node", "left").select(F.coalesce("component", "node").alias("component"), "node", "vec")
+    links = Written(_all_pairs(spark, rest, threshold), "vector-links").df
+    return connected_components(links.unionByName(comps.select(F.col("node").alias("src"), F.col("component").alias("dst")).filter("src != dst")))
 
 
 def _small_links(members: DataFrame, threshold: float) -> DataFrame:
@@ -239,10 +376,7 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     # an id with several vectors: each is linked on its own, under a node of its own
     reps = reps.withColumn("node", F.xxhash64("h1", "h2"))
     n = reps.count()
-    passes = passes_for(n, threshold, window, miss)
-    coded = _codes(reps.select(F.col("node").alias("rep"), "vec"), passes, BITS, seed)
-    ordered = coded.repartitionByRange("pass", "dim", "code", "id").sortWithinPartitions("pass", "dim", "code", "id")
-    comps = connected_components(_window_edges(ordered, threshold, window))
+    comps = _components(reps.select("node", "vec"), n, threshold, window, miss, seed)
     members = Written(reps.join(comps, "node").select("component", F.col("node").alias("id"), "rep", "n", "vec"), "vector-members").df
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("component_id"))
     sized = members.join(sizes, "component")

@@ -161,6 +161,16 @@ def test_links_in_a_dense_cone(spark, monkeypatch, pass_cost):
     assert_all_pairs(embedding_dedup.link(vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])), x)
 
 
+def test_links_across_partition_borders(spark, monkeypatch):
+    """Two vectors a partition: most pairs lie on both sides of a border."""
+    frame = type(spark.range(0))
+    rows = frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda df, *cols: rows(df, 40, *cols))
+    x = unit_rows(np.random.default_rng(2).standard_normal((30, 16)))
+    x = np.concatenate([x, x + 0.02 * np.random.default_rng(3).standard_normal(x.shape)]).astype(np.float32)
+    assert_all_pairs(embedding_dedup.link(vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)])), x)
+
+
 ODD = [
     (1, [1.0, 0.0, 0.0], 0),
     (2, [2.0, 0.0, 0.0], None),

@@ -12,7 +12,8 @@ Whether that was enough is measured, vector by vector: a pass covers a vector
 to the first bit that everything outside its window differs within, and the
 chance that a pair at the threshold agrees so far is the pass's share.  A
 vector whose shares do not bring the chance of a miss below ``MISS`` is open,
-as all of a dense cone are.  Only pairs of two open vectors can be missing
+as all of a dense cone are, and those that often lie at a border of the range
+partitions, where the windows stop and nothing beyond counts as covered.  Only pairs of two open vectors can be missing
 (one covered end finds the pair), so further passes take the open ones only,
 until none is left, or, where that is dearer, the open ones are all compared
 with each other, in blocks of matrix products; members of a large component
@@ -80,7 +81,7 @@ def agreement(threshold: float) -> float:
 
 def passes_for(n: int, threshold: float, window: int, miss: float) -> int:
     p = agreement(threshold) ** max(0.0, math.log2(max(n, 1) / window) + 0.5)
-    return 1 if p >= 1 - miss else max(2, math.ceil(math.log(miss) / math.log(1 - p)))
+    return 2 if p >= 1 - miss else max(2, math.ceil(math.log(miss) / math.log(1 - p)))
 
 
 def _codes(vectors: DataFrame, passes: int, bits: int, seed: int, turn: int) -> DataFrame:
@@ -126,28 +127,31 @@ def _labels(linked: np.ndarray) -> np.ndarray:
         own = least
 
 
-def _covered(codes: np.ndarray, lo: int, hi: int, window: int, bits: int) -> np.ndarray:
+def _covered(codes: np.ndarray, lo: int, hi: int, window: int, bits: int, first: bool, last: bool) -> np.ndarray:
     """For the rows lo to hi of a sorted pass the leading bits shared with the
-    nearest rows outside the window: -1 if all rows are within."""
+    nearest rows outside the window: -1 if all rows are within.  ``first`` and
+    ``last``: the pass begins and ends with these codes; otherwise what lies
+    beyond is unknown and may share as much as the outermost row."""
     at = np.arange(lo, hi)
     left, right = at - window - 1, at + window + 1
 
     def shared(other):
         return bits - np.frexp((codes[at] ^ codes[other]).astype(np.float64))[1]
 
-    before = np.where(left >= 0, shared(np.maximum(left, 0)), -1)
-    after = np.where(right < len(codes), shared(np.minimum(right, len(codes) - 1)), -1)
+    before = np.where((left < 0) & first, -1, shared(np.maximum(left, 0)))
+    after = np.where((right >= len(codes)) & last, -1, shared(np.minimum(right, len(codes) - 1)))
     return np.maximum(before, after)
 
 
 def _window_edges(ordered: DataFrame, threshold: float, window: int, bits: int) -> DataFrame:
     """Edges ``(src, dst)`` that connect what the windows link: at most one a
-    row and block; and for every row ``(src, shared)``, as of ``_covered``."""
+    row and block; and for every row ``(src, shared)``, as of ``_covered``.  A
+    task does not see its neighbours' rows: near the borders less is covered."""
 
     def run(batches):
         import pyarrow as pa
 
-        key, ids, x, codes, done = None, np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0, np.int64), 0
+        first, key, ids, x, codes, done = False, None, np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0, np.int64), 0
         names, kinds = ["src", "dst", "shared"], [pa.int64(), pa.int64(), pa.int32()]
 
         def edges(ids, x):
@@ -158,8 +162,8 @@ def _window_edges(ordered: DataFrame, threshold: float, window: int, bits: int)
             own = np.flatnonzero(label != np.arange(n))
             return pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[label[own]]), pa.nulls(len(own), kinds[2])], names)
 
-        def rows(to):
-            shared = _covered(codes, done, to, window, bits)
+        def rows(to, last):
+            shared = _covered(codes, done, to, window, bits, first, last)
             return pa.RecordBatch.from_arrays([pa.array(ids[done:to]), pa.nulls(to - done, kinds[1]), pa.array(shared, kinds[2])], names)
 
         for batch in batches:
@@ -170,7 +174,8 @@ def _window_edges(ordered: DataFrame, threshold: float, window: int, bits: int)
             while at < len(heads):
                 if heads[at] != key:
                     if done < len(ids):
-                        yield rows(len(ids))
+                        yield rows(len(ids), True)
+                    first = key is not None  # not the task's first pass
                     key, ids, x, codes, done = heads[at], np.zeros(0, np.int64), np.zeros((0, heads[at][1])), np.zeros(0, np.int64), 0
                 to = at
                 while to < len(heads) and to - at < 512 and heads[to] == key:
@@ -184,12 +189,12 @@ def _window_edges(ordered: DataFrame, threshold: float, window: int, bits: int)
                 # a row waits for the first one after its window
                 ready = len(ids) - window - 1
                 if ready > done:
-                    yield rows(ready)
+                    yield rows(ready, False)
                     done = ready
                 old = max(0, done - window - 1)
                 ids, codes, done = ids[old:], codes[old:], done - old
         if done < len(ids):
-            yield rows(len(ids))
+            yield rows(len(ids), False)
 
     return ordered.mapInArrow(run, "src long, dst long, shared int")
 

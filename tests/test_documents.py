@@ -1,6 +1,7 @@
 """Document jobs: brute-force checks on small inputs and made-up edge rows."""
 
 import itertools
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -128,3 +129,24 @@ def test_quality_classifier_ranks_held_out_rows(spark):
     good, bad = ([r.p_good for r in got if r.quality == q] for q in (1, 0))
     auc = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
     assert len(good) > 500 and len(bad) > 50 and auc >= 0.8, auc
+
+
+def test_near_duplicates_lose_no_pair_to_other_heads(spark):
+    """Pairs at 0.73 whose buckets also hold less similar documents of smaller
+    ids, against all pairs."""
+    rng = random.Random(4)
+    texts = {}
+    for g in range(300):
+        base = [f"g{g}w{i}" for i in range(100)]
+        for n in (4, 4, 4, 4, 3, 0):
+            words = list(base)
+            for slot in rng.sample(range(12), n):
+                words[8 * slot + 5] = f"x{rng.randrange(10**9)}"
+            texts[len(texts)] = " ".join(words)
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts.items())}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.cluster_id for r in near_duplicates_df(docs).collect()}
+    pairs = [(a, b) for a in texts for b in range(a + 1, a - a % 6 + 6) if len(sets[a] & sets[b]) >= 0.7 * len(sets[a] | sets[b])]
+    lost = [(a, b) for a, b in pairs if a not in got or got.get(a) != got.get(b)]
+    assert len(pairs) >= 300 and not lost, (len(lost), len(pairs))
+    assert set(got) == {i for p in pairs for i in p}

@@ -54,7 +54,7 @@ SAMPLE_SEED = 42
 
 # --- near-duplicates and decontamination ------------------------------------
 SHINGLE_WORDS = 5
-MINHASH_BANDS = 16
+MINHASH_BANDS = 34
 MINHASH_ROWS = 4
 NEAR_DUP_JACCARD = 0.7
 DECONTAMINATION_NGRAM = 13

@@ -430,12 +430,19 @@ def near_duplicates_df(
     1. per document: shingle hashes (array SQL) and a MinHash signature
        (vectorised numpy over Arrow batches);
     2. band keys: ``bands`` hashes of ``rows`` signature values each;
-    3. each band bucket links its members to the bucket's smallest id -- a
-       star, so a bucket of m documents gives m - 1 edges, never m^2 pairs;
-    4. an edge is kept if the exact Jaccard similarity of the two shingle
+    3. documents with equal shingle sets are one node from here on;
+    4. each band bucket links its members to a head (the first by one of four
+       hash orders) -- a star, so a bucket of m documents gives m - 1 edges;
+    5. an edge is kept if the exact Jaccard similarity of the two shingle
        hash sets is at least ``threshold`` (``array_intersect`` /
        ``array_union``: hash-set work linear in the two texts, per edge);
-    5. connected components over the kept edges.
+    6. members of a bucket that the stars left in different components are
+       compared pair by pair, so every pair that shares a bucket is tried or
+       connected already;
+    7. connected components over the kept edges.
+
+    A pair at the threshold shares no bucket with probability
+    (1 - threshold^rows)^bands, 9e-5 for 34 bands of 4.
     """
     spark = docs.sparkSession
     grams = with_ngrams(docs.select("doc_id", "text"), "text", P.SHINGLE_WORDS, "_g", tokens_col="_t")
@@ -449,27 +456,47 @@ def near_duplicates_df(
     sig.write.parquet(path)
     sig = spark.read.parquet(path)
 
-    keyed = sig.select(
-        "doc_id",
+    same = [F.xxhash64(F.array_sort("sh"), F.lit(k)).alias(f"same{k}") for k in (1, 2)]
+    sig = sig.select("doc_id", *same, "sh", "sig")
+    nodes = sig.groupBy("same1", "same2").agg(F.min("doc_id").alias("node"), F.first("sh").alias("sh"), F.first("sig").alias("sig"))
+    path = scratch_path(spark, "minhash-nodes")
+    nodes.write.parquet(path)
+    nodes = spark.read.parquet(path).filter("node is not null")
+    copies = sig.join(nodes.select("same1", "same2", "node"), ["same1", "same2"]).filter(F.col("doc_id") != F.col("node"))
+    copies = copies.select(F.col("doc_id").alias("src"), F.col("node").alias("dst"))
+
+    keyed = nodes.select(
+        "node",
         F.posexplode(
             F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(F.slice("sig", b * rows + 1, rows)))
         ).alias("band", "bucket"),
     )
-    heads = keyed.groupBy("band", "bucket").agg(F.min("doc_id").alias("head"))
-    star = (
-        keyed.join(heads, ["band", "bucket"])
-        .filter(F.col("doc_id") != F.col("head"))
-        .select(F.col("doc_id").alias("src"), F.col("head").alias("dst"))
-        .distinct()
-    )
-    a = sig.select(F.col("doc_id").alias("src"), F.col("sh").alias("sa"))
-    b = sig.select(F.col("doc_id").alias("dst"), F.col("sh").alias("sb"))
-    edges = (
-        star.join(a, "src")
-        .join(b, "dst")
-        .filter(jaccard(F.col("sa"), F.col("sb")) >= F.lit(threshold))
-        .select("src", "dst")
-    )
+    order = F.struct(F.xxhash64("node", F.pmod("band", F.lit(4))), "node")
+    heads = keyed.groupBy("band", "bucket").agg(F.min(order).getField("node").alias("head"), F.count(F.lit(1)).alias("m"))
+    path = scratch_path(spark, "minhash-buckets")
+    keyed.join(heads.filter("m > 1").select("band", "bucket", "head"), ["band", "bucket"]).write.parquet(path)
+    buckets = spark.read.parquet(path).filter(F.col("node") != F.col("head"))
+    a = nodes.select(F.col("node").alias("src"), F.col("sh").alias("sa"))
+    b = nodes.select(F.col("node").alias("dst"), F.col("sh").alias("sb"))
+
+    def kept(pairs: DataFrame) -> DataFrame:
+        near = jaccard(F.col("sa"), F.col("sb")) >= F.lit(threshold)
+        return pairs.distinct().join(a, "src").join(b, "dst").filter(near).select("src", "dst")
+
+    path = scratch_path(spark, "minhash-stars")
+    kept(buckets.select(F.col("node").alias("src"), F.col("head").alias("dst"))).write.parquet(path)
+    stars = spark.read.parquet(path)
+    # components that meet in a bucket below its head
+    found = connected_components(stars)
+    member = buckets.join(found, "node", "left").select("band", "bucket", "node", F.coalesce("component", "node").alias("component"))
+    mixed = member.groupBy("band", "bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
+    path = scratch_path(spark, "minhash-mixed")
+    member.join(mixed.select("band", "bucket"), ["band", "bucket"]).write.parquet(path)
+    member = spark.read.parquet(path)
+    left = member.select("band", "bucket", F.col("node").alias("src"), F.col("component").alias("own"))
+    right = member.select("band", "bucket", F.col("node").alias("dst"), "component")
+    cross = left.join(right, ["band", "bucket"]).filter((F.col("src") > F.col("dst")) & (F.col("own") != F.col("component")))
+    edges = stars.unionByName(kept(cross.select("src", "dst"))).unionByName(copies)
     comps = connected_components(edges)
     return comps.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster_id"))
 

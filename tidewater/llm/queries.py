@@ -13,12 +13,16 @@ from tidewater.llm import (
     graph_ann,
     kdshards,
     langid,
+    merkle,
     mixing,
     piece_bpe,
+    secret_scan,
     toxicity,
     training_order,
+    vector_codes,
 )
 from tidewater.llm.common import table
+from tidewater.llm.oracles import SORTED_PROJECTIONS, merkle_sql, secret_scan_sql, vector_code_sql
 
 #: Place of the vocabulary file; a parameter, read by the driver only.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -69,6 +73,18 @@ def op10_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked(table(spark, sf_dir, "documents"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,27 +98,17 @@ QUERIES = {
         op8_language_id,
         op9_training_order,
         op10_graph_neighbours,
+        op11_vector_codes,
+        op12_merkle_manifest,
+        op13_secret_scan,
     )
 }
 
 #: Exact in SQL; the others are trained, drawn, hashed or need a library, and
 #: are tested against brute force.
 ORACLES = {
-    "op6_sorted_projection_dedup": """
-WITH RECURSIVE v AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0
-), l AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
-  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9
-), r AS (
-  SELECT vec_id, vec_id AS reach FROM embeddings
-  UNION
-  SELECT r.vec_id, l.b FROM r JOIN l ON l.a = r.reach
-), c AS (SELECT vec_id, min(reach) AS component_id FROM r GROUP BY vec_id),
-n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
-SELECT c.vec_id AS vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links,
-       CAST(c.component_id AS BIGINT) AS component_id, c.vec_id = c.component_id AS kept
-FROM c LEFT JOIN n ON n.a = c.vec_id
-""",
+    "op6_sorted_projection_dedup": SORTED_PROJECTIONS,
+    "op11_vector_codes": vector_code_sql(),
+    "op12_merkle_manifest": merkle_sql(),
+    "op13_secret_scan": secret_scan_sql(),
 }

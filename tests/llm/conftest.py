@@ -1,8 +1,8 @@
-import os
-
 import pytest
 from pyspark.sql import types as T
 
+from tidewater.llm.queries import piece_model
+
 SF_SMALL, SF_CHECK = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())])
 #: Names that the operators use inside or return.
@@ -45,7 +45,4 @@ def no_labels(spark):
 
 @pytest.fixture(scope="session")
 def model_path():
-    path = "/opt/tokenizers/piece_bpe_32k.model"
-    if not os.path.exists(path):
-        pytest.skip("no vocabulary file")
-    return path
+    return piece_model()

@@ -188,7 +188,7 @@ def sigmoid(z: np.ndarray | float) -> np.ndarray | float:
 
 
 def map_texts(
-    df: DataFrame, schema: str, make: Callable[[], Callable[[list], dict]], columns: list[str]
+    df: DataFrame, schema: str, make: Callable[[], Callable[[list], dict]], columns: list[str], rows: int = SLICE
 ) -> DataFrame:
     """Run a function over slices of ``columns`` in Arrow batches.  ``make`` is
     called once a task and gives the function: lists by column in, lists by
@@ -201,7 +201,7 @@ def map_texts(
 
     def run(batches):
         work = make()
-        for part in slices(batches):
+        for part in slices(batches, rows):
             out = work({c: part.column(i).to_pylist() for i, c in enumerate(columns)})
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 

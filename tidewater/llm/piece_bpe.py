@@ -12,10 +12,17 @@ the best score.  The same result is reached here without a merge queue
 
 A text has one sequence whose neighbours are all compatible, the merge
 result, so the search never tries a failed position twice and is linear in
-the text in practice.  No piece has a space mark after another character, so
-words are encoded apart and remembered per task (the memory is bounded and
-emptied when full).  Runs of space marks have pieces of equal, lowest
-score; they are merged last, so they are merged alone, by run length.
+the text in practice.  Re-merging two pieces only needs their edges: each
+piece's last and first parts change at known scores, and the pieces stay apart
+unless two edges that are there at the same time join at a better score than
+that at which either of them goes (``Coder.compatible``).
+
+No piece has a space mark after another character, so words are encoded apart:
+the texts of a batch are cut into words, equal words are found, and each is
+encoded once, or taken from the words that the worker remembers (the memory is
+bounded in bytes); gathering them by the words' numbers gives the texts' ids.
+Runs of space marks have pieces of equal, lowest score; they are merged last, so they are
+merged alone, by run length.
 
 Null texts count as empty; empty texts give the begin and end ids only.
 Characters without a piece become the ids of their UTF-8 bytes.
@@ -35,15 +42,20 @@ from tidewater.llm.common import Sent, map_texts, ship
 ship(__name__)
 
 SPACE = "▁"
-#: Words (in each of two generations) and pairs of pieces that a worker remembers.
-WORDS, PAIRS = 100_000, 300_000
+#: Rank of what does not happen.
+NEVER = float("inf")
+#: Bytes of words and ids, and pairs of pieces, that a worker remembers.
+MEMORY, PAIRS = 24_000_000, 300_000
+#: Rows, and characters of texts, that are cut into words at a time.
+ROWS, CHARACTERS = 1024, 4_000_000
 #: Texts the vocabulary's rules are tried on when it is read.
 PROBES = ("", " ", "a", "  a  b ", "a\tb\nc", "é▁x", " \n ", "　ﬁ ሴ", "the   words▁▁ of it!! \U0001f600")
 
 
-def merged(symbols: list[str], rank: dict[str, float]) -> list[str]:
+def merged(symbols: list[str], rank: dict[str, float], joins: list | None = None) -> list[str]:
     """The library's rule: join the adjacent pair of best rank (lowest number),
-    the leftmost of equals, until none is left."""
+    the leftmost of equals, until none is left.  ``joins`` gets every join as
+    (rank, first symbol, symbol after the last)."""
     n = len(symbols)
     part, nxt, prv = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
     heap = [(rank[j], i, len(part[i]), len(part[i + 1])) for i in range(n - 1) if (j := part[i] + part[i + 1]) in rank]
@@ -61,6 +73,8 @@ def merged(symbols: list[str], rank: dict[str, float]) -> list[str]:
         part[i] += part[k]
         part[k] = ""
         nxt[i] = nxt[k]
+        if joins is not None:
+            joins.append((rank[part[i]], i, nxt[i]))
         if nxt[i] < n:
             prv[nxt[i]] = i
         offer(prv[i], i)
@@ -92,6 +106,7 @@ class Vocabulary:
         if runs and joined and max(scores[p] for p in runs) >= min(joined.values()):
             raise ValueError("runs of space marks must have the lowest scores")
         self.rank = {p: -s for p, s in joined.items()}
+        self.known_edges: dict[str, tuple | None] = {}
         self.run_rank = {p: -scores[p] for p in runs}
         # Pieces that merging reaches; others are never the result.
         self.whole = [p for p in self.ids if p not in runs and (len(p) == 1 or merged(list(p), self.rank) == [p])]
@@ -103,6 +118,25 @@ class Vocabulary:
             if ids != lib.encode(text, add_bos=True, add_eos=True) or coder.decode(ids) != lib.decode(ids):
                 raise ValueError(f"this vocabulary's text rules are not supported: {text!r}")
 
+    def edges(self, piece: str) -> tuple[list, list] | None:
+        """The parts that begin and those that end with the piece's outer
+        characters while it is merged, each with the rank at which it goes
+        (``NEVER`` for the piece).  None if the joins' ranks don't ascend."""
+        if piece not in self.known_edges:
+            joins: list = []
+            merged(list(piece), self.rank, joins)
+            n, order = len(piece), [r for r, _, _ in joins]
+            starts, ends = [[piece[0], NEVER]], [[piece[-1], NEVER]]
+            for r, i, k in joins:
+                if i == 0:
+                    starts[-1][1] = r
+                    starts.append([piece[:k], NEVER])
+                if k == n:
+                    ends[-1][1] = r
+                    ends.append([piece[i:], NEVER])
+            self.known_edges[piece] = (starts, ends) if order == sorted(order) else None
+        return self.known_edges[piece]
+
     def coder(self) -> Coder:
         """One coder for each Python worker, kept with the broadcast value, so
         what a task has learned serves the worker's next tasks."""
@@ -111,26 +145,98 @@ class Vocabulary:
         return self._coder
 
 
-class _Words(dict):
-    """Packed ids of a space mark and a word.  Two generations bound the
-    memory: when the young one is full it becomes the old one, from which
-    words that come again are taken over."""
+class Words:
+    """Packed ids of words with their space marks (none for an empty word), by
+    Arrow arrays of the words met.  When these are over ``MEMORY``, only the
+    words of the last batch are kept.  ``cold`` encodes a list of words not met
+    before."""
+
+    def __init__(self, cold):
+        self.cold, self.known, self.ids = cold, None, None
+
+    def __call__(self, words):
+        """An array of words to one of packed ids."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if self.known is None:
+            self.known, self.ids = pa.array([""], pa.string()), pa.array([b""], pa.binary())
+        found = pc.index_in(words, self.known)
+        if found.null_count:
+            new = words.filter(found.is_null()).dictionary_encode()
+            at = found.to_numpy(zero_copy_only=False)
+            at[np.isnan(at)] = new.indices.to_numpy() + len(self.known)
+            found = at.astype(np.int32)
+            self.ids = pa.concat_arrays([self.ids, pa.array(self.cold(new.dictionary.to_pylist()), pa.binary())])
+            self.known = pa.concat_arrays([self.known, new.dictionary])
+        out = self.ids.take(pa.array(found))
+        if self.known.nbytes + self.ids.nbytes > MEMORY:
+            last = pa.array(np.unique(np.append(found, 0)))
+            self.known, self.ids = self.known.take(last), self.ids.take(last)
+        return out
+
+
+class Packer:
+    """Packed ids of whole texts from those of their words; ``kind`` is the
+    ids' type (of module ``array``)."""
+
+    def __init__(self, vocabulary: Vocabulary, kind: str, cold):
+        self.v, self.kind, self.words, self.runs = vocabulary, kind, Words(cold), {}
+        self.mark, self.head, self.tail = (array(kind, [i]).tobytes() for i in (vocabulary.ids[SPACE], vocabulary.begin, vocabulary.end))
 
-    def __init__(self, encode):
-        super().__init__()
-        self.encode, self.old = encode, {}
+    def run_ids(self, n: int) -> bytes:
+        """Packed ids of ``n`` space marks that no word takes."""
+        if n not in self.runs:
+            if len(self.runs) >= 10_000:
+                self.runs.clear()
+            self.runs[n] = array(self.kind, [self.v.ids[p] for p in merged([SPACE] * n, self.v.run_rank)]).tobytes()
+        return self.runs[n]
 
-    def __missing__(self, word: str) -> bytes:
-        packed = self.old.get(word)
-        if packed is None:
-            packed = array("I", self.encode(SPACE + word)).tobytes()
-            if len(word) > 256:
-                return packed
-        if len(self) >= WORDS:
-            self.old = dict(self)
-            self.clear()
-        self[word] = packed
-        return packed
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids with begin and end of every text."""
+        out, group, size = [self.head + self.tail] * len(texts), [], 0
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            if group and size + len(t) > CHARACTERS:
+                self._encode_group(texts, group, out)
+                group, size = [], 0
+            group.append(i)
+            size += len(t)
+        if group:
+            self._encode_group(texts, group, out)
+        return out
+
+    def _encode_group(self, texts: list, group: list[int], out: list) -> None:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        parts = pc.split_pattern(pa.array([texts[i].replace(SPACE, " ") for i in group], pa.string()), " ")
+        _, ends, data = self.words(parts.values).buffers()
+        ends, data = np.frombuffer(ends, np.int32), memoryview(data or b"")
+        starts = parts.offsets.to_numpy()
+        empty = np.append(0, np.cumsum(ends[1:] == ends[:-1]))
+        for i, first, last in zip(group, starts.tolist(), starts[1:].tolist(), strict=False):
+            if empty[first] == empty[last]:
+                out[i] = b"".join((self.head, data[ends[first] : ends[last]], self.tail))
+            else:
+                out[i] = b"".join((self.head, *self._with_runs(ends[first : last + 1].tolist(), data), self.tail))
+
+    def _with_runs(self, ends: list[int], data: memoryview):
+        """Ids of words and, for the empty words between them, of space marks."""
+        run, width = 0, len(self.mark)
+        for start, end in zip(ends, ends[1:], strict=False):
+            if start == end:
+                run += 1
+                continue
+            if run:
+                if data[start : start + width] == self.mark:
+                    run, start = run + 1, start + width
+                yield self.run_ids(run)
+                run = 0
+            yield data[start:end]
+        if run:
+            yield self.run_ids(run)
 
 
 class Coder:
@@ -153,10 +259,7 @@ class Coder:
         for p in v.whole:
             self.shorter[v.ids[p]] = next((v.ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in known), -1)
         self.pairs: dict[int, bool] = {}
-        self.runs: dict[int, bytes] = {}
-        self.words = _Words(self.word_ids)
-        self.mark = np.array([v.ids[SPACE]], "<u4").tobytes()
-        self.head, self.tail = (np.array([i], "<u4").tobytes() for i in (v.begin, v.end))
+        self.packer = Packer(v, "I", lambda words: [array("I", self.word_ids(SPACE + w)).tobytes() for w in words])
         self.plain = [p.replace(SPACE, " ") for p in v.pieces]
         for i in v.control:
             self.plain[i] = ""
@@ -168,15 +271,40 @@ class Coder:
                 self.high[i] = b
         self.is_high = np.zeros(len(v.pieces), bool)
         self.is_high[list(self.high)] = True
+        self.is_control = np.zeros(len(v.pieces), bool)
+        self.is_control[v.control] = True
+        self.texts = None
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether re-merging the two pieces' characters gives them again."""
         if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         p, q = self.v.pieces[a], self.v.pieces[b]
-        ok = self.pairs[a << 32 | b] = merged(list(p + q), self.v.rank) == [p, q]
+        left, right = self.v.edges(p), self.v.edges(q)
+        if left is None or right is None:
+            ok = merged(list(p + q), self.v.rank) == [p, q]
+        else:
+            ok = self._apart(left[1], right[0])
+        self.pairs[a << 32 | b] = ok
         return ok
 
+    def _apart(self, ends: list, starts: list) -> bool:
+        """Whether no end of the left piece joins a start of the right one
+        while both are there; each comes with the rank at which it goes."""
+        rank, i, k = self.v.rank, 0, 0
+        while True:
+            (end, until_end), (start, until_start) = ends[i], starts[k]
+            joint = rank.get(end + start)
+            # of equal ranks the leftmost join comes first
+            if joint is not None and joint < until_end and joint <= until_start:
+                return False
+            if until_end <= until_start:
+                if until_end == NEVER:
+                    return True
+                i += 1
+            else:
+                k += 1
+
     def backtrack(self, text: str, first: list[int]) -> list[int]:
         """Ids of a text all of whose characters have a piece (``first``)."""
         best = first.copy()
@@ -224,45 +352,22 @@ class Coder:
                 start = i + 1
         return ids
 
-    def run_ids(self, n: int) -> bytes:
-        """Packed ids of ``n`` space marks that no word takes."""
-        if n not in self.runs:
-            if len(self.runs) >= 10_000:
-                self.runs.clear()
-            self.runs[n] = np.array([self.v.ids[p] for p in merged([SPACE] * n, self.v.run_rank)], "<u4").tobytes()
-        return self.runs[n]
-
     def encode(self, text: str | None) -> bytes:
         """Ids with begin and end, as little-endian unsigned 32-bit integers."""
-        if not text:
-            return self.head + self.tail
-        parts = text.replace(" ", SPACE).split(SPACE)
-        if "" not in parts:
-            return self.head + b"".join(map(self.words.__getitem__, parts)) + self.tail
-        out, run = [self.head], 0
-        for part in parts:
-            if not part:
-                run += 1
-                continue
-            ids = self.words[part]
-            if run:
-                if ids[:4] == self.mark:
-                    run, ids = run + 1, ids[4:]
-                out.append(self.run_ids(run))
-                run = 0
-            out.append(ids)
-        if run:
-            out.append(self.run_ids(run))
-        return b"".join([*out, self.tail])
+        return self.packer.encode_all([text])[0]
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of any ids: control ids vanish, one leading space of the
         first piece goes, bytes that are no UTF-8 become U+FFFD each."""
+        import pyarrow as pa
+
         ids = np.asarray(ids, np.int64)
         if not len(ids):
             return ""
         if not self.is_high[ids].any():
-            text = "".join(map(self.plain.__getitem__, ids.tolist()))
+            if self.texts is None:
+                self.texts = pa.array(self.plain, pa.string())
+            text = str(self.texts.take(pa.array(ids)).buffers()[2] or b"", "utf-8")
         else:
             out, run = [], bytearray()
             for i in ids.tolist():
@@ -274,8 +379,9 @@ class Coder:
                     run = bytearray()
                 out.append(self.plain[i])
             text = "".join([*out, _utf8(run)])
-        first = next((i for i in ids.tolist() if i not in self.v.control), None)
-        return text[1:] if first is not None and self.v.pieces[first].startswith(SPACE) else text
+        first = int(np.argmin(self.is_control[ids]))  # of the ids that are text
+        begins = not self.is_control[ids[first]] and self.v.pieces[ids[first]].startswith(SPACE)
+        return text[1:] if begins else text
 
 
 def _utf8(raw: bytearray) -> str:
@@ -309,7 +415,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         coder = sent.value.coder()
 
         def work(rows):
-            ids = [coder.encode(t) for t in rows["text"]]
+            ids = coder.packer.encode_all(rows["text"])
             out = {"doc_id": rows["doc_id"], "n_tokens": [len(b) // 4 for b in ids], "ids": ids}
             if decoded:
                 out["decoded"] = [coder.decode(np.frombuffer(b, "<u4")) for b in ids]
@@ -320,7 +426,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = f"doc_id {kind}, n_tokens long, ids binary" + ", decoded string" * decoded
-    return map_texts(rows, schema, make, ["doc_id", "text"])
+    return map_texts(rows, schema, make, ["doc_id", "text"], ROWS)
 
 
 def decode(tokens: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

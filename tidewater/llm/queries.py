@@ -24,11 +24,16 @@ from tidewater.llm import (
 from tidewater.llm.common import table
 from tidewater.llm.oracles import SORTED_PROJECTIONS, merkle_sql, secret_scan_sql, vector_code_sql
 
-#: Place of the vocabulary file; a parameter, read by the driver only.
-PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SHARDS = 8
 
 
+def piece_model() -> str:
+    """Place of the vocabulary file, read by the driver only."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_bagminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bagminhash.cluster(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "class_id", "texts", "kept")
@@ -58,7 +63,7 @@ def op6_sorted_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_bpe.digests(piece_bpe.encode(table(spark, sf_dir, "documents"), PIECE_MODEL, decoded=True))
+    return piece_bpe.digests(piece_bpe.encode(table(spark, sf_dir, "documents"), piece_model(), decoded=True))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +71,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order.materialise(table(spark, sf_dir, "documents"), PIECE_MODEL).index()
+    return training_order.materialise(table(spark, sf_dir, "documents"), piece_model()).index()
 
 
 def op10_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Training-order materialisation of token ids.
 
-Documents are encoded (by the sentencepiece library, in the tasks), cut into sequences of ``stride`` ids,
-and every sequence gets a global slot: its index goes through a keyed Feistel
+Documents are encoded (in the tasks; a word that a worker has not met before
+goes to the sentencepiece library, a batch at a time, and its ids are
+remembered), cut into sequences of ``stride`` ids, and every sequence gets a global slot: its index goes through a keyed Feistel
 permutation of the next larger power of four, walked on until it falls below
 the number of sequences (cycle-walking), which is a permutation of
 0 .. n-1 without any sort or state.  Sequences are range-partitioned by slot
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewater.llm.common import Sent, Written, ship, slices
+from tidewater.llm.piece_bpe import ROWS, Packer, Vocabulary
 from tidewater.session import scratch_path
 
 ship(__name__)
@@ -61,26 +63,52 @@ def feistel(index: np.ndarray, n: int, seed: int = SEED) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _encoded(docs: DataFrame, sent: Sent, kind: str, stride: int) -> DataFrame:
+class Encoder:
+    """Encodes texts with the library: word by word if the vocabulary allows it
+    (words are remembered), else whole."""
+
+    def __init__(self, model: str):
+        with open(model, "rb") as file:
+            self.model = file.read()
+        import sentencepiece
+
+        self.kind = "H" if sentencepiece.SentencePieceProcessor(model_proto=self.model).get_piece_size() <= 1 << 16 else "I"
+        try:
+            self.vocabulary = Vocabulary(model)
+        except ValueError:
+            self.vocabulary = None
+        self.live = None
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        if self.live is None:  # once a worker
+            import sentencepiece
+
+            lib, kind = sentencepiece.SentencePieceProcessor(model_proto=self.model), self.kind
+
+            def packed(words, **ends):
+                return [array(kind, ids).tobytes() for ids in lib.encode(words, num_threads=1, **ends)]
+
+            if self.vocabulary:
+                self.live = Packer(self.vocabulary, kind, packed).encode_all
+            else:
+                self.live = lambda rows: packed([t or "" for t in rows], add_bos=True, add_eos=True)
+        return self.live(texts)
+
+
+def _encoded(docs: DataFrame, sent: Sent, kind: str, stride: int, width: int) -> DataFrame:
     """A row a document, with the number of sequences before it in its task."""
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        import sentencepiece
-
-        coder = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
         pid, before = TaskContext.get().partitionId(), 0
-        kind = "H" if coder.get_piece_size() <= 1 << 16 else "I"
-        for part in slices(batches):
-            texts = [t or "" for t in part.column(1).to_pylist()]
-            ids, n, first = [], [], []
-            for own in coder.encode(texts, add_bos=True, add_eos=True, num_threads=1):
-                n.append(len(own))
+        for part in slices(batches, ROWS):
+            ids, n, first = sent.value(part.column(1).to_pylist()), [], []
+            for own in ids:
+                n.append(len(own) // width)
                 first.append(before)
                 before += -(-n[-1] // stride)
-                ids.append(array(kind, own).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(ids, pa.binary()), pa.array(n, pa.int32()), pa.array([pid] * len(n), pa.int32()), pa.array(first, pa.int64())], ["doc_id", "ids", "n", "pid", "first"]
             )
@@ -189,13 +217,10 @@ class Shards:
 def materialise(docs: DataFrame, model: str, stride: int = STRIDE, per_shard: int = PER_SHARD, seed: int = SEED) -> Shards:
     """Encode, permute and write all documents (columns doc_id and text)."""
     spark = docs.sparkSession
-    with open(model, "rb") as file:
-        vocabulary = file.read()
-    import sentencepiece
-
-    width = 2 if sentencepiece.SentencePieceProcessor(model_proto=vocabulary).get_piece_size() <= 1 << 16 else 4
+    encoder = Encoder(model)
+    width = array(encoder.kind).itemsize
     kind = docs.schema["doc_id"].dataType.simpleString()
-    tokens = Written(_encoded(docs.select("doc_id", "text"), Sent(spark, vocabulary), kind, stride), "tokens", "zstd")
+    tokens = Written(_encoded(docs.select("doc_id", "text"), Sent(spark, encoder), kind, stride, width), "tokens", "zstd")
     sums = tokens.df.groupBy("pid").agg(F.sum(F.ceil(F.col("n") / stride)).alias("m"))
     # a row a partition of the scan, however much each holds
     offsets = sums.select("pid", F.coalesce(F.sum("m").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("offset"))

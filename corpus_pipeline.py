@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import bagminhash, langid, mixing, piece_bpe, toxicity
 from tidewater.llm.common import Sent, Written, map_flags, table
-from tidewater.llm.queries import PIECE_MODEL
+from tidewater.llm.queries import piece_model
 
 #: A language is known if its posterior is at least this.
 LEAST_LANGUAGE = 0.5
@@ -57,7 +57,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, ids_sha256, decoded_sha256)``."""
-    out = piece_bpe.encode(docs, PIECE_MODEL, decoded=True)
+    out = piece_bpe.encode(docs, piece_model(), decoded=True)
     return out.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

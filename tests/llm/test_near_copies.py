@@ -1,7 +1,10 @@
+import hashlib
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +94,46 @@ def test_documents_of_odd_rows(spark, odd_docs, no_docs):
     assert bagminhash.cluster(no_docs).count() == 0 and bagminhash.deduplicate(no_docs).count() == 0
 
 
+def test_an_id_with_unlike_texts_loses_none(spark):
+    """Two unlike texts under one id, twice, one of them with a near copy."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (2, c), (1, b), (5, a), (6, b + " more"), (7, c + " more"), (7, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["text"] for r in bagminhash.deduplicate(docs).collect()) == [a, b, c]
+    out = bagminhash.cluster(docs).collect()
+    by = defaultdict(set)
+    for r, (_, text) in zip(sorted(out, key=lambda r: (r["doc_id"], r["same"])), sorted(rows, key=lambda r: (r[0], hashlib.md5(r[1].encode()).digest())), strict=True):
+        by[text[0]].add(r["class_id"])
+    assert all(len(ids) == 1 for ids in by.values()) and len(set.union(*by.values())) == 3
+    assert by["c"] == {2} and 1 in by["a"] | by["b"]
+    # the two texts under one id are alike: one stays
+    near = spark.createDataFrame([(1, a), (1, a + " more"), (2, b)], "doc_id long, text string")
+    assert bagminhash.deduplicate(near).count() == 2
+
+
+def test_signing_long_texts_in_bounded_memory():
+    """384 texts of 20,000 words in one batch; and one text in segments."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join(map(str, rng.integers(0, 50_000, 20_000))) for _ in range(384)]
+    part = pa.RecordBatch.from_arrays([pa.array(range(384)), pa.array([b"x"] * 384), pa.array(texts)], ["doc_id", "same", "text"])
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in bagminhash.signed_rows(part, bagminhash.Hasher()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 384 and peak < 80e6
+    hasher = bagminhash.Hasher()
+    whole = bagminhash.shingles(texts[0].split(" "), hasher)
+    for size in (1, 37, 10_000):
+        bagminhash.CHARACTERS, before = size, bagminhash.CHARACTERS
+        cut = bagminhash.text_shingles(texts[0], hasher)
+        bagminhash.CHARACTERS = before
+        assert all((x == y).all() for x, y in zip(whole, cut, strict=True))
+    step, bagminhash.STEP = bagminhash.STEP, 1000
+    small = bagminhash.signatures([whole])
+    bagminhash.STEP = step
+    assert (small == bagminhash.signatures([whole])).all()
+
+
 def vectors(spark, rows, kind="float"):
     return spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int")
 

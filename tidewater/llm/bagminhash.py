@@ -11,7 +11,8 @@ costs log w draws a point, not w.  A point has a time and a component; the
 component keeps the earliest point of all shingles within their counts.  Two
 signatures agree in a component with probability equal to the similarity.
 Points are made up to a time by which all components are usually met; where
-one is not, the time is doubled.  A batch of documents is one flat array.
+one is not, the time is doubled.  Documents are signed in flat arrays, cut by
+shingles and not by rows, so memory does not follow the texts' length.
 
 Candidates share a band of ``ROWS`` components.  The smallest document (by a
 hash) of each bucket links to the others -- stars, not pairs -- and the
@@ -25,8 +26,10 @@ task.  Classes are the components of the verified links.
 
 Equal word sequences are collapsed before, so groups of copies are one
 document.  A null text counts as empty; all empty texts are one class.  A
-null id takes part under a number made from its text.  Long texts have more
-shingles, nothing is cut.  Of the input only the named columns are used.
+null id takes part under a number made from its text.  An id may have several
+texts: each is a document, and a class whose smallest id names another class's
+text too (of smaller digest) is numbered from its own text.  Long texts have
+more shingles, nothing is cut.  Of the input only the named columns are used.
 """
 
 from __future__ import annotations
@@ -42,7 +45,10 @@ ship(__name__)
 
 SHINGLE, SIMILAR, COMPONENTS, ROWS = 5, 0.8, 128, 4
 #: Documents of a block, and shingles of a block at most (by average).
-BLOCK, BLOCK_SHINGLES = 256, 1_000_000
+BLOCK, BLOCK_SHINGLES = 256, 400_000
+#: Shingles that are signed together (one longer text alone), and at a time;
+#: characters of a text that are cut into words at a time.
+SIGNED, STEP, CHARACTERS = 200_000, 100_000, 1 << 20
 #: Candidates whose signatures agree in a smaller part are dropped: more than
 #: five standard deviations below the similarity asked for.
 SKETCH = 0.62
@@ -63,6 +69,16 @@ def words(normal_text: str) -> list[str]:
     return normal_text.split(" ") if normal_text else []
 
 
+def pieces(normal_text: str):
+    """The words in lists of about ``CHARACTERS``."""
+    at = 0
+    while at < len(normal_text):
+        cut = normal_text.find(" ", at + CHARACTERS)
+        cut = len(normal_text) if cut < 0 else cut
+        yield words(normal_text[at:cut])
+        at = cut + 1
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -95,9 +111,17 @@ class Hasher:
 
 def shingles(ws: list[str], hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes, ascending, and their counts."""
-    h = hasher(ws)
-    size = min(SHINGLE, len(ws))
-    out = np.zeros(len(ws) - size + 1 if size else 1, np.uint64)
+    return _shingled(hasher(ws))
+
+
+def text_shingles(normal_text: str, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """``shingles`` of a text's words, of which few are in a list at a time."""
+    return _shingled(np.concatenate([np.zeros(0, np.uint64), *map(hasher, pieces(normal_text))]))
+
+
+def _shingled(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    size = min(SHINGLE, len(h))
+    out = np.zeros(len(h) - size + 1 if size else 1, np.uint64)
     for k in range(size):
         out = _mix((out + h[k : k + len(out)]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(size))
     return np.unique(out, return_counts=True)
@@ -159,8 +183,10 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], m: int = COMPONENTS) -
     limit = m * (np.log(m) + 3) / total
     open_ = np.ones(len(bags), bool)
     while open_.any():
-        own = open_[doc]
-        _points(key[own], doc[own], weight[own], limit, best, time)
+        own = np.flatnonzero(open_[doc])
+        for at in range(0, len(own), STEP):
+            some = own[at : at + STEP]
+            _points(key[some], doc[some], weight[some], limit, best, time)
         open_ = ~np.isfinite(time).all(axis=1)
         limit = limit * 2
         best[open_], time[open_] = 0, np.inf
@@ -177,22 +203,36 @@ def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return out.view(np.int64)
 
 
+def signed_rows(part, hasher: Hasher):
+    """Arrow batches ``(doc_id, same, n, bands, sketch)`` for one of ``(doc_id,
+    same, normal text)``, cut by the texts' shingles."""
+    import pyarrow as pa
+
+    def signed(rows, bags):
+        signature = signatures(bags)
+        keys = band_keys(signature)
+        n = [int(c.sum()) for _, c in bags]
+        bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1]), pa.int32()), pa.array(keys.ravel()))
+        sketch = (signature >> np.uint64(40)).astype(np.uint8)
+        return pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(n, pa.int64()), bands, pa.array([r.tobytes() for r in sketch], pa.binary())], ["doc_id", "same", "n", "bands", "sketch"])
+
+    first, bags, total = 0, [], 0
+    for k in range(part.num_rows):
+        bags.append(text_shingles(part.column(2)[k].as_py(), hasher))
+        total += len(bags[-1][0])
+        if total >= SIGNED or k + 1 == part.num_rows:
+            yield signed(part.slice(first, len(bags)), bags)
+            first, bags, total = k + 1, [], 0
+
+
 def _signed(docs: DataFrame) -> DataFrame:
     """``(doc_id, same, n, bands, sketch)``; ``same`` is 128 bits of the
     words, ``sketch`` eight bits of every component."""
 
     def run(batches):
-        import pyarrow as pa
-
         hasher = Hasher()
         for part in slices(batches, 384):
-            bags = [shingles(words(t), hasher) for t in part.column(2).to_pylist()]
-            signed = signatures(bags)
-            keys = band_keys(signed)
-            n = [int(c.sum()) for _, c in bags]
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1]), pa.int32()), pa.array(keys.ravel()))
-            sketch = (signed >> np.uint64(40)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n, pa.int64()), bands, pa.array([r.tobytes() for r in sketch], pa.binary())], ["doc_id", "same", "n", "bands", "sketch"])
+            yield from signed_rows(part, hasher)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", digest(F.col("text")).alias("same"), normal(F.col("text")).alias("text"))
@@ -260,7 +300,7 @@ class Bags:
 
 def occurrences(text: str, hasher: Hasher) -> np.ndarray:
     """One 64-bit number for each k-th occurrence of a shingle."""
-    h, c = shingles(words(text), hasher)
+    h, c = text_shingles(text, hasher)
     if c.max() == 1:
         return h
     k = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
@@ -431,12 +471,25 @@ def cluster(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     large = found.filter("blocks > 1").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
     links = _small_regions(small, least).unionByName(_large_regions(_blocks(large), least))
     classes = connected_components(links)
-    named = Written(member.select("node", "rep").join(classes, "node").select("node", "component", "rep"), "classes").df
-    smallest = named.groupBy("component").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("texts"))
-    of_text = texts.select("same", "node", "rep").join(named.join(smallest, "component").select("node", "class_id", "texts"), "node", "left")
-    of_text = of_text.select("same", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("texts", F.lit(1)).cast("long").alias("texts"))
-    out = rows.select("id", "doc_id", "same").join(of_text, "same")
-    return out.select("doc_id", "same", "class_id", "texts", (F.col("id") == F.col("class_id")).alias("kept"), "id")
+    named = Written(member.select("node", "rep", "same").join(classes, "node").select("node", "component", "rep", "same"), "classes").df
+    first = F.min(F.struct(F.col("rep").alias("class_id"), F.col("same").alias("class_same")))
+    smallest = named.groupBy("component").agg(first.alias("first"), F.count(F.lit(1)).alias("texts")).select("component", "first.*", "texts")
+    of_text = texts.select("same", "node", "rep").join(named.join(smallest, "component").select("node", "class_id", "class_same", "texts"), "node", "left")
+    of_text = of_text.select("same", F.coalesce("class_id", "rep").alias("first_id"), F.coalesce("class_same", "same").alias("class_same"), F.coalesce("texts", F.lit(1)).cast("long").alias("texts"))
+    out = rows.select("id", "doc_id", "same").join(_numbered(of_text, texts), "same")
+    kept = (F.col("id") == F.col("first_id")) & (F.col("same") == F.col("class_same"))
+    return out.select("doc_id", "same", "class_id", "texts", kept.alias("kept"), "id")
+
+
+def _numbered(of_text: DataFrame, texts: DataFrame) -> DataFrame:
+    """``class_id``: the smallest id of the class, unless another class has
+    it too, as a text of smaller digest has that id."""
+    shared = Written(texts.groupBy("rep").agg(F.count(F.lit(1)).alias("m"), F.min("same").alias("owner")).filter("m > 1"), "shared-ids").df
+    if shared.isEmpty():
+        return of_text.withColumn("class_id", F.col("first_id"))
+    made = -(F.lit(1 << 62) + F.pmod(F.xxhash64("class_same"), F.lit(1 << 61)))
+    joined = of_text.join(shared.select(F.col("rep").alias("first_id"), "owner"), "first_id", "left")
+    return joined.withColumn("class_id", F.when(F.col("class_same") != F.col("owner"), made).otherwise(F.col("first_id"))).drop("owner")
 
 
 def deduplicate(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
@@ -446,13 +499,14 @@ def deduplicate(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     named = Written(cluster(docs, least), "dedup-classes").df
     key, own, flag = fresh("id", docs), fresh("same", docs), fresh("flag", docs)
     gone = named.filter("not kept").select(F.col("id").alias(key), F.col("same").alias(own))
-    repeated = named.filter("kept").groupBy("class_id").count().filter("count > 1").select(F.col("class_id").alias(key))
+    repeated = named.filter("kept").groupBy("id", "same").count().filter("count > 1").select(F.col("id").alias(key), F.col("same").alias(own))
     # only rows that a sieve of the dropped ids lets through are shuffled
     marked = sieved(docs.withColumn(key, identity(docs)), key, sieve(gone, key), flag)
     maybe = marked.filter(flag).withColumn(own, digest(F.col("text"))).join(gone, [key, own], "left_anti")
     stay = marked.filter(~F.col(flag)).select(key, *docs.columns).unionByName(maybe.select(key, *docs.columns))
     if repeated.isEmpty():
         return stay.select(*docs.columns)
-    single = stay.join(repeated, key, "left_anti").select(*docs.columns)
-    once = stay.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    stay = stay.withColumn(own, digest(F.col("text")))
+    single = stay.join(repeated, [key, own], "left_anti").select(*docs.columns)
+    once = stay.join(repeated, [key, own], "left_semi").groupBy(key, own).agg(F.min(F.struct(*docs.columns)).alias("row"))
     return single.unionByName(once.select("row.*"))

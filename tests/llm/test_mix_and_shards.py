@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.llm import kdshards, mixing
 from tidewater.llm.common import table
 
-from .conftest import SF_CHECK
+from .conftest import DOCS, SF_CHECK
 
 
 def filled(sizes, weights, share, most):
@@ -118,3 +118,18 @@ def test_shards_of_odd_rows(odd_docs, no_docs):
     where = check_shards(rows, odd_docs.collect(), 8)
     assert all(len(s) == 1 for (crc, size), s in where.items() if size > 1)
     assert kdshards.assign(no_docs, 8).count() == 0
+
+
+@pytest.mark.parametrize("most", [kdshards.BROADCAST_VALUES, 0])
+def test_sources_with_a_common_beginning(spark, monkeypatch, most):
+    """Ranks tell values apart wherever they differ; null comes first."""
+    monkeypatch.setattr(kdshards, "BROADCAST_VALUES", most)
+    names = [None, "", "crawl-2019", "crawl-2020", "crawl-2020-a-long-name-1", "crawl-2020-a-long-name-2"]
+    rows = [(i, f"text {i:04d}", "en", names[i % 6], 9) for i in range(240)]
+    docs = spark.createDataFrame(rows, DOCS)
+    key = F.xxhash64("text", F.isnull("text"))
+    got = kdshards.grouped(docs).join(docs.select(key.alias("group_key"), "source"), "group_key")
+    assert {(r["source"], r["x1"]) for r in got.collect()} == {(n, float(i)) for i, n in enumerate(names)}
+    # the widest dimension (none but source and id vary) is cut
+    out = kdshards.assign(docs, 2).groupBy("shard").count().collect()
+    assert sorted(r["count"] for r in out) == [120, 120]

@@ -279,3 +279,24 @@ def test_neighbours_of_odd_rows(spark):
     assert {r["vec_id"] for r in out} <= {1, 2, 10, 11, 12}
     assert sum(r["query_id"] == 2 for r in out) == 4
     assert graph_ann.nearest(vectors(spark, []), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("case", ["plain", "one of length 1e25", "shifted", "two far clusters", "beyond squares"])
+def test_graph_recall_at_odd_magnitudes(case):
+    x = unit_rows(np.random.default_rng(7).standard_normal((1500, 32)))
+    if case == "one of length 1e25":
+        x[77] *= 1e25
+    elif case == "shifted":
+        x = x + 3000 * x.std()
+    elif case == "two far clusters":
+        x[::2] += 1e5
+    elif case == "beyond squares":
+        x[5] *= 1e200
+    y = graph_ann.placed(x, *graph_ann.centred(x))
+    adj, entry = graph_ann.build(y)
+    asked = np.arange(0, 1500, 30)
+    found, _ = graph_ann.search(y, (y * y).sum(axis=1), adj, entry, y[asked], graph_ann.BEAM)
+    with np.errstate(over="ignore"):
+        exact = np.argsort(((x[asked][:, None, :] - x[None]) ** 2).sum(axis=2), axis=1, kind="stable")[:, :10]
+    hit = sum(len(set(f.tolist()) & set(e.tolist())) for f, e in zip(found, exact, strict=True))
+    assert hit / exact.size >= 0.95

@@ -33,6 +33,28 @@ def test_encoding_equals_the_library(coder, library):
         assert coder.decode(ids) == library.decode(ids), repr(text)
 
 
+def test_pairs_are_remerged_by_their_edges(coder):
+    """As merging all their characters would."""
+    random.seed(6)
+    v = coder.v
+    pairs = [random.sample(v.whole, 2) for _ in range(6000)]
+    pairs += [(w[:k], w[k:]) for w in random.sample(v.whole, 2500) for k in range(1, len(w)) if w[:k] in v.sole and w[k:] in v.sole]
+    for a, b in pairs:
+        assert coder.compatible(v.ids[a], v.ids[b]) == (piece_bpe.merged(list(a + b), v.rank) == [a, b]), (a, b)
+
+
+def test_word_memory_is_bounded(coder, library, monkeypatch):
+    """Words are forgotten and met again, also within runs of blanks."""
+    monkeypatch.setattr(piece_bpe, "MEMORY", 2000)
+    packer = piece_bpe.Packer(coder.v, "I", coder.packer.words.cold)
+    random.seed(8)
+    texts = ["  ".join(str(random.randrange(400)) for _ in range(30)) + " " * (i % 3) + "a b" for i in range(40)]
+    for at in range(0, 40, 8):
+        got = [np.frombuffer(b, "<u4").tolist() for b in packer.encode_all(texts[at : at + 8])]
+        assert got == library.encode(texts[at : at + 8], add_bos=True, add_eos=True)
+        assert packer.words.known.nbytes < 20_000
+
+
 def test_any_ids_decode_like_the_library(coder, library):
     random.seed(4)
     for _ in range(1000):

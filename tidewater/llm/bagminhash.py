@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Written, fresh, ship, sieve, sieved, slices
+from tidewater.llm.common import Written, fresh, released, ship, sieve, sieved, slices
 from tidewater.operators.graph import connected_components
 
 ship(__name__)
@@ -234,9 +234,12 @@ def _signed(docs: DataFrame) -> DataFrame:
         for part in slices(batches, 384):
             yield from signed_rows(part, hasher)
 
+    def released_run(batches):
+        return released(run(batches))
+
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", digest(F.col("text")).alias("same"), normal(F.col("text")).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, same binary, n long, bands array<long>, sketch binary")
+    return rows.mapInArrow(released_run, f"doc_id {kind}, same binary, n long, bands array<long>, sketch binary")
 
 
 def _agreeing(pairs: DataFrame, sketches: DataFrame) -> DataFrame:

@@ -17,6 +17,10 @@ from tidewater.session import checkpoint_dir, scratch_path
 SEGMENT = 1 << 20
 #: Rows taken from an Arrow batch at a time by the text operators.
 SLICE = 256
+#: Bytes of an Arrow batch, where the session names no other bound: a batch is
+#: held by the executor and by its Python worker, for every running task.
+BATCH_BYTES = "16m"
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(module: str) -> None:
@@ -49,6 +53,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table.  The path goes to Spark's reader only: it may lie in a
     store that nothing else can open."""
     checkpoint_dir(spark)
+    if BATCH_CONF not in spark.conf.getAll:
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -187,6 +193,15 @@ def sigmoid(z: np.ndarray | float) -> np.ndarray | float:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def released(rows: Iterator) -> Iterator:
+    """``rows``, after which the task's worker gives back the Arrow memory that
+    it has no use for: it is kept for other stages."""
+    import pyarrow as pa
+
+    yield from rows
+    pa.default_memory_pool().release_unused()
+
+
 def map_texts(
     df: DataFrame, schema: str, make: Callable[[], Callable[[list], dict]], columns: list[str], rows: int = SLICE
 ) -> DataFrame:
@@ -205,7 +220,7 @@ def map_texts(
             out = work({c: part.column(i).to_pylist() for i, c in enumerate(columns)})
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return df.select(*columns).mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def map_flags(df: DataFrame, column: str, make: Callable[[], Callable[[list], list]]) -> DataFrame:
@@ -220,4 +235,4 @@ def map_flags(df: DataFrame, column: str, make: Callable[[], Callable[[list], li
             yield part.filter(pa.array(flags(part.column(at).to_pylist()), pa.bool_()))
 
     names = df.columns
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(lambda batches: released(run(batches)), df.schema)

@@ -5,7 +5,10 @@ Every shard gets a graph: vectors are inserted in batches; a greedy search
 from the entry point proposes candidates, robust pruning keeps a candidate
 only if no kept neighbour is ``ALPHA`` times nearer to it than the new vector
 is, reverse edges are added and pruned alike; a second round over all vectors
-follows.  Graphs are written to the shared folder, a row a shard.  Queries are
+follows.  Graphs are built on vectors less the shard's median, in units of the
+median distance from it and in double precision, so that neither a common
+offset nor a few huge vectors hide the differences of the others.  Graphs are
+written to the shared folder, a row a shard.  Queries are
 packed into blocks, every block visits every shard, a beam search of width
 ``BEAM`` answers it there, and the best of all shards are kept by (distance,
 id).  Distances of results are Euclidean, in double precision, on the
@@ -45,7 +48,7 @@ def search(x: np.ndarray, norms: np.ndarray, adj: np.ndarray, entry: np.ndarray,
     seen = np.zeros((b, n + 1), bool)
     seen[:, n] = True  # stands for "no neighbour"
     ids = np.full((b, beam), n, np.int64)
-    dist = np.full((b, beam), np.inf, np.float32)
+    dist = np.full((b, beam), np.inf)
     k = min(beam, len(entry))
     ids[:, :k] = entry[:k]
     dist[:, :k] = norms[entry[:k]] + qn[:, None] - 2 * (q @ x[entry[:k]].T)
@@ -55,7 +58,7 @@ def search(x: np.ndarray, norms: np.ndarray, adj: np.ndarray, entry: np.ndarray,
     done = ids == n
     rows = np.arange(b)[:, None]
     padded = np.vstack([x, np.zeros((1, x.shape[1]), x.dtype)])
-    pnorms = np.append(norms, np.float32(np.inf))
+    pnorms = np.append(norms, np.inf)
     while not done.all():
         # the nearest nodes that have not been expanded
         pick = np.argsort(done, axis=1, kind="stable")[:, :WIDTH]
@@ -67,7 +70,7 @@ def search(x: np.ndarray, norms: np.ndarray, adj: np.ndarray, entry: np.ndarray,
         near[:, 1:][near[:, 1:] == near[:, :-1]] = n
         seen[rows, near] = True
         d = pnorms[near] + qn[:, None] - 2 * np.einsum("brd,bd->br", padded[near], q)
-        ids, dist = np.concatenate([ids, near], 1), np.concatenate([dist, d.astype(np.float32)], 1)
+        ids, dist = np.concatenate([ids, near], 1), np.concatenate([dist, d], 1)
         done = np.concatenate([done, near == n], 1)
         order = np.argsort(dist, axis=1, kind="stable")[:, :beam]
         ids, dist, done = (np.take_along_axis(v, order, 1) for v in (ids, dist, done))
@@ -111,8 +114,7 @@ def build(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, beam: int =
     size = np.zeros(n, np.int64)
     rng = np.random.default_rng(seed)
     order = rng.permutation(n)
-    centre = int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())
-    entry = np.array([centre])
+    entry = np.array([int(norms.argmin())])  # vectors come centred
 
     def insert(own: np.ndarray, a: float) -> None:
         found, _ = search(x, norms, adj, entry, x[own], beam)
@@ -154,6 +156,19 @@ def build(x: np.ndarray, degree: int = DEGREE, alpha: float = ALPHA, beam: int =
     return adj, entry
 
 
+def centred(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """What ``placed`` takes: the median and the median distance from it."""
+    centre = np.median(x, axis=0)
+    far = np.abs(x - centre).max(axis=1)
+    far = far[far > 0]
+    return centre, float(np.median(far)) if len(far) else 1.0
+
+
+def placed(x: np.ndarray, centre: np.ndarray, scale: float) -> np.ndarray:
+    """Coordinates for the graph; their squares are finite."""
+    return np.clip((x - centre) / scale, -1e120, 1e120)
+
+
 def _nodes(rows: DataFrame, top: int) -> DataFrame:
     """Rows that any answer can use: of equal vectors the smallest ids.  The
     limit is applied before the shuffle too."""
@@ -170,16 +185,16 @@ def _graphs(nodes: DataFrame, degree: int, alpha: float, beam: int) -> DataFrame
         new = ((pdf["h1"] != pdf["h1"].shift()) | (pdf["h2"] != pdf["h2"].shift())).to_numpy()
         new[0] = True
         x = np.array(pdf["vec"].to_numpy()[new].tolist(), np.float64)
-        scale = float(np.abs(x).max())
-        adj, entry = build((x / scale).astype(np.float32), degree, alpha, beam)
+        centre, scale = centred(x)
+        adj, entry = build(placed(x, centre, scale), degree, alpha, beam)
         starts = np.append(np.flatnonzero(new), len(pdf))
         ids = pdf["vec_id"].to_numpy(np.int64)
         return pd.DataFrame(
-            [[int(pdf["dim"].iloc[0]), int(pdf["shard"].iloc[0]), scale, x.tobytes(), adj.astype(np.int32).tobytes(), entry.astype(np.int32).tobytes(), ids.tobytes(), starts.astype(np.int64).tobytes()]],
-            columns=["dim", "shard", "scale", "x", "adj", "entry", "ids", "starts"],
+            [[int(pdf["dim"].iloc[0]), int(pdf["shard"].iloc[0]), scale, centre.tobytes(), x.tobytes(), adj.astype(np.int32).tobytes(), entry.astype(np.int32).tobytes(), ids.tobytes(), starts.astype(np.int64).tobytes()]],
+            columns=["dim", "shard", "scale", "centre", "x", "adj", "entry", "ids", "starts"],
         )
 
-    return nodes.groupBy("dim", "shard").applyInPandas(one, "dim int, shard long, scale double, x binary, adj binary, entry binary, ids binary, starts binary")
+    return nodes.groupBy("dim", "shard").applyInPandas(one, "dim int, shard long, scale double, centre binary, x binary, adj binary, entry binary, ids binary, starts binary")
 
 
 def _answers(pairs: DataFrame, top: int, beam: int) -> DataFrame:
@@ -191,7 +206,8 @@ def _answers(pairs: DataFrame, top: int, beam: int) -> DataFrame:
                 r = batch.slice(k, 1).to_pylist()[0]
                 dim, scale = r["dim"], r["scale"]
                 x = np.frombuffer(r["x"]).reshape(-1, dim)
-                small = (x / scale).astype(np.float32)
+                centre = np.frombuffer(r["centre"])
+                small = placed(x, centre, scale)
                 adj = np.frombuffer(r["adj"], np.int32).reshape(len(x) + 1, -1).astype(np.int64)
                 ids, starts = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["starts"], np.int64)
                 qid, q = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["q_x"]).reshape(-1, dim)
@@ -199,7 +215,7 @@ def _answers(pairs: DataFrame, top: int, beam: int) -> DataFrame:
                 out_q, out_v, out_d = [], [], []
                 for at in range(0, len(q), 128):
                     part = q[at : at + 128]
-                    found, _ = search(small, norms, adj, np.frombuffer(r["entry"], np.int32).astype(np.int64), (part / scale).astype(np.float32), beam)
+                    found, _ = search(small, norms, adj, np.frombuffer(r["entry"], np.int32).astype(np.int64), placed(part, centre, scale), beam)
                     for i, own in enumerate(found):
                         own = own[own >= 0]
                         d = np.sqrt(((x[own] - part[i]) ** 2).sum(axis=1))

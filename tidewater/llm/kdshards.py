@@ -5,8 +5,9 @@ bytes of all its rows.  Starting from one node with all groups, every node
 that stands for more than one shard is cut: along the dimension of the
 metadata in which its groups spread widest (relative to all groups), at the
 weighted median -- for an odd number of shards at the matching fraction --
-until a leaf holds one shard's bytes.  Dimensions: size (logarithm), source,
-language and id; equal values are ordered by a hash of the text.
+until a leaf holds one shard's bytes.  Dimensions: size (logarithm), source and
+language (ranks of their distinct values) and id; equal values are ordered by a
+hash of the text.
 
 The weighted quantile is found by distributed sums: a group's place in its
 node is a 48-bit number (16 bits of the dimension, 32 bits of the hash);
@@ -34,15 +35,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewater.llm.common import Written
+from tidewater.operators.sequence import sequence_number
 
 BITS = 16
 DIMENSIONS = ("size", "source", "lang", "doc_id")
+#: Distinct sources or languages that may be broadcast; beyond it the join is salted.
+BROADCAST_VALUES, SALTS = 100_000, 32
 
 
-def _place(text: Column) -> Column:
-    """A number that orders strings by their first bytes."""
-    head = F.rpad(F.hex(F.substring(F.encode(text, "UTF-8"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("double") + 1, F.lit(0.0))
+def _key(value: Column) -> Column:
+    """A non-null string that sorts like the value, null first."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
+
+
+def _ranked(groups: DataFrame, key: str, rank: str) -> DataFrame:
+    """``groups`` with the rank of ``key`` among its distinct values."""
+    values = sequence_number(groups.select(key).distinct(), [key], rank)
+    values = Written(values.withColumn(rank, F.col(rank).cast("double")), "kd-values").df
+    if values.count() <= BROADCAST_VALUES:
+        return groups.join(F.broadcast(values), key)
+    salted = values.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = groups.withColumn("salt", F.pmod(F.xxhash64("group_key", F.lit(4)), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, [key, "salt"]).drop("salt")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -51,12 +65,16 @@ def grouped(docs: DataFrame) -> DataFrame:
     key = F.xxhash64(text, F.isnull(text))
     size = F.coalesce(F.octet_length(text), F.lit(0)) + 1
     rows = docs.select(
-        key.alias("group_key"), size.cast("long").alias("size"), _place(F.col("source").cast("string")).alias("x1"), _place(F.col("lang").cast("string")).alias("x2"), F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))).alias("x3")
+        key.alias("group_key"), size.cast("long").alias("size"), _key(F.col("source")).alias("k1"), _key(F.col("lang")).alias("k2"), F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))).alias("x3")
     )
     lowest = F.min(F.when(F.col("x3") > float("-inf"), F.col("x3")))
-    return rows.groupBy("group_key").agg(
-        F.sum("size").alias("weight"), F.log2(F.max("size").cast("double")).alias("x0"), F.min("x1").alias("x1"), F.min("x2").alias("x2"), lowest.alias("x3")
-    ).withColumn("tie", F.pmod(F.xxhash64("group_key", F.lit(3)), F.lit(1 << 32)))
+    groups = rows.groupBy("group_key").agg(
+        F.sum("size").alias("weight"), F.log2(F.max("size").cast("double")).alias("x0"), F.min("k1").alias("k1"), F.min("k2").alias("k2"), lowest.alias("x3")
+    )
+    groups = Written(groups, "kd-texts").df
+    for d in (1, 2):
+        groups = _ranked(groups, f"k{d}", f"x{d}")
+    return groups.drop("k1", "k2").withColumn("tie", F.pmod(F.xxhash64("group_key", F.lit(3)), F.lit(1 << 32)))
 
 
 def _looked_up(values: dict, key: Column, kind: str) -> Column:

@@ -45,7 +45,7 @@ SPACE = "▁"
 #: Rank of what does not happen.
 NEVER = float("inf")
 #: Bytes of words and ids, and pairs of pieces, that a worker remembers.
-MEMORY, PAIRS = 24_000_000, 300_000
+MEMORY, PAIRS = 16_000_000, 100_000
 #: Rows, and characters of texts, that are cut into words at a time.
 ROWS, CHARACTERS = 1024, 4_000_000
 #: Texts the vocabulary's rules are tried on when it is read.
@@ -107,6 +107,7 @@ class Vocabulary:
             raise ValueError("runs of space marks must have the lowest scores")
         self.rank = {p: -s for p, s in joined.items()}
         self.known_edges: dict[str, tuple | None] = {}
+        self.parts: dict[str, str] = {}  # so that equal parts are one string
         self.run_rank = {p: -scores[p] for p in runs}
         # Pieces that merging reaches; others are never the result.
         self.whole = [p for p in self.ids if p not in runs and (len(p) == 1 or merged(list(p), self.rank) == [p])]
@@ -118,7 +119,7 @@ class Vocabulary:
             if ids != lib.encode(text, add_bos=True, add_eos=True) or coder.decode(ids) != lib.decode(ids):
                 raise ValueError(f"this vocabulary's text rules are not supported: {text!r}")
 
-    def edges(self, piece: str) -> tuple[list, list] | None:
+    def edges(self, piece: str) -> tuple[tuple, tuple] | None:
         """The parts that begin and those that end with the piece's outer
         characters while it is merged, each with the rank at which it goes
         (``NEVER`` for the piece).  None if the joins' ranks don't ascend."""
@@ -126,15 +127,13 @@ class Vocabulary:
             joins: list = []
             merged(list(piece), self.rank, joins)
             n, order = len(piece), [r for r, _, _ in joins]
-            starts, ends = [[piece[0], NEVER]], [[piece[-1], NEVER]]
-            for r, i, k in joins:
+            starts, ends = [piece[0]], [piece[-1]]
+            for r, i, k in joins:  # (part, rank at which it goes), flat
                 if i == 0:
-                    starts[-1][1] = r
-                    starts.append([piece[:k], NEVER])
+                    starts += [r, self.parts.setdefault(piece[:k], piece[:k])]
                 if k == n:
-                    ends[-1][1] = r
-                    ends.append([piece[i:], NEVER])
-            self.known_edges[piece] = (starts, ends) if order == sorted(order) else None
+                    ends += [r, self.parts.setdefault(piece[i:], piece[i:])]
+            self.known_edges[piece] = ((*starts, NEVER), (*ends, NEVER)) if order == sorted(order) else None
         return self.known_edges[piece]
 
     def coder(self) -> Coder:
@@ -288,22 +287,22 @@ class Coder:
         self.pairs[a << 32 | b] = ok
         return ok
 
-    def _apart(self, ends: list, starts: list) -> bool:
+    def _apart(self, ends: tuple, starts: tuple) -> bool:
         """Whether no end of the left piece joins a start of the right one
         while both are there; each comes with the rank at which it goes."""
         rank, i, k = self.v.rank, 0, 0
         while True:
-            (end, until_end), (start, until_start) = ends[i], starts[k]
-            joint = rank.get(end + start)
+            until_end, until_start = ends[i + 1], starts[k + 1]
+            joint = rank.get(ends[i] + starts[k])
             # of equal ranks the leftmost join comes first
             if joint is not None and joint < until_end and joint <= until_start:
                 return False
             if until_end <= until_start:
                 if until_end == NEVER:
                     return True
-                i += 1
+                i += 2
             else:
-                k += 1
+                k += 2
 
     def backtrack(self, text: str, first: list[int]) -> list[int]:
         """Ids of a text all of whose characters have a piece (``first``)."""

@@ -39,9 +39,11 @@ def job(name: str, oracle: str | None = None, group: str = "relational"):
 def load_all() -> dict[str, Job]:
     # Importing the modules runs their @job decorators.
     from tidewater.plans import (  # noqa: F401
+        activity,
         conversations,
         documents,
         events,
+        layout,
         pages,
         relational,
         vectors,

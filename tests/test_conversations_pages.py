@@ -53,6 +53,14 @@ def test_page_text_of_made_up_rows(spark):
         "<HEADER class='a'>x</HEADER >kept</nav> too": ("kept too", 0),
         "<head><title>t</title></head><style>p{}</style>a&lt;b<!-- <nav> -->": ("a<b", 0),
         "<a href='x'>one</a> <a class=c href=y>two</a> <a data-href=\"z\">three</a>": ("one two three", 2),
+        "<nav>left " * 6 + "a" + " left</nav>" * 6 + "kept": ("kept", 0),
+        "<nav>" * 400 + "x" + "</nav>" * 400 + "kept" + "<nav>x</nav>" * 300: ("kept", 0),
+        "<!-- <script> -->kept one<p>two</p><script>x</script> three": ("kept one two three", 0),
+        "<script>a = '<!--'</script>kept<!-- x --> too": ("kept too", 0),
+        "<!-- a --><style><!-- p{} --></style>kept": ("kept", 0),
+        "<nav>open <aside>x<nav>y</nav></aside> kept": ("open kept", 0),
+        "</nav></nav>kept<nav>x</nav>": ("kept", 0),
+        "a\x01b\x02c": ("a b c", 0),
         "": ("", 0),
         None: (None, None),
     }

@@ -63,12 +63,13 @@ MERSENNE_31 = 2147483647
 # --- pages ------------------------------------------------------------------
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 LINK = r"""(?i)<a\s+([^>]*\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# Raw-text elements end at their own closing tag, or with the page.
-RAW_TEXT = [rf"(?is)<{tag}\b[^>]*>.*?(</{tag}\s*>|\z)" for tag in ("script", "style")]
-# Elements dropped with all they hold, and how deep one may nest in itself.
+# Comments and raw-text elements in one pattern, so that the one that begins
+# first decides: a script in a comment is no script, a comment in a script no
+# comment.  Raw-text elements end at their own closing tag, or with the page.
+RAW_TAGS = ["script", "style"]
+UNREAD = "(?is)" + "|".join([r"<!--.*?-->", *(rf"<{tag}\b[^>]*>.*?(</{tag}\s*>|\z)" for tag in RAW_TAGS)])
+# Elements dropped with all they hold, however deep they nest.
 BLOCK_TAGS = ["nav", "aside", "footer", "header"]
-BLOCK_DEPTH = 4
-COMMENT = r"(?s)<!--.*?-->"
 AD_BLOCK = r"(?is)<div class=\"ad\"[^>]*>.*?</div>"
 TAG = r"<[^>]+>"
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]

@@ -18,50 +18,81 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _main_text_steps():
-    """(pattern, replacement) steps turning a page into its main text.
+#: Marks that stand for a block's opening and closing tags, so that "the
+#: innermost block" is a pattern without look-around.
+OPEN, CLOSE = "\x01", "\x02"
+_MARKS, _INNERMOST = r"[\x01\x02]", r"\x01[^\x01\x02]*\x02"
 
-    Scripts and styles go first, as a tag inside their source is no tag.  The
-    tags of each block element become two marks, so "the innermost block" is a
-    pattern without look-around; it is replaced once for every level."""
-    steps = [(r"[\x01\x02]", " "), *((pat, " ") for pat in P.RAW_TEXT), (P.COMMENT, " ")]
+
+def _marked(tag: str) -> list[tuple[str, str]]:
+    return [(rf"(?i)<{tag}\b[^>]*>", OPEN), (rf"(?i)</{tag}\s*>", CLOSE)]
+
+
+#: Steps (pattern, replacement) before and after the blocks go.
+_BEFORE = [(_MARKS, " "), (P.UNREAD, " ")]
+_AFTER = [(P.AD_BLOCK, " "), (P.TITLE, " "), (P.TAG, " "), *P.ENTITIES, (r"\s+", " "), (r"^ | $", "")]
+
+
+def _replaced(c: F.Column, steps: list[tuple[str, str]]) -> F.Column:
+    for pat, rep in steps:
+        c = F.replace(c, F.lit(pat), F.lit(rep)) if pat.startswith("&") else F.regexp_replace(c, pat, rep)
+    return c
+
+
+def _depth(c: F.Column) -> F.Column:
+    """How deep the marks of a text nest; closing marks too many don't count."""
+
+    def step(acc: F.Column, mark: F.Column) -> F.Column:
+        now = F.greatest(acc["now"] + F.when(mark == OPEN, 1).when(mark == CLOSE, -1).otherwise(0), F.lit(0))
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    marks = F.split(F.regexp_replace(c, r"[^\x01\x02]", ""), "")
+    return F.aggregate(marks, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda acc: acc["most"])
+
+
+def with_main_text(pages: DataFrame, html: str = "html", out: str = "main_text") -> DataFrame:
+    """``pages`` with ``out``, the text of ``html`` without scripts, styles,
+    comments, navigation, headers, footers and ad blocks.
+
+    Comments and scripts go first, as a tag inside them is no tag.  Blocks of
+    a kind go from the innermost outwards, as many times as they nest; tags
+    without a partner are dropped alone.  Each step is a projection of its
+    own, so no step's text is computed twice."""
+    df = pages.withColumn(out, _replaced(F.col(html), _BEFORE))
     for tag in P.BLOCK_TAGS:
-        steps += [(rf"(?i)<{tag}\b[^>]*>", "\x01"), (rf"(?i)</{tag}\s*>", "\x02")]
-        steps += [(r"\x01[^\x01\x02]*\x02", " ")] * P.BLOCK_DEPTH + [(r"[\x01\x02]", " ")]
-    steps += [(P.AD_BLOCK, " "), (P.TITLE, " "), (P.TAG, " ")]
-    steps += [(ent, ch) for ent, ch in P.ENTITIES]
-    steps += [(r"\s+", " "), (r"^ | $", "")]
-    return steps
-
-
-def _main_text_sql(col: str) -> str:
-    cur = col
-    for pat, rep in _main_text_steps():
-        cur = f"regexp_replace({cur}, {_q(pat)}, {_q(rep)}, 'g')"
-    return cur
-
-
-def main_text(col: str) -> F.Column:
-    c = F.col(col)
-    for pat, rep in _main_text_steps():
-        if pat.startswith("&"):
-            c = F.replace(c, F.lit(pat), F.lit(rep))
-        else:
-            c = F.regexp_replace(c, pat, rep)
+        df = df.withColumn(out, _replaced(F.col(out), _marked(tag)))
+        inwards = F.aggregate(F.array_repeat(F.lit(0), _depth(F.col(out))), F.col(out), lambda text, _: F.regexp_replace(text, _INNERMOST, " "))
+        df = df.withColumn(out, F.when(F.contains(F.col(out), F.lit(CLOSE)), inwards).otherwise(F.col(out)))
+        df = df.withColumn(out, F.regexp_replace(out, _MARKS, " "))
+    return df.withColumn(out, _replaced(F.col(out), _AFTER))
+
+
+def _replaced_sql(c: str, steps: list[tuple[str, str]]) -> str:
+    for pat, rep in steps:
+        c = f"regexp_replace({c}, {_q(pat)}, {_q(rep)}, 'g')"
     return c
 
 
-@job(
-    "page_text",
-    f"""
-    SELECT page_id,
-           regexp_extract(html, {_q(P.TITLE)}, 1) AS title,
-           CAST(len(regexp_extract_all(html, {_q(P.LINK)}, 0)) AS BIGINT) AS n_links,
-           {_main_text_sql('html')} AS main_text
-    FROM pages
-    """,
-    group="pages",
-)
+def _page_text_sql() -> str:
+    """Blocks go by recursion, for as long as a page has an innermost one."""
+    steps = [f"b0 AS (SELECT row_number() OVER () AS row, *, {_replaced_sql('html', _BEFORE)} AS t FROM pages)"]
+    for k, tag in enumerate(P.BLOCK_TAGS):
+        inner = _q(_INNERMOST)
+        steps += [
+            f"r{k}(row, t, round) AS (SELECT row, {_replaced_sql('t', _marked(tag))}, 0 FROM b{k} UNION ALL SELECT row, regexp_replace(t, {inner}, ' ', 'g'), round + 1 FROM r{k} WHERE regexp_matches(t, {inner}))",
+            f"b{k + 1} AS (SELECT row, {_replaced_sql('arg_max(t, round)', [(_MARKS, ' ')])} AS t FROM r{k} GROUP BY row)",
+        ]
+    last = f"b{len(P.BLOCK_TAGS)}"
+    return f"""
+    WITH RECURSIVE {", ".join(steps)}
+    SELECT b0.page_id AS page_id, regexp_extract(b0.html, {_q(P.TITLE)}, 1) AS title,
+           CAST(len(regexp_extract_all(b0.html, {_q(P.LINK)}, 0)) AS BIGINT) AS n_links,
+           {_replaced_sql(f"{last}.t", _AFTER)} AS main_text
+    FROM b0 JOIN {last} ON {last}.row = b0.row
+    """
+
+
+@job("page_text", _page_text_sql(), group="pages")
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title, number of links, and the main text with navigation, headers,
     footers, scripts, styles, comments and ad blocks removed."""
@@ -70,11 +101,11 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_text_df(pages: DataFrame) -> DataFrame:
-    return pages.select(
+    return with_main_text(pages.select("page_id", "html")).select(
         "page_id",
         F.regexp_extract("html", P.TITLE, 1).alias("title"),
         F.size(F.regexp_extract_all("html", F.lit(P.LINK), F.lit(0))).cast("bigint").alias("n_links"),
-        main_text("html").alias("main_text"),
+        "main_text",
     )
 
 

@@ -12,7 +12,7 @@ from tidewater.plans.catalog import load_all
 # after partial aggregation (one row per task)
 SINGLE_PARTITION_OK = {
     "conversation_check", "event_sequences", "events_last_day", "last_click_before_purchase",
-    "supplier_ranks", "table_contract", "value_percentiles",
+    "overlapping_activity", "supplier_ranks", "table_contract", "value_percentiles",
 }
 
 
@@ -41,6 +41,12 @@ def test_single_partition_only_where_bounded(plans):
     assert {n for n, p in plans.items() if "SinglePartition" in p} <= SINGLE_PARTITION_OK
 
 
+def test_single_partition_of_sessions_is_the_offsets(plans):
+    lines = plans["overlapping_activity"].splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert below and all("HashAggregate(keys=[_pid" in line for line in below)
+
+
 def test_scan_pushdown_and_pruning(spark):
     j = load_all()["scan_pruned"]
     text = j.build(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()

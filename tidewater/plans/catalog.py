@@ -48,6 +48,7 @@ def load_all() -> dict[str, Job]:
         relational,
         vectors,
     )
+    from tidewater.streaming import inactivity as _inactivity  # noqa: F401
     from tidewater.streaming import jobs as _streams  # noqa: F401
 
     return dict(_JOBS)

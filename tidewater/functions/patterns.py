@@ -57,6 +57,7 @@ SHINGLE_WORDS = 5
 MINHASH_BANDS = 34
 MINHASH_ROWS = 4
 NEAR_DUP_JACCARD = 0.7
+SKETCH_SHARE = 0.5  # five standard deviations of 136 values below the threshold
 DECONTAMINATION_NGRAM = 13
 MERSENNE_31 = 2147483647
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import patterns as P
 from tidewater.functions.arrays import explode_rows, posexplode_rows
 from tidewater.functions.text import jaccard, minhash_udf, tokens, with_ngrams
+from tidewater.operators.blocks import alike_in_buckets
 from tidewater.operators.graph import connected_components
 from tidewater.operators.joins import broadcast_if_small
 from tidewater.plans.catalog import job
@@ -418,6 +419,14 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
+def _shingled(docs: DataFrame) -> DataFrame:
+    """``(doc_id, sh)``: the distinct 64-bit hashes of a text's shingles."""
+    grams = with_ngrams(docs.select("doc_id", "text").filter("doc_id is not null and text is not null"), "text", P.SHINGLE_WORDS, "_g", tokens_col="_t")
+    # a text shorter than the shingle is one shingle: its whole token list
+    shingles = F.when(F.size("_t") >= P.SHINGLE_WORDS, F.col("_g")).otherwise(F.array(F.concat_ws(" ", "_t")))
+    return grams.select("doc_id", F.array_distinct(F.transform(shingles, lambda g: F.xxhash64(g))).alias("sh"))
+
+
 def near_duplicates_df(
     docs: DataFrame,
     bands: int = P.MINHASH_BANDS,
@@ -437,20 +446,20 @@ def near_duplicates_df(
        hash sets is at least ``threshold`` (``array_intersect`` /
        ``array_union``: hash-set work linear in the two texts, per edge);
     6. members of a bucket that the stars left in different components are
-       compared pair by pair, so every pair that shares a bucket is tried or
-       connected already;
+       compared by one byte a signature value, block by block inside tasks
+       (``alike_in_buckets``): only pairs whose bytes agree in
+       ``P.SKETCH_SHARE`` of the values come out, and are checked like edges;
     7. connected components over the kept edges.
 
     A pair at the threshold shares no bucket with probability
-    (1 - threshold^rows)^bands, 9e-5 for 34 bands of 4.
+    (1 - threshold^rows)^bands, 9e-5 for 34 bands of 4; its bytes agree in too
+    few values with 4e-7.  Null ids and texts take no part; empty texts (no
+    letter or digit) are copies of each other; an id given twice counts as
+    similar to all its texts' partners.
     """
     spark = docs.sparkSession
-    grams = with_ngrams(docs.select("doc_id", "text"), "text", P.SHINGLE_WORDS, "_g", tokens_col="_t")
-    # a text shorter than the shingle is one shingle: its whole token list
-    shingles = F.when(F.size("_t") >= P.SHINGLE_WORDS, F.col("_g")).otherwise(F.array(F.concat_ws(" ", "_t")))
-    hashes = F.array_distinct(F.transform(shingles, lambda g: F.xxhash64(g).bitwiseAND(F.lit(P.MERSENNE_31))))
-    sig = grams.select("doc_id", hashes.alias("sh")).select(
-        "doc_id", "sh", minhash_udf(bands * rows)(F.col("sh")).alias("sig")
+    sig = _shingled(docs).select(
+        "doc_id", "sh", minhash_udf(bands * rows)(F.transform("sh", lambda h: h.bitwiseAND(F.lit(P.MERSENNE_31)))).alias("sig")
     )
     path = scratch_path(spark, "minhash")
     sig.write.parquet(path)
@@ -461,7 +470,7 @@ def near_duplicates_df(
     nodes = sig.groupBy("same1", "same2").agg(F.min("doc_id").alias("node"), F.first("sh").alias("sh"), F.first("sig").alias("sig"))
     path = scratch_path(spark, "minhash-nodes")
     nodes.write.parquet(path)
-    nodes = spark.read.parquet(path).filter("node is not null")
+    nodes = spark.read.parquet(path)
     copies = sig.join(nodes.select("same1", "same2", "node"), ["same1", "same2"]).filter(F.col("doc_id") != F.col("node"))
     copies = copies.select(F.col("doc_id").alias("src"), F.col("node").alias("dst"))
 
@@ -490,17 +499,34 @@ def near_duplicates_df(
     found = connected_components(stars)
     member = buckets.join(found, "node", "left").select("band", "bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed = member.groupBy("band", "bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
+    member = member.join(mixed.select("band", "bucket"), ["band", "bucket"])
+    byte = F.transform("sig", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(255))), 2, "0"))
+    sketch = nodes.select("node", F.unhex(F.array_join(byte, "")).alias("sketch"))
     path = scratch_path(spark, "minhash-mixed")
-    member.join(mixed.select("band", "bucket"), ["band", "bucket"]).write.parquet(path)
+    member.join(sketch, "node").write.parquet(path)
     member = spark.read.parquet(path)
-    left = member.select("band", "bucket", F.col("node").alias("src"), F.col("component").alias("own"))
-    right = member.select("band", "bucket", F.col("node").alias("dst"), "component")
-    cross = left.join(right, ["band", "bucket"]).filter((F.col("src") > F.col("dst")) & (F.col("own") != F.col("component")))
-    edges = stars.unionByName(kept(cross.select("src", "dst"))).unionByName(copies)
+    alike = alike_in_buckets(member, ["band", "bucket"], "node", "component", "sketch", int(P.SKETCH_SHARE * bands * rows))
+    path = scratch_path(spark, "minhash-alike")
+    alike.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct().write.parquet(path)
+    edges = stars.unionByName(kept(spark.read.parquet(path))).unionByName(copies)
     comps = connected_components(edges)
     return comps.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster_id"))
 
 
-@job("near_duplicates", group="documents")
+@job(
+    "near_duplicates",
+    f"""
+    WITH RECURSIVE t AS (SELECT doc_id, {_sql_tokens('text')} AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= {P.SHINGLE_WORDS}
+            THEN list_transform(range(1, len(w) - {P.SHINGLE_WORDS - 2}), lambda i: array_to_string(w[i:i + {P.SHINGLE_WORDS - 1}], ' '))
+            ELSE [array_to_string(w, ' ')] END) AS g FROM t),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+    e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE c::DOUBLE / (nx.n + ny.n - c) >= {P.NEAR_DUP_JACCARD}),
+    r(node, root) AS (SELECT x, least(x, min(y)) FROM e GROUP BY x UNION SELECT e.x, r.root FROM r JOIN e ON e.y = r.node)
+    SELECT node AS doc_id, min(root) AS cluster_id FROM r GROUP BY node
+    """,
+    group="documents",
+)
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates_df(Tables(spark, sf_dir).documents)

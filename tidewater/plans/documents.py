@@ -458,39 +458,45 @@ def near_duplicates_df(
     similar to all its texts' partners.
     """
     spark = docs.sparkSession
-    sig = _shingled(docs).select(
-        "doc_id", "sh", minhash_udf(bands * rows)(F.transform("sh", lambda h: h.bitwiseAND(F.lit(P.MERSENNE_31)))).alias("sig")
+    shingled = _shingled(docs).select(
+        "doc_id", *[F.xxhash64(F.array_sort("sh"), F.lit(k)).alias(f"same{k}") for k in (1, 2)],
+        minhash_udf(bands * rows)(F.transform("sh", lambda h: h.bitwiseAND(F.lit(P.MERSENNE_31)))).alias("sig"),
     )
+    # what the buckets need of a document; its shingles are not kept
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(F.slice("sig", b * rows + 1, rows)))
+    byte = F.transform("sig", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(255))), 2, "0"))
     path = scratch_path(spark, "minhash")
-    sig.write.parquet(path)
+    shingled.select("doc_id", "same1", "same2", keys.alias("keys"), F.unhex(F.array_join(byte, "")).alias("sketch")).write.parquet(path)
     sig = spark.read.parquet(path)
-
-    same = [F.xxhash64(F.array_sort("sh"), F.lit(k)).alias(f"same{k}") for k in (1, 2)]
-    sig = sig.select("doc_id", *same, "sh", "sig")
-    nodes = sig.groupBy("same1", "same2").agg(F.min("doc_id").alias("node"), F.first("sh").alias("sh"), F.first("sig").alias("sig"))
+    nodes = sig.groupBy("same1", "same2").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     path = scratch_path(spark, "minhash-nodes")
     nodes.write.parquet(path)
     nodes = spark.read.parquet(path)
     copies = sig.join(nodes.select("same1", "same2", "node"), ["same1", "same2"]).filter(F.col("doc_id") != F.col("node"))
     copies = copies.select(F.col("doc_id").alias("src"), F.col("node").alias("dst"))
 
-    keyed = nodes.select(
-        "node",
-        F.posexplode(
-            F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(F.slice("sig", b * rows + 1, rows)))
-        ).alias("band", "bucket"),
-    )
+    keyed = nodes.select("node", F.posexplode("keys").alias("band", "bucket"))
     order = F.struct(F.xxhash64("node", F.pmod("band", F.lit(4))), "node")
     heads = keyed.groupBy("band", "bucket").agg(F.min(order).getField("node").alias("head"), F.count(F.lit(1)).alias("m"))
     path = scratch_path(spark, "minhash-buckets")
     keyed.join(heads.filter("m > 1").select("band", "bucket", "head"), ["band", "bucket"]).write.parquet(path)
     buckets = spark.read.parquet(path).filter(F.col("node") != F.col("head"))
-    a = nodes.select(F.col("node").alias("src"), F.col("sh").alias("sa"))
-    b = nodes.select(F.col("node").alias("dst"), F.col("sh").alias("sb"))
 
     def kept(pairs: DataFrame) -> DataFrame:
+        """Pairs whose shingle sets, cut again from the texts of the few
+        documents that occur, are near."""
+        path = scratch_path(spark, "minhash-pairs")
+        pairs.distinct().write.parquet(path)
+        pairs = spark.read.parquet(path)
+        ids = pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))).distinct()
+        path = scratch_path(spark, "minhash-shingles")
+        sets = _shingled(docs.join(broadcast_if_small(ids), "doc_id", "left_semi"))
+        sets.withColumn("h", F.xxhash64(F.array_sort("sh"))).dropDuplicates(["doc_id", "h"]).drop("h").write.parquet(path)
+        sets = spark.read.parquet(path)
+        a = sets.select(F.col("doc_id").alias("src"), F.col("sh").alias("sa"))
+        b = sets.select(F.col("doc_id").alias("dst"), F.col("sh").alias("sb"))
         near = jaccard(F.col("sa"), F.col("sb")) >= F.lit(threshold)
-        return pairs.distinct().join(a, "src").join(b, "dst").filter(near).select("src", "dst")
+        return pairs.join(a, "src").join(b, "dst").filter(near).select("src", "dst").distinct()
 
     path = scratch_path(spark, "minhash-stars")
     kept(buckets.select(F.col("node").alias("src"), F.col("head").alias("dst"))).write.parquet(path)
@@ -500,10 +506,8 @@ def near_duplicates_df(
     member = buckets.join(found, "node", "left").select("band", "bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed = member.groupBy("band", "bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
     member = member.join(mixed.select("band", "bucket"), ["band", "bucket"])
-    byte = F.transform("sig", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(255))), 2, "0"))
-    sketch = nodes.select("node", F.unhex(F.array_join(byte, "")).alias("sketch"))
     path = scratch_path(spark, "minhash-mixed")
-    member.join(sketch, "node").write.parquet(path)
+    member.join(nodes.select("node", "sketch"), "node").write.parquet(path)
     member = spark.read.parquet(path)
     alike = alike_in_buckets(member, ["band", "bucket"], "node", "component", "sketch", int(P.SKETCH_SHARE * bands * rows))
     path = scratch_path(spark, "minhash-alike")

@@ -40,6 +40,7 @@ def load_all() -> dict[str, Job]:
     # Importing the modules runs their @job decorators.
     from tidewater.plans import (  # noqa: F401
         activity,
+        audience,
         conversations,
         documents,
         events,

@@ -16,6 +16,7 @@ from tidewater.functions.arrays import explode_rows, posexplode_rows
 from tidewater.functions.text import jaccard, minhash_udf, tokens, with_ngrams
 from tidewater.operators.blocks import alike_in_buckets
 from tidewater.operators.graph import connected_components
+from tidewater.operators.heavy import heavy_hitters
 from tidewater.operators.joins import broadcast_if_small
 from tidewater.plans.catalog import job
 from tidewater.session import scratch_path
@@ -187,6 +188,26 @@ def frequent_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A token is heavy if it is more than one in so many tokens.
+HEAVY_PARTS = 1000
+
+
+@job(
+    "heavy_tokens",
+    f"""
+    WITH t AS (SELECT unnest({_sql_tokens('text')}) AS token FROM documents)
+    SELECT token, COUNT(*) AS n FROM t GROUP BY token HAVING COUNT(*) * {HEAVY_PARTS} > (SELECT COUNT(*) FROM t)
+    """,
+    group="documents",
+)
+def heavy_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens that are more than a thousandth of all tokens, with exact counts:
+    candidates from a bounded summary, then only those are counted, so the rare
+    tokens that make up a corpus's vocabulary are never shuffled."""
+    d = Tables(spark, sf_dir).documents
+    return heavy_hitters(explode_rows(d, [], tokens("text"), "token"), "token", HEAVY_PARTS)
+
+
 # --------------------------------------------------------------------------
 # quality rules
 # --------------------------------------------------------------------------

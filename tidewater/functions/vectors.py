@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 # Functions of this module travel by value: executors need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+SIGNS_AT_ONCE = 2_000_000
+
 
 def cosine_of(a: Column, b: Column) -> Column:
     """Exact cosine of two equal-length numeric arrays (a JVM expression)."""
@@ -43,13 +45,30 @@ def simhash_bands(x: np.ndarray, bands: int, bits: int, seed: int) -> np.ndarray
 
 def simhash_bands_udf(bands: int, bits: int, seed: int = 11):
     """``simhash_bands`` as an Arrow-batched pandas UDF over an array column:
-    one matrix product per batch."""
+    one matrix product per ``SIGNS_AT_ONCE`` signs."""
 
     @F.pandas_udf("array<long>")
     def _bands(vectors: pd.Series) -> pd.Series:
         if len(vectors) == 0:
             return pd.Series([], dtype=object)
         x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-        return pd.Series(list(simhash_bands(x, bands, bits, seed)))
+        # many bands: a slice of rows at a time, so that its signs stay small
+        step = max(1, SIGNS_AT_ONCE // (bands * bits))
+        return pd.Series([c for i in range(0, len(x), step) for c in simhash_bands(x[i : i + step], bands, bits, seed)])
 
     return _bands
+
+
+def sign_bytes_udf(n: int, seed: int):
+    """A sketch of ``n`` bytes, each the signs of 8 projections: two vectors at
+    angle ``t`` agree on a byte with probability ``(1 - t / pi) ** 8``."""
+
+    @F.pandas_udf("binary")
+    def _sketch(vectors: pd.Series) -> pd.Series:
+        if len(vectors) == 0:
+            return pd.Series([], dtype=object)
+        x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+        marks = np.packbits((x @ hyperplanes(x.shape[1], 8 * n, seed)) > 0, axis=1)
+        return pd.Series([m.tobytes() for m in marks])
+
+    return _sketch

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from math import acos, ceil, comb, log, log1p, log2, pi
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.arrays import posexplode_rows
-from tidewater.functions.vectors import cosine_of, simhash_bands_udf
+from tidewater.functions.vectors import cosine_of, sign_bytes_udf, simhash_bands_udf
+from tidewater.operators.blocks import alike_in_buckets
 from tidewater.operators.graph import connected_components
 from tidewater.plans.catalog import job
+from tidewater.session import scratch_path
 from tidewater.sources.tables import Tables
 
-SIMILAR_COSINE = 0.45
-# sign-random-projection LSH: bands of bits, one hyperplane per bit
-SIMHASH_BANDS = 32
-SIMHASH_BITS = 8
+SIMILAR_COSINE = 0.8
+#: A pair at the threshold shares no bucket, or too little of its sketch, with
+#: at most this probability (each).
+SIMILAR_MISS = 1e-6
+#: Unlike vectors that a bucket holds, about; its bits follow from it.
+BUCKET_ROWS = 256
+LEAST_BITS = 4
+SKETCH_BYTES = 128
 SIMHASH_SEED = 11
 
 
@@ -38,47 +46,115 @@ def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def similar_vectors_df(
-    emb: DataFrame,
-    cosine: float = SIMILAR_COSINE,
-    bands: int = SIMHASH_BANDS,
-    bits: int = SIMHASH_BITS,
-) -> DataFrame:
-    """Clusters of similar vectors: ``(vec_id, cluster_id, label)`` for every
-    vector linked to another one; ``cluster_id`` is the smallest id.
-
-    1. per vector, ``bands`` band codes of ``bits`` sign bits each (random
-       hyperplanes; one matrix product per Arrow batch);
-    2. each (band, code) bucket links its members to its smallest id -- a
-       star, so a bucket of m vectors gives m - 1 edges, never m^2 pairs, and
-       a bucket holding a third of all vectors is an equi-join, not a task;
-    3. an edge is kept if the exact cosine of its two vectors is at least
-       ``cosine``;
-    4. connected components over the kept edges.
+def usable(emb: DataFrame) -> DataFrame:
+    """``(vec_id, label, v)``: rows with an id and a vector of finite
+    components, not all zero, scaled by its largest component (so that no square
+    overflows), in double precision.  Vectors of a length other than most
+    rows' (the longer of two) are left out."""
+    x = F.transform("embedding", lambda e: e.cast("double"))
+    v = emb.filter("vec_id is not null and embedding is not null").select("vec_id", "label", x.alias("v"))
+    top = F.array_max(F.transform("v", lambda e: F.abs(e)))
+    finite = F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
+    v = v.filter(F.coalesce(finite, F.lit(False))).withColumn("top", top).filter("top > 0")
+    v = v.select("vec_id", "label", F.transform("v", lambda e: e / F.col("top")).alias("v"))
+    size = v.groupBy(F.size("v").alias("d")).count().orderBy(F.col("count").desc(), F.col("d").desc()).first()
+    return v.filter(F.size("v") == size["d"]) if size else v
+
+
+def bands_for(n: int, cosine: float) -> tuple[int, int]:
+    """Bands and bits for ``n`` vectors: enough bits that unlike vectors (which
+    agree on a bit half the time) leave about ``BUCKET_ROWS`` in a bucket, and
+    enough bands that a pair at ``cosine`` is missed with ``SIMILAR_MISS``."""
+    bits = max(LEAST_BITS, ceil(log2(max(n, 1) / BUCKET_ROWS)))
+    share = (1 - acos(cosine) / pi) ** bits
+    return ceil(log(SIMILAR_MISS) / log1p(-share)), bits
+
+
+def least_alike(cosine: float) -> int:
+    """Bytes of 8 sign bits, of ``SKETCH_BYTES``, in which a pair at ``cosine``
+    agrees but with probability ``SIMILAR_MISS``."""
+    share, below = (1 - acos(cosine) / pi) ** 8, 0.0
+    for k in range(SKETCH_BYTES + 1):
+        below += comb(SKETCH_BYTES, k) * share**k * (1 - share) ** (SKETCH_BYTES - k)
+        if below > SIMILAR_MISS:
+            return k
+    return SKETCH_BYTES
+
+
+def similar_vectors_df(emb: DataFrame, cosine: float = SIMILAR_COSINE) -> DataFrame:
+    """``(vec_id, cluster_id, label)`` of every usable row: vectors linked
+    directly or through others by a cosine of at least ``cosine`` share a
+    cluster, named by its smallest id; others are clusters of their own.
+
+    1. equal vectors (by two hashes) are one node, the smallest id;
+    2. per node, band codes of sign bits (random hyperplanes; one matrix
+       product per Arrow batch) and a sketch of 1,024 more sign bits; bits and
+       bands follow the number of nodes and the threshold (``bands_for``);
+    3. each (band, code) bucket links its members to its smallest node -- a
+       star, never all pairs -- and an edge is kept by its exact cosine;
+    4. members of a bucket that the stars left in different components are
+       compared by sketches, block by block inside tasks
+       (``alike_in_buckets``); pairs that agree in enough bytes are checked
+       like edges;
+    5. connected components over the kept edges.
+
+    A linked pair is lost with probability 2e-6 at the threshold, less above
+    it, and only if nothing else joins its ends.  Null ids, and vectors that are
+    null, zero, of another length or hold null or non-finite components, give
+    no rows; an id with several vectors is one node linked as any of them.
     """
-    v = emb.select("vec_id", "label", "embedding")
-    codes = posexplode_rows(v, ["vec_id"], simhash_bands_udf(bands, bits, SIMHASH_SEED)("embedding"), "band", "code")
-    heads = codes.groupBy("band", "code").agg(F.min("vec_id").alias("head"))
-    star = (
-        codes.join(heads, ["band", "code"])
-        .filter(F.col("vec_id") != F.col("head"))
-        .select(F.col("vec_id").alias("src"), F.col("head").alias("dst"))
-        .distinct()
-    )
-    a = v.select(F.col("vec_id").alias("src"), F.col("embedding").alias("ea"))
-    b = v.select(F.col("vec_id").alias("dst"), F.col("embedding").alias("eb"))
-    edges = (
-        star.join(a, "src")
-        .join(b, "dst")
-        .filter(cosine_of(F.col("ea"), F.col("eb")) >= F.lit(cosine))
-        .select("src", "dst")
-    )
-    comps = connected_components(edges)
-    return comps.join(v.select(F.col("vec_id").alias("node"), "label"), "node").select(
-        F.col("node").alias("vec_id"), F.col("component").alias("cluster_id"), "label"
-    )
+    spark = emb.sparkSession
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    rows = written(usable(emb).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64("v", F.lit(1))), "vectors")
+    nodes = written(rows.groupBy("h1", "h2").agg(F.min("vec_id").alias("node"), F.first("v").alias("v")), "vector-nodes")
+    copies = rows.join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).filter("vec_id <> node").select(F.col("vec_id").alias("src"), F.col("node").alias("dst"))
+
+    bands, bits = bands_for(nodes.count(), cosine)
+    codes = simhash_bands_udf(bands, bits, SIMHASH_SEED)("v")
+    keyed = posexplode_rows(nodes, ["node", "h1"], codes, "band", "code")
+    heads = keyed.groupBy("band", "code").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
+    buckets = written(keyed.join(heads, ["band", "code"]), "vector-buckets")
+
+    def kept(pairs: DataFrame) -> DataFrame:
+        a, b = nodes.select(F.col("node").alias("src"), F.col("v").alias("va")), nodes.select(F.col("node").alias("dst"), F.col("v").alias("vb"))
+        near = cosine_of(F.col("va"), F.col("vb")) >= F.lit(cosine)
+        return pairs.filter("src <> dst").distinct().join(a, "src").join(b, "dst").filter(near).select("src", "dst").distinct()
 
+    stars = written(kept(buckets.select(F.col("node").alias("src"), F.col("head").alias("dst"))), "vector-stars")
+    found = connected_components(stars)
+    member = buckets.join(found, "node", "left").select("band", "code", "node", F.coalesce("component", "node").alias("component"))
+    mixed = member.groupBy("band", "code").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
+    member = member.join(mixed.select("band", "code"), ["band", "code"])
+    sketch = nodes.select("node", sign_bytes_udf(SKETCH_BYTES, SIMHASH_SEED + 1)("v").alias("sketch"))
+    alike = alike_in_buckets(member.join(sketch, "node"), ["band", "code"], "node", "component", "sketch", least_alike(cosine))
+    near = kept(alike.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")))
+    clusters = connected_components(stars.unionByName(near).unionByName(copies))
+    return rows.join(clusters, rows["vec_id"] == clusters["node"], "left").select("vec_id", F.coalesce("component", "vec_id").alias("cluster_id"), "label")
 
-@job("similar_vectors", group="vectors")
+
+@job(
+    "similar_vectors",
+    f"""
+    WITH RECURSIVE v AS (
+      SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    ), u AS (
+      SELECT vec_id, label, v FROM v
+      WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+    ), e AS (
+      SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b
+      ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= {SIMILAR_COSINE}
+    ), r(node, root) AS (
+      SELECT vec_id, vec_id FROM u UNION SELECT e.x, r.root FROM r JOIN e ON e.y = r.node AND r.root < e.x
+    ), c AS (SELECT node, min(root) AS cluster_id FROM r GROUP BY node)
+    SELECT u.vec_id, c.cluster_id, u.label FROM u JOIN c ON c.node = u.vec_id
+    """,
+    group="vectors",
+)
 def similar_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of vectors with a cosine of at least ``SIMILAR_COSINE``."""
     return similar_vectors_df(Tables(spark, sf_dir).embeddings)

@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from tidewater.operators import blocks
 from tidewater.operators.blocks import BLOCK_ROWS, alike_in_buckets
 from tidewater.plans.documents import near_duplicates_df
 
@@ -31,6 +32,72 @@ def test_blocks_equal_all_pairs_in_a_hot_bucket(spark):
 
 def test_no_members_no_pairs(spark):
     assert _alike(spark, [], 1) == set()
+    none = spark.createDataFrame([], SCHEMA + ", sh array<long>")
+    assert blocks.groups_alike_in_buckets(none, ["band", "bucket"], "node", "grp", "sketch", 1).count() == 0
+    assert blocks.near_in_groups(none, "bucket", "node", "grp", "sketch", 1, "sh", 0.5).count() == 0
+
+
+def parts(nodes, links):
+    """Components as sets of nodes."""
+    of = {n: {n} for n in nodes}
+    for a, b in links:
+        if of[a] is not of[b]:
+            of[a] |= of[b]
+            for n in of[b]:
+                of[n] = of[a]
+    return {frozenset(p) for p in of.values()}
+
+
+def test_groups_that_meet_are_a_forest_a_task(spark):
+    """As connected as all pairs are, in far fewer rows."""
+    rng = random.Random(6)
+    sketch = {n: bytes(rng.choice((1, 2)) if n % 3 else 7 for _ in range(16)) for n in range(900)}
+    df = spark.createDataFrame([(0, 9, n, n // 2, s) for n, s in sketch.items()], SCHEMA)
+    got = [tuple(r) for r in blocks.groups_alike_in_buckets(df, ["band", "bucket"], "node", "grp", "sketch", 13).collect()]
+    want = [(a // 2, b // 2) for a, b in itertools.combinations(sketch, 2) if a // 2 != b // 2 and sum(x == y for x, y in zip(sketch[a], sketch[b])) >= 13]
+    groups = {n // 2 for n in sketch}
+    assert parts(groups, got) == parts(groups, want)
+    # two blocks meet in three tasks
+    assert len(want) > 40_000 and len(got) < 3 * len(groups)
+
+
+def test_near_members_equal_all_pairs(spark, monkeypatch):
+    """Sets just below and above the threshold, very long and empty ones, in
+    blocks by weight; a hot key and small ones."""
+    monkeypatch.setattr(blocks, "BLOCK_WEIGHT", 5000)
+    rng = random.Random(7)
+    base = [rng.getrandbits(62) for _ in range(60)]
+    sets = {n: {h if rng.random() < 0.83 else rng.getrandbits(62) for h in base} for n in range(500)}
+    sets |= {500: set(range(9000)), 501: set(range(500, 9000)), 502: set(), 503: set()}
+    key = {n: 1 if n < 400 or n >= 500 else n for n in sets}
+    df = spark.createDataFrame([(0, key[n], n, n, b"same", list(v)) for n, v in sets.items()], SCHEMA + ", sh array<long>")
+    got = [tuple(r) for r in blocks.near_in_groups(df, "bucket", "node", "grp", "sketch", 4, "sh", 0.6).collect()]
+    near = lambda x, y: not (x | y) or len(x & y) / len(x | y) >= 0.6
+    want = [(a, b) for a, b in itertools.combinations(sets, 2) if key[a] == key[b] and near(sets[a], sets[b])]
+    assert parts(sets, got) == parts(sets, want)
+    assert all(near(sets[a], sets[b]) for a, b in got)
+    assert 1000 < len(want) < 70_000 and (500, 501) in want and (502, 503) in want
+
+
+def test_copies_alike_below_the_threshold_make_no_pair_rows(spark):
+    """Edited copies that are near their source but not each other, and groups
+    of them that only meet below a bucket's head."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(250):
+        words = list(base)
+        for at in rng.sample(range(200), rng.choice((5, 9, 10))):
+            words[at] = f"x{rng.getrandbits(40)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    grams = [{tuple(w[i : i + 5]) for i in range(196)} for w in (t.split() for t in texts)]
+    links = [(a, b) for a, b in itertools.combinations(range(250), 2) if len(grams[a] & grams[b]) / len(grams[a] | grams[b]) >= 0.7]
+    want = {p for p in parts(range(250), links) if len(p) > 1}
+    found = {}
+    for r in near_duplicates_df(docs).collect():
+        found.setdefault(r.cluster_id, set()).add(r.doc_id)
+    assert {frozenset(v) for v in found.values()} == want and len(want) < 10
 
 
 def test_near_duplicates_of_odd_rows(spark):

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 512
+#: Hashes that a block holds; a longer member is a block of its own, about.
+BLOCK_WEIGHT = 400_000
 _KEY = ["k1", "k2", "i", "j"]
 
 
@@ -21,15 +23,44 @@ def alike_in_buckets(members: DataFrame, keys: list[str], node: str, group: str,
     """``(src, dst)`` of members of one bucket (two long ``keys``) whose
     ``sketch`` bytes, all of one length, agree in at least ``least`` places and
     whose ``group`` differs; a pair may come out once a bucket."""
-    m = members.select(*[F.col(c).cast("long").alias(k) for c, k in zip(keys, ("k1", "k2"))], F.col(node).alias("node"), F.col(group).alias("grp"), F.col(sketch).alias("sketch"))
-    blocks = m.groupBy("k1", "k2").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS)).cast("int").alias("n"))
+    return _dealt(_named(members, keys, node, group, sketch)).mapInArrow(_comparer(least), "src long, dst long")
+
+
+def groups_alike_in_buckets(members: DataFrame, keys: list[str], node: str, group: str, sketch: str, least: int) -> DataFrame:
+    """Like ``alike_in_buckets``, but ``(src, dst)`` are groups, and of the
+    pairs that meet in a task only those that join groups not yet joined there:
+    fewer rows than members, however many pairs agree."""
+    return _dealt(_named(members, keys, node, group, sketch)).mapInArrow(_comparer(least, forest=True), "src long, dst long")
+
+
+def near_in_groups(members: DataFrame, key: str, node: str, group: str, sketch: str, least: int, hashes: str, threshold: float) -> DataFrame:
+    """``(src, dst)`` of members with one long ``key``, of different groups,
+    whose sketches agree and whose ``hashes`` (distinct longs) have a Jaccard
+    similarity of at least ``threshold``, compared inside tasks.  Of the links
+    found in a task only those that join groups not yet joined there come out:
+    enough for components, and fewer than members."""
+    m = _named(members.withColumn("_one", F.lit(0)), [key, "_one"], node, group, sketch, F.array_sort(hashes).alias("hashes"))
+    return _dealt(m, F.size("hashes")).mapInArrow(_comparer(least, True, threshold), "src long, dst long")
+
+
+def _named(members: DataFrame, keys: list[str], node: str, group: str, sketch: str, *more) -> DataFrame:
+    return members.select(*[F.col(c).cast("long").alias(k) for c, k in zip(keys, ("k1", "k2"))], F.col(node).alias("node"), F.col(group).alias("grp"), F.col(sketch).alias("sketch"), *more)
+
+
+def _dealt(m: DataFrame, weight=None) -> DataFrame:
+    """Members in order of their block pairs; blocks hold ``BLOCK_ROWS`` rows
+    or ``BLOCK_WEIGHT`` of the weight, whichever is less, about."""
+    n = F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS))
+    if weight is not None:
+        n = F.greatest(n, F.ceil(F.sum(weight) / F.lit(BLOCK_WEIGHT)))
+    blocks = m.groupBy("k1", "k2").agg(n.cast("int").alias("n"))
     own = m.join(blocks, ["k1", "k2"]).withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("n")).cast("int"))
     met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    met = met.select("k1", "k2", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "node", "grp", "sketch")
-    return met.repartition(*_KEY).sortWithinPartitions(*_KEY).mapInArrow(_comparer(least), "src long, dst long")
+    met = met.select("k1", "k2", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), *m.columns[2:])
+    return met.repartition(*_KEY).sortWithinPartitions(*_KEY)
 
 
-def _comparer(least: int):
+def _comparer(least: int, forest: bool = False, threshold: float | None = None):
     key = list(_KEY)
 
     def compare(batches):
@@ -47,21 +78,47 @@ def _comparer(least: int):
             node, grp = t.column("node").to_numpy(), t.column("grp").to_numpy()
             second = t.column("second").to_numpy(zero_copy_only=False)
             marks = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint8).reshape(t.num_rows, -1)
+            sets = None if threshold is None else [v.values.to_numpy() for v in t.column("hashes")]
             src, dst = [], []
             for lo, hi in zip(starts[:-1], starts[1:]):
                 whole = cols[2][lo] == cols[3][lo]
                 side = second[lo:hi]
                 left = np.arange(lo, hi) if whole else lo + np.flatnonzero(~side)
                 right = left if whole else lo + np.flatnonzero(side)
+                joined = {}
+
+                def root(g):
+                    while joined.setdefault(g, g) != g:
+                        joined[g] = g = joined[joined[g]]
+                    return g
+
                 for k, a in enumerate(left):
                     b = right[k + 1 :] if whole else right
                     b = b[grp[b] != grp[a]]
                     b = b[(marks[b] == marks[a]).sum(axis=1) >= least]
+                    if forest:
+                        for other in b.tolist():
+                            ra, rb = root(grp[a]), root(grp[other])
+                            if ra == rb or (sets is not None and not near(sets[a], sets[other])):
+                                continue
+                            joined[ra] = rb
+                            named = grp if sets is None else node
+                            src.append(named[a : a + 1])
+                            dst.append(named[other : other + 1])
+                        continue
                     src.append(np.full(len(b), node[a]))
                     dst.append(node[b])
             join = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
             return pa.RecordBatch.from_arrays([pa.array(join(src)), pa.array(join(dst))], names=["src", "dst"])
 
+        def near(x, y):
+            least_set, most_set = sorted((len(x), len(y)))
+            if least_set < threshold * most_set:
+                return False
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            union = len(x) + len(y) - both
+            return union == 0 or both / union >= threshold
+
         rest = None
         for batch in batches:
             t = pa.Table.from_batches([batch])

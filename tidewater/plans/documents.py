@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import patterns as P
 from tidewater.functions.arrays import explode_rows, posexplode_rows
 from tidewater.functions.text import jaccard, minhash_udf, tokens, with_ngrams
-from tidewater.operators.blocks import alike_in_buckets
+from tidewater.operators.blocks import groups_alike_in_buckets, near_in_groups
 from tidewater.operators.graph import connected_components
 from tidewater.operators.heavy import heavy_hitters
 from tidewater.operators.joins import broadcast_if_small
@@ -467,9 +467,12 @@ def near_duplicates_df(
        hash sets is at least ``threshold`` (``array_intersect`` /
        ``array_union``: hash-set work linear in the two texts, per edge);
     6. members of a bucket that the stars left in different components are
-       compared by one byte a signature value, block by block inside tasks
-       (``alike_in_buckets``): only pairs whose bytes agree in
-       ``P.SKETCH_SHARE`` of the values come out, and are checked like edges;
+       compared by one byte a signature value, block by block inside tasks;
+       components whose members agree in ``P.SKETCH_SHARE`` of the bytes form
+       a region (a task puts out only what joins them: fewer rows than
+       members), and within regions documents of different components are
+       compared, by bytes and then by exact Jaccard, again in blocks: no pair
+       is a row before it is a link, and no task puts out more than a forest;
     7. connected components over the kept edges.
 
     A pair at the threshold shares no bucket with probability
@@ -503,17 +506,19 @@ def near_duplicates_df(
     keyed.join(heads.filter("m > 1").select("band", "bucket", "head"), ["band", "bucket"]).write.parquet(path)
     buckets = spark.read.parquet(path).filter(F.col("node") != F.col("head"))
 
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """Shingle sets cut again from the texts of the few ``doc_id``."""
+        path = scratch_path(spark, "minhash-shingles")
+        sets = _shingled(docs.join(broadcast_if_small(ids.distinct()), "doc_id", "left_semi"))
+        sets.withColumn("h", F.xxhash64(F.array_sort("sh"))).dropDuplicates(["doc_id", "h"]).drop("h").write.parquet(path)
+        return spark.read.parquet(path)
+
     def kept(pairs: DataFrame) -> DataFrame:
-        """Pairs whose shingle sets, cut again from the texts of the few
-        documents that occur, are near."""
+        """Pairs whose shingle sets are near."""
         path = scratch_path(spark, "minhash-pairs")
         pairs.distinct().write.parquet(path)
         pairs = spark.read.parquet(path)
-        ids = pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))).distinct()
-        path = scratch_path(spark, "minhash-shingles")
-        sets = _shingled(docs.join(broadcast_if_small(ids), "doc_id", "left_semi"))
-        sets.withColumn("h", F.xxhash64(F.array_sort("sh"))).dropDuplicates(["doc_id", "h"]).drop("h").write.parquet(path)
-        sets = spark.read.parquet(path)
+        sets = sets_of(pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))))
         a = sets.select(F.col("doc_id").alias("src"), F.col("sh").alias("sa"))
         b = sets.select(F.col("doc_id").alias("dst"), F.col("sh").alias("sb"))
         near = jaccard(F.col("sa"), F.col("sb")) >= F.lit(threshold)
@@ -530,10 +535,16 @@ def near_duplicates_df(
     path = scratch_path(spark, "minhash-mixed")
     member.join(nodes.select("node", "sketch"), "node").write.parquet(path)
     member = spark.read.parquet(path)
-    alike = alike_in_buckets(member, ["band", "bucket"], "node", "component", "sketch", int(P.SKETCH_SHARE * bands * rows))
-    path = scratch_path(spark, "minhash-alike")
-    alike.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")).distinct().write.parquet(path)
-    edges = stars.unionByName(kept(spark.read.parquet(path))).unionByName(copies)
+    least = int(P.SKETCH_SHARE * bands * rows)
+    # star components with members whose sketches agree make a region
+    regions = connected_components(groups_alike_in_buckets(member, ["band", "bucket"], "node", "component", "sketch", least))
+    regions = regions.select(F.col("node").alias("component"), F.col("component").alias("region"))
+    path = scratch_path(spark, "minhash-regions")
+    member.select("node", "component").distinct().join(regions, "component").write.parquet(path)
+    region = spark.read.parquet(path)
+    sets = sets_of(region.select(F.col("node").alias("doc_id"))).withColumnRenamed("doc_id", "node")
+    full = region.join(sets, "node").join(nodes.select("node", "sketch"), "node")
+    edges = stars.unionByName(near_in_groups(full, "region", "node", "component", "sketch", least, "sh", threshold)).unionByName(copies)
     comps = connected_components(edges)
     return comps.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster_id"))
 

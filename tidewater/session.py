@@ -25,6 +25,8 @@ _RUNTIME_CONF = {
     # shuffle (a map-side combine), so a user with a third of a micro-batch
     # ships a few sessions per task instead of all its events.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Rows with long arrays or texts reach Python in batches of bounded size.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 

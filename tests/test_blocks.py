@@ -107,3 +107,20 @@ def test_near_duplicates_of_odd_rows(spark):
     got = {(r.doc_id, r.cluster_id) for r in near_duplicates_df(docs).collect()}
     assert got == {(2, 2), (3, 2), (4, 4), (5, 4), (7, 7), (8, 7)}
     assert near_duplicates_df(docs.filter(F.lit(False))).count() == 0
+
+
+def test_words_agree_in_bits_as_in_all_pairs(spark, monkeypatch):
+    """Blocks of words, groups left out, a bucket of one group."""
+    monkeypatch.setattr(blocks, "PAIRS_AT_ONCE", 1000)
+    rng = random.Random(9)
+    base = [rng.getrandbits(64) for _ in range(2)]
+    near = lambda: [b ^ (rng.getrandbits(64) & rng.getrandbits(64) & rng.getrandbits(64)) for b in base]
+    words = {n: near() if n % 2 else [rng.getrandbits(64) for _ in range(2)] for n in range(300)}
+    signed = lambda v: [w - (1 << 64) if w >> 63 else w for w in v]
+    rows = [(0, 9, n, n // 4, signed(v)) for n, v in words.items()] + [(1, 3, n, 0, signed(words[n])) for n in range(50)]
+    df = spark.createDataFrame(rows, "band int, bucket long, node long, grp long, words array<long>")
+    got = blocks.alike_words_in_buckets(df, ["band", "bucket"], "node", "grp", "words", 100, 70).collect()
+    alike = lambda x, y: 128 - sum((p ^ q).bit_count() for p, q in zip(x, y)) >= 100
+    want = {(a, b) for a, b in itertools.combinations(words, 2) if a // 4 != b // 4 and alike(words[a], words[b])}
+    assert len(want) > 500 and len(got) == len(want) and {tuple(sorted(r)) for r in got} == want
+    assert blocks.alike_words_in_buckets(df.limit(0), ["band", "bucket"], "node", "grp", "words", 100, 70).count() == 0

@@ -101,3 +101,8 @@ def test_planted_duplicates_and_hot_bucket(spark):
     for i in range(20):
         assert got[1000 + i] == got[i]
     assert {got[5000 + i] for i in range(300)} == {5000}
+
+
+def test_rows_that_move_grow_with_the_vectors():
+    """Bands, rows a vector that are shuffled, stay the same over sizes."""
+    assert len({V.bands_for(n, V.SIMILAR_COSINE) for n in (500, 10_000, 100_000, 1_000_000)}) == 1

@@ -59,16 +59,22 @@ def simhash_bands_udf(bands: int, bits: int, seed: int = 11):
     return _bands
 
 
-def sign_bytes_udf(n: int, seed: int):
-    """A sketch of ``n`` bytes, each the signs of 8 projections: two vectors at
-    angle ``t`` agree on a byte with probability ``(1 - t / pi) ** 8``."""
+def sign_words_udf(n: int, seed: int):
+    """A sketch of ``n`` longs, the signs of 64 projections each: two vectors
+    at angle ``t`` agree on a bit with probability ``1 - t / pi``."""
 
-    @F.pandas_udf("binary")
+    @F.pandas_udf("array<long>")
     def _sketch(vectors: pd.Series) -> pd.Series:
         if len(vectors) == 0:
             return pd.Series([], dtype=object)
         x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
-        marks = np.packbits((x @ hyperplanes(x.shape[1], 8 * n, seed)) > 0, axis=1)
-        return pd.Series([m.tobytes() for m in marks])
+        marks = np.packbits((x @ hyperplanes(x.shape[1], 64 * n, seed)) > 0, axis=1)
+        return pd.Series(list(marks.view(np.int64)))
 
     return _sketch
+
+
+def bits_alike(a: Column, b: Column, n: int) -> Column:
+    """Bits in which two sketches of ``n`` longs agree."""
+    apart = [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(n)]
+    return F.lit(64 * n) - sum(apart[1:], apart[0])

@@ -5,7 +5,8 @@ hash into m / ``BLOCK_ROWS`` blocks, and every two blocks (and each block with
 itself) meet in one task, which compares their sketches as arrays and puts out
 only the pairs that agree: pairs are never rows before they are found alike.
 A task holds two blocks, whatever the bucket's size; a bucket with a third of
-all rows is many groups.
+all rows is many groups.  A bucket whose members are all of one group has
+nothing to compare and is left out before its rows move.
 """
 
 from __future__ import annotations
@@ -13,7 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import broadcast_if_small
+from tidewater.session import scratch_path
+
 BLOCK_ROWS = 512
+#: Sketches of words are compared so many pairs at once.
+PAIRS_AT_ONCE = 1 << 16
 #: Hashes that a block holds; a longer member is a block of its own, about.
 BLOCK_WEIGHT = 400_000
 _KEY = ["k1", "k2", "i", "j"]
@@ -26,6 +32,14 @@ def alike_in_buckets(members: DataFrame, keys: list[str], node: str, group: str,
     return _dealt(_named(members, keys, node, group, sketch)).mapInArrow(_comparer(least), "src long, dst long")
 
 
+def alike_words_in_buckets(members: DataFrame, keys: list[str], node: str, group: str, words: str, least: int, block_rows: int) -> DataFrame:
+    """Like ``alike_in_buckets``, but the sketches are ``words`` (arrays of
+    longs, all of one length) that agree in at least ``least`` bits: a few words
+    tell as much as many bytes, so rows are small and blocks may be large."""
+    m = _named(members, keys, node, group, words)
+    return _dealt(m, block_rows=block_rows).mapInArrow(_comparer(least, bits=True), "src long, dst long")
+
+
 def groups_alike_in_buckets(members: DataFrame, keys: list[str], node: str, group: str, sketch: str, least: int) -> DataFrame:
     """Like ``alike_in_buckets``, but ``(src, dst)`` are groups, and of the
     pairs that meet in a task only those that join groups not yet joined there:
@@ -47,21 +61,23 @@ def _named(members: DataFrame, keys: list[str], node: str, group: str, sketch: s
     return members.select(*[F.col(c).cast("long").alias(k) for c, k in zip(keys, ("k1", "k2"))], F.col(node).alias("node"), F.col(group).alias("grp"), F.col(sketch).alias("sketch"), *more)
 
 
-def _dealt(m: DataFrame, weight=None) -> DataFrame:
-    """Members in order of their block pairs; blocks hold ``BLOCK_ROWS`` rows
+def _dealt(m: DataFrame, weight=None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Members in order of their block pairs; blocks hold ``block_rows`` rows
     or ``BLOCK_WEIGHT`` of the weight, whichever is less, about."""
-    n = F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_ROWS))
+    n = F.ceil(F.count(F.lit(1)) / F.lit(block_rows))
     if weight is not None:
         n = F.greatest(n, F.ceil(F.sum(weight) / F.lit(BLOCK_WEIGHT)))
-    blocks = m.groupBy("k1", "k2").agg(n.cast("int").alias("n"))
-    own = m.join(blocks, ["k1", "k2"]).withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("n")).cast("int"))
+    path = scratch_path(m.sparkSession, "blocks")
+    blocks = m.groupBy("k1", "k2").agg(n.cast("int").alias("n"), F.min("grp").alias("g1"), F.max("grp").alias("g2"))
+    blocks.filter("g1 < g2").select("k1", "k2", "n").write.parquet(path)
+    own = m.join(broadcast_if_small(m.sparkSession.read.parquet(path)), ["k1", "k2"]).withColumn("own", F.pmod(F.xxhash64("node", F.lit(7)), F.col("n")).cast("int"))
     met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     met = met.select("k1", "k2", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), *m.columns[2:])
     return met.repartition(*_KEY).sortWithinPartitions(*_KEY)
 
 
-def _comparer(least: int, forest: bool = False, threshold: float | None = None):
-    key = list(_KEY)
+def _comparer(least: int, forest: bool = False, threshold: float | None = None, bits: bool = False):
+    key, at_once = list(_KEY), PAIRS_AT_ONCE
 
     def compare(batches):
         import numpy as np
@@ -77,7 +93,11 @@ def _comparer(least: int, forest: bool = False, threshold: float | None = None):
             starts = np.append(np.flatnonzero(new), t.num_rows)
             node, grp = t.column("node").to_numpy(), t.column("grp").to_numpy()
             second = t.column("second").to_numpy(zero_copy_only=False)
-            marks = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint8).reshape(t.num_rows, -1)
+            if bits:
+                flat = t.column("sketch").combine_chunks().flatten()
+                marks = flat.to_numpy().view(np.uint64).reshape(t.num_rows, -1).T
+            else:
+                marks = np.frombuffer(b"".join(t.column("sketch").to_pylist()), dtype=np.uint8).reshape(t.num_rows, -1)
             sets = None if threshold is None else [v.values.to_numpy() for v in t.column("hashes")]
             src, dst = [], []
             for lo, hi in zip(starts[:-1], starts[1:]):
@@ -85,6 +105,12 @@ def _comparer(least: int, forest: bool = False, threshold: float | None = None):
                 side = second[lo:hi]
                 left = np.arange(lo, hi) if whole else lo + np.flatnonzero(~side)
                 right = left if whole else lo + np.flatnonzero(side)
+                if bits:
+                    for a, b in agreeing(marks, left, right, whole):
+                        other = grp[a] != grp[b]
+                        src.append(node[a[other]])
+                        dst.append(node[b[other]])
+                    continue
                 joined = {}
 
                 def root(g):
@@ -111,6 +137,19 @@ def _comparer(least: int, forest: bool = False, threshold: float | None = None):
             join = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
             return pa.RecordBatch.from_arrays([pa.array(join(src)), pa.array(join(dst))], names=["src", "dst"])
 
+        def agreeing(marks, left, right, whole):
+            """Rows of the pairs that agree in enough bits, some lines of the
+            matrix of pairs at a time."""
+            lines, most = max(1, at_once // max(1, len(right))), 64 * len(marks) - least
+            for k in range(0, len(left), lines):
+                a, b = left[k : k + lines], right[k + 1 :] if whole else right
+                apart = np.zeros((len(a), len(b)), dtype=np.uint16)
+                for word in marks:
+                    apart += np.bitwise_count(word[a][:, None] ^ word[b])
+                x, y = np.nonzero(apart <= most)
+                after = y >= x if whole else slice(None)
+                yield a[x[after]], b[y[after]]
+
         def near(x, y):
             least_set, most_set = sorted((len(x), len(y)))
             if least_set < threshold * most_set:

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.arrays import posexplode_rows
-from tidewater.functions.vectors import cosine_of, sign_bytes_udf, simhash_bands_udf
-from tidewater.operators.blocks import alike_in_buckets
+from tidewater.functions.vectors import bits_alike, cosine_of, sign_words_udf, simhash_bands_udf
+from tidewater.operators.blocks import alike_words_in_buckets
 from tidewater.operators.graph import connected_components
+from tidewater.operators.joins import broadcast_if_small
 from tidewater.plans.catalog import job
 from tidewater.session import scratch_path
 from tidewater.sources.tables import Tables
@@ -19,10 +20,13 @@ SIMILAR_COSINE = 0.8
 #: A pair at the threshold shares no bucket, or too little of its sketch, with
 #: at most this probability (each).
 SIMILAR_MISS = 1e-6
-#: Unlike vectors that a bucket holds, about; its bits follow from it.
-BUCKET_ROWS = 256
-LEAST_BITS = 4
-SKETCH_BYTES = 128
+#: Unlike vectors that a bucket holds, at most about; its bits follow from it.
+#: Bits make bands, and every band is a row a vector that moves; comparing more
+#: vectors inside a task is cheaper, so bits and bands stay the same up to
+#: ``BUCKET_ROWS * 2**LEAST_BITS`` vectors.
+BUCKET_ROWS = 4096
+LEAST_BITS = 8
+SKETCH_WORDS = 8
 SIMHASH_SEED = 11
 
 
@@ -71,14 +75,14 @@ def bands_for(n: int, cosine: float) -> tuple[int, int]:
 
 
 def least_alike(cosine: float) -> int:
-    """Bytes of 8 sign bits, of ``SKETCH_BYTES``, in which a pair at ``cosine``
-    agrees but with probability ``SIMILAR_MISS``."""
-    share, below = (1 - acos(cosine) / pi) ** 8, 0.0
-    for k in range(SKETCH_BYTES + 1):
-        below += comb(SKETCH_BYTES, k) * share**k * (1 - share) ** (SKETCH_BYTES - k)
+    """Bits of the sketch in which a pair at ``cosine`` agrees but with
+    probability ``SIMILAR_MISS``."""
+    n, share, below = 64 * SKETCH_WORDS, 1 - acos(cosine) / pi, 0.0
+    for k in range(n + 1):
+        below += comb(n, k) * share**k * (1 - share) ** (n - k)
         if below > SIMILAR_MISS:
             return k
-    return SKETCH_BYTES
+    return n
 
 
 def similar_vectors_df(emb: DataFrame, cosine: float = SIMILAR_COSINE) -> DataFrame:
@@ -88,14 +92,16 @@ def similar_vectors_df(emb: DataFrame, cosine: float = SIMILAR_COSINE) -> DataFr
 
     1. equal vectors (by two hashes) are one node, the smallest id;
     2. per node, band codes of sign bits (random hyperplanes; one matrix
-       product per Arrow batch) and a sketch of 1,024 more sign bits; bits and
+       product per Arrow batch) and a sketch of 512 more sign bits; bits and
        bands follow the number of nodes and the threshold (``bands_for``);
     3. each (band, code) bucket links its members to its smallest node -- a
-       star, never all pairs -- and an edge is kept by its exact cosine;
+       star, never all pairs.  The heads, few as buckets are, go to the members,
+       and an edge whose sketches agree is kept by its exact cosine: vectors
+       move only for these;
     4. members of a bucket that the stars left in different components are
        compared by sketches, block by block inside tasks
-       (``alike_in_buckets``); pairs that agree in enough bytes are checked
-       like edges;
+       (``alike_words_in_buckets``); pairs that agree in enough bits are
+       checked like edges;
     5. connected components over the kept edges.
 
     A linked pair is lost with probability 2e-6 at the threshold, less above
@@ -115,23 +121,25 @@ def similar_vectors_df(emb: DataFrame, cosine: float = SIMILAR_COSINE) -> DataFr
     copies = rows.join(nodes.select("h1", "h2", "node"), ["h1", "h2"]).filter("vec_id <> node").select(F.col("vec_id").alias("src"), F.col("node").alias("dst"))
 
     bands, bits = bands_for(nodes.count(), cosine)
-    codes = simhash_bands_udf(bands, bits, SIMHASH_SEED)("v")
-    keyed = posexplode_rows(nodes, ["node", "h1"], codes, "band", "code")
+    sketch, codes = sign_words_udf(SKETCH_WORDS, SIMHASH_SEED + 1)("v"), simhash_bands_udf(bands, bits, SIMHASH_SEED)("v")
+    marks = written(nodes.select("node", sketch.alias("sketch"), codes.alias("codes")), "vector-codes")
+    keyed = posexplode_rows(marks, ["node", "sketch"], "codes", "band", "code")
     heads = keyed.groupBy("band", "code").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("m")).filter("m > 1").drop("m")
-    buckets = written(keyed.join(heads, ["band", "code"]), "vector-buckets")
+    heads = written(heads.join(marks.select(F.col("node").alias("head"), F.col("sketch").alias("mark")), "head"), "vector-heads")
 
     def kept(pairs: DataFrame) -> DataFrame:
         a, b = nodes.select(F.col("node").alias("src"), F.col("v").alias("va")), nodes.select(F.col("node").alias("dst"), F.col("v").alias("vb"))
         near = cosine_of(F.col("va"), F.col("vb")) >= F.lit(cosine)
         return pairs.filter("src <> dst").distinct().join(a, "src").join(b, "dst").filter(near).select("src", "dst").distinct()
 
-    stars = written(kept(buckets.select(F.col("node").alias("src"), F.col("head").alias("dst"))), "vector-stars")
-    found = connected_components(stars)
-    member = buckets.join(found, "node", "left").select("band", "code", "node", F.coalesce("component", "node").alias("component"))
-    mixed = member.groupBy("band", "code").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
-    member = member.join(mixed.select("band", "code"), ["band", "code"])
-    sketch = nodes.select("node", sign_bytes_udf(SKETCH_BYTES, SIMHASH_SEED + 1)("v").alias("sketch"))
-    alike = alike_in_buckets(member.join(sketch, "node"), ["band", "code"], "node", "component", "sketch", least_alike(cosine))
+    least = least_alike(cosine)
+    agree = bits_alike(F.col("sketch"), F.col("mark"), SKETCH_WORDS) >= F.lit(least)
+    met = keyed.join(broadcast_if_small(heads), ["band", "code"]).filter(agree)
+    stars = written(kept(met.select(F.col("node").alias("src"), F.col("head").alias("dst"))), "vector-stars")
+    found = marks.join(broadcast_if_small(connected_components(stars)), "node", "left")
+    found = found.select("node", "sketch", "codes", F.coalesce("component", "node").alias("component"))
+    member = posexplode_rows(found, ["node", "component", "sketch"], "codes", "band", "code")
+    alike = alike_words_in_buckets(member, ["band", "code"], "node", "component", "sketch", least, BUCKET_ROWS)
     near = kept(alike.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst")))
     clusters = connected_components(stars.unionByName(near).unionByName(copies))
     return rows.join(clusters, rows["vec_id"] == clusters["node"], "left").select("vec_id", F.coalesce("component", "vec_id").alias("cluster_id"), "label")

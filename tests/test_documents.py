@@ -3,12 +3,14 @@
 import itertools
 import random
 import re
+import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from tidewater.functions import patterns as P
-from tidewater.functions.text import minhash, minhash_udf
+from tidewater.functions.text import minhash, minhash_udf, mix64, set_signatures, shingle_sets
 from tidewater.plans.documents import decontaminate_df, near_duplicates_df, quality_rules_df, redact_df
 
 
@@ -150,3 +152,52 @@ def test_near_duplicates_lose_no_pair_to_other_heads(spark):
     lost = [(a, b) for a, b in pairs if a not in got or got.get(a) != got.get(b)]
     assert len(pairs) >= 300 and not lost, (len(lost), len(pairs))
     assert set(got) == {i for p in pairs for i in p}
+
+
+def test_shingle_sets_and_signatures_equal_plain_python():
+    """Empty and short texts, repeated runs, a set over several pieces."""
+    rng = random.Random(11)
+    texts = [[], [5], [], [5, 6], [rng.getrandbits(64) for _ in range(70_000)], [1, 2, 3, 4, 5], [7] * 50, [1, 2, 3, 4], [1, 2, 3, 4, 5, 6], []]
+    texts += [[rng.randrange(3) for _ in range(rng.randrange(40))] for _ in range(300)]
+    rest = 2**64 - 1
+
+    def mixed(x):
+        for _ in range(2):
+            x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & rest
+        return x ^ x >> 32
+
+    def run(words):
+        h = len(words)
+        for w in words:
+            h = mixed(h ^ w)
+        return h
+
+    want = [sorted({run(t[i : i + 5]) for i in range(len(t) - 4)} if len(t) >= 5 else {run(t)}) for t in texts]
+    assert mix64(np.array([3, rest], dtype=np.uint64)).tolist() == [mixed(3), mixed(rest)]
+    for some in (range(len(texts)), [4], [0], [1, 3], []):
+        flat = np.array([w for i in some for w in texts[i]], dtype=np.uint64)
+        hashes, lens = shingle_sets(flat, np.array([len(texts[i]) for i in some], dtype=np.int32), 5)
+        assert hashes.tolist() == [h for i in some for h in want[i]]
+        assert lens.tolist() == [len(want[i]) for i in some]
+        odd = random.Random(7)
+        got = set_signatures(hashes, lens, 8)
+        for j in range(8):
+            a = odd.getrandbits(64) | 1
+            assert got[j].tolist() == [min(a * h & rest for h in want[i]) for i in some]
+
+
+def test_a_signature_costs_less_than_a_remainder_a_value():
+    hashes = np.random.default_rng(3).integers(0, 2**63, 1_000_000).astype(np.uint64)
+    lens = np.full(2500, 400)
+    low = (hashes & np.uint64(P.MERSENNE_31)).astype(np.int64)
+
+    def remainders():
+        for j in range(16):
+            np.minimum.reduceat((low * (2 * j + 3) + j) % P.MERSENNE_31, np.arange(0, len(low), 400))
+
+    def took(f):
+        t = time.process_time()
+        f()
+        return time.process_time() - t
+
+    assert min(took(lambda: set_signatures(hashes, lens, 16)) for _ in range(5)) < min(took(remainders) for _ in range(5)) / 2

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import patterns as P
 from tidewater.functions.arrays import explode_rows, posexplode_rows
-from tidewater.functions.text import jaccard, minhash_udf, tokens, with_ngrams
+from tidewater.functions.text import long_lists, mix64, set_signatures, shingle_sets, tokens, with_ngrams
 from tidewater.operators.blocks import groups_alike_in_buckets, near_in_groups
 from tidewater.operators.graph import connected_components
 from tidewater.operators.heavy import heavy_hitters
@@ -440,12 +440,64 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
+def _word_hashes(docs: DataFrame) -> DataFrame:
+    """``(doc_id, words)``: the 64-bit hashes of a text's words, in order."""
+    from pyspark.ml.feature import RegexTokenizer
+
+    split = RegexTokenizer(inputCol="text", outputCol="_t", pattern=P.TOKEN_SPLIT, gaps=True, toLowercase=True, minTokenLength=1)
+    words = split.transform(docs.select("doc_id", "text").filter("doc_id is not null and text is not null"))
+    return words.select("doc_id", F.transform("_t", lambda w: F.xxhash64(w)).alias("words"))
+
+
+def _in_batches(docs: DataFrame, columns: dict, made) -> DataFrame:
+    """``doc_id`` and ``columns``: what ``made`` returns for the shingle sets
+    (see ``shingle_sets``) of an Arrow batch of texts."""
+    n = P.SHINGLE_WORDS
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            words = batch.column("words")
+            sets = shingle_sets(words.flatten().to_numpy().view(np.uint64), words.value_lengths().to_numpy(), n)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made(*sets)], names=["doc_id", *columns])
+
+    words = _word_hashes(docs)
+    schema = ", ".join(f"{c} {kind}" for c, kind in {"doc_id": words.schema["doc_id"].dataType.simpleString(), **columns}.items())
+    return words.mapInArrow(run, schema)
+
+
 def _shingled(docs: DataFrame) -> DataFrame:
-    """``(doc_id, sh)``: the distinct 64-bit hashes of a text's shingles."""
-    grams = with_ngrams(docs.select("doc_id", "text").filter("doc_id is not null and text is not null"), "text", P.SHINGLE_WORDS, "_g", tokens_col="_t")
-    # a text shorter than the shingle is one shingle: its whole token list
-    shingles = F.when(F.size("_t") >= P.SHINGLE_WORDS, F.col("_g")).otherwise(F.array(F.concat_ws(" ", "_t")))
-    return grams.select("doc_id", F.array_distinct(F.transform(shingles, lambda g: F.xxhash64(g))).alias("sh"))
+    """``(doc_id, sh)``: the distinct 64-bit hashes of a text's shingles,
+    ascending."""
+    return _in_batches(docs, {"sh": "array<bigint>"}, lambda hashes, lens: [long_lists(hashes, lens)])
+
+
+def _signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``(doc_id, same1, same2, keys, sketch)``: two hashes of a text's shingle
+    set, a key for each band of its MinHash signature, and a byte of each value
+    of the signature."""
+
+    def made(hashes, lens):
+        import numpy as np
+        import pyarrow as pa
+
+        begin = np.cumsum(lens) - lens
+        same = [np.add.reduceat(mix64(hashes ^ np.uint64(k)), begin) if len(lens) else hashes for k in (1, 2)]
+        sig = set_signatures(hashes, lens, bands * rows)
+        keys = np.zeros((bands, len(lens)), dtype=np.uint64)
+        for r in range(rows):
+            keys = mix64(keys ^ sig[r::rows])
+        # a minimum is small, so its bits are mixed before a byte is taken
+        sketch = np.ascontiguousarray(mix64(sig).astype(np.uint8).T)
+        return [
+            *[pa.array(v.view(np.int64)) for v in same],
+            long_lists(np.ascontiguousarray(keys.T).reshape(-1), np.full(len(lens), bands)),
+            pa.array([line.tobytes() for line in sketch], pa.binary()),
+        ]
+
+    return _in_batches(docs, {"same1": "bigint", "same2": "bigint", "keys": "array<bigint>", "sketch": "binary"}, made)
 
 
 def near_duplicates_df(
@@ -457,8 +509,8 @@ def near_duplicates_df(
     """Clusters of documents whose word 5-gram sets have Jaccard similarity
     of at least ``threshold`` (MinHash LSH).
 
-    1. per document: shingle hashes (array SQL) and a MinHash signature
-       (vectorised numpy over Arrow batches);
+    1. per document: the hashes of its words (SQL), of its shingles and a
+       MinHash signature (vectorised numpy over Arrow batches);
     2. band keys: ``bands`` hashes of ``rows`` signature values each;
     3. documents with equal shingle sets are one node from here on;
     4. each band bucket links its members to a head (the first by one of four
@@ -482,15 +534,9 @@ def near_duplicates_df(
     similar to all its texts' partners.
     """
     spark = docs.sparkSession
-    shingled = _shingled(docs).select(
-        "doc_id", *[F.xxhash64(F.array_sort("sh"), F.lit(k)).alias(f"same{k}") for k in (1, 2)],
-        minhash_udf(bands * rows)(F.transform("sh", lambda h: h.bitwiseAND(F.lit(P.MERSENNE_31)))).alias("sig"),
-    )
     # what the buckets need of a document; its shingles are not kept
-    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(F.slice("sig", b * rows + 1, rows)))
-    byte = F.transform("sig", lambda v: F.lpad(F.hex(v.bitwiseAND(F.lit(255))), 2, "0"))
     path = scratch_path(spark, "minhash")
-    shingled.select("doc_id", "same1", "same2", keys.alias("keys"), F.unhex(F.array_join(byte, "")).alias("sketch")).write.parquet(path)
+    _signed(docs, bands, rows).write.parquet(path)
     sig = spark.read.parquet(path)
     nodes = sig.groupBy("same1", "same2").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     path = scratch_path(spark, "minhash-nodes")
@@ -500,8 +546,9 @@ def near_duplicates_df(
     copies = copies.select(F.col("doc_id").alias("src"), F.col("node").alias("dst"))
 
     keyed = nodes.select("node", F.posexplode("keys").alias("band", "bucket"))
-    order = F.struct(F.xxhash64("node", F.pmod("band", F.lit(4))), "node")
-    heads = keyed.groupBy("band", "bucket").agg(F.min(order).getField("node").alias("head"), F.count(F.lit(1)).alias("m"))
+    # two longs a bucket: combined by hash; an order between structs would sort
+    order = F.xxhash64("node", F.pmod("band", F.lit(4)))
+    heads = keyed.groupBy("band", "bucket").agg(F.min_by("node", order).alias("head"), F.count(F.lit(1)).alias("m"))
     path = scratch_path(spark, "minhash-buckets")
     keyed.join(heads.filter("m > 1").select("band", "bucket", "head"), ["band", "bucket"]).write.parquet(path)
     buckets = spark.read.parquet(path).filter(F.col("node") != F.col("head"))
@@ -510,7 +557,7 @@ def near_duplicates_df(
         """Shingle sets cut again from the texts of the few ``doc_id``."""
         path = scratch_path(spark, "minhash-shingles")
         sets = _shingled(docs.join(broadcast_if_small(ids.distinct()), "doc_id", "left_semi"))
-        sets.withColumn("h", F.xxhash64(F.array_sort("sh"))).dropDuplicates(["doc_id", "h"]).drop("h").write.parquet(path)
+        sets.withColumn("h", F.xxhash64("sh")).dropDuplicates(["doc_id", "h"]).drop("h").write.parquet(path)
         return spark.read.parquet(path)
 
     def kept(pairs: DataFrame) -> DataFrame:
@@ -521,8 +568,9 @@ def near_duplicates_df(
         sets = sets_of(pairs.select(F.col("src").alias("doc_id")).unionByName(pairs.select(F.col("dst").alias("doc_id"))))
         a = sets.select(F.col("doc_id").alias("src"), F.col("sh").alias("sa"))
         b = sets.select(F.col("doc_id").alias("dst"), F.col("sh").alias("sb"))
-        near = jaccard(F.col("sa"), F.col("sb")) >= F.lit(threshold)
-        return pairs.join(a, "src").join(b, "dst").filter(near).select("src", "dst").distinct()
+        # distinct hashes, so the union needs no set of its own
+        both = pairs.join(a, "src").join(b, "dst").select("src", "dst", (F.size("sa") + F.size("sb")).alias("sizes"), F.size(F.array_intersect("sa", "sb")).alias("both"))
+        return both.filter(F.col("both") / (F.col("sizes") - F.col("both")) >= F.lit(threshold)).select("src", "dst").distinct()
 
     path = scratch_path(spark, "minhash-stars")
     kept(buckets.select(F.col("node").alias("src"), F.col("head").alias("dst"))).write.parquet(path)

@@ -440,6 +440,10 @@ def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
+#: Texts are cut into shingles so many words at a time, about.
+WORDS_AT_ONCE = 1 << 17
+
+
 def _word_hashes(docs: DataFrame) -> DataFrame:
     """``(doc_id, words)``: the 64-bit hashes of a text's words, in order."""
     from pyspark.ml.feature import RegexTokenizer
@@ -452,16 +456,21 @@ def _word_hashes(docs: DataFrame) -> DataFrame:
 def _in_batches(docs: DataFrame, columns: dict, made) -> DataFrame:
     """``doc_id`` and ``columns``: what ``made`` returns for the shingle sets
     (see ``shingle_sets``) of an Arrow batch of texts."""
-    n = P.SHINGLE_WORDS
+    n, at_once = P.SHINGLE_WORDS, WORDS_AT_ONCE
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            words = batch.column("words")
-            sets = shingle_sets(words.flatten().to_numpy().view(np.uint64), words.value_lengths().to_numpy(), n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made(*sets)], names=["doc_id", *columns])
+            lens = batch.column("words").value_lengths().to_numpy()
+            # some texts at a time: arrays are small beside a batch
+            part = (np.cumsum(lens, dtype=np.int64) - lens) // at_once
+            for rows in np.split(np.arange(len(lens)), np.flatnonzero(np.diff(part)) + 1) if len(lens) else []:
+                some = batch.slice(int(rows[0]), len(rows))
+                words = some.column("words").flatten().to_numpy().view(np.uint64)
+                sets = shingle_sets(words, lens[rows], n)
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), *made(*sets)], names=["doc_id", *columns])
 
     words = _word_hashes(docs)
     schema = ", ".join(f"{c} {kind}" for c, kind in {"doc_id": words.schema["doc_id"].dataType.simpleString(), **columns}.items())

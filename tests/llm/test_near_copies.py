@@ -2,9 +2,11 @@ import hashlib
 import math
 import tracemalloc
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,6 +275,33 @@ def test_many_copies_go_to_smaller_ids(spark):
     assert [r["vec_id"] for r in out] == list(range(101, 111)) and all(r["score"] == 0 for r in out)
 
 
+def test_graphs_are_stored_in_small_row_groups(spark, monkeypatch):
+    """However many shards a task builds, its reader holds few; each graph goes
+    to one task, once, whatever the number of query blocks."""
+    monkeypatch.setattr(graph_ann, "GROUP_BYTES", 64 << 10)
+    monkeypatch.setattr(graph_ann, "QUERIES", 16)
+    written = []
+    made = graph_ann.Written.__init__
+    monkeypatch.setattr(graph_ann.Written, "__init__", lambda self, *a, **k: (made(self, *a, **k), written.append(self.path))[0])
+    x = np.random.default_rng(4).standard_normal((1200, 16)).astype(np.float32)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        out = graph_ann.nearest(vectors(spark, [(i, v.tolist(), 0) for i, v in enumerate(x)]), F.col("vec_id") % 10 == 0, shard=50)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {q: g.sort_values("rank")["vec_id"].tolist() for q, g in out.toPandas().groupby("query_id")}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "Join" not in plan
+    files = list(Path(next(p for p in written if "ann-graphs" in p).removeprefix("file:")).glob("*.parquet"))
+    footers = [pq.read_metadata(f) for f in files]
+    groups = [(g.num_rows, g.total_byte_size) for m in footers for g in map(m.row_group, range(m.num_row_groups))]
+    assert sum(n for n, _ in groups) == 24
+    assert all(n == 1 or size < 128 << 10 for n, size in groups)
+    # the beam is wider than a shard: all pairs
+    assert got == {q: v.tolist() for q, v, _ in brute(x.astype(float), np.arange(1200), range(0, 1200, 10), 10)}
+
+
 def test_neighbours_of_odd_rows(spark):
     out = graph_ann.nearest(vectors(spark, ODD), F.col("vec_id") % 2 == 0).collect()
     assert {r["query_id"] for r in out} == {2, 10, 12}

@@ -38,6 +38,11 @@ from tidewater.llm.embedding_dedup import packed, usable
 ship(__name__)
 
 TOP, SHARD, DEGREE, ALPHA, BUILD_BEAM, BEAM, WIDTH, QUERIES = 10, 4096, 24, 1.2, 48, 96, 4, 512
+#: Shards whose graphs a worker holds at a time, at most.
+TOGETHER = 8
+#: A row group of stored graphs; the writer looks at its size after every row,
+#: not after the first hundred.
+GROUP_BYTES = 16 << 20
 
 
 def search(x: np.ndarray, norms: np.ndarray, adj: np.ndarray, entry: np.ndarray, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,39 +202,65 @@ def _graphs(nodes: DataFrame, degree: int, alpha: float, beam: int) -> DataFrame
     return nodes.groupBy("dim", "shard").applyInPandas(one, "dim int, shard long, scale double, centre binary, x binary, adj binary, entry binary, ids binary, starts binary")
 
 
-def _answers(pairs: DataFrame, top: int, beam: int) -> DataFrame:
+def _graph_files() -> dict[str, str]:
+    """Options of the writer of graphs."""
+    return {"parquet.block.size": str(GROUP_BYTES), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
+
+
+def _answers(graphs: DataFrame, visits: DataFrame, parts: int, top: int, beam: int) -> DataFrame:
+    """The ``top`` nearest in each group of shards of the queries that visit it.
+    Both frames have ``dim`` and ``group``; a worker holds the graphs of one
+    group and one block of queries."""
+
+    def graph(r: dict) -> tuple:
+        x = np.frombuffer(r["x"]).reshape(-1, r["dim"])
+        centre = np.frombuffer(r["centre"])
+        small = placed(x, centre, r["scale"])
+        adj = np.frombuffer(r["adj"], np.int32).reshape(len(x) + 1, -1).astype(np.int64)
+        ids, starts = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["starts"], np.int64)
+        return x, centre, r["scale"], small, (small * small).sum(axis=1), adj, np.frombuffer(r["entry"], np.int32).astype(np.int64), ids, starts
+
+    def answer(held: tuple, qid: np.ndarray, part: np.ndarray) -> list[tuple]:
+        x, centre, scale, small, norms, adj, entry, ids, starts = held
+        out = []
+        for i, own in enumerate(search(small, norms, adj, entry, placed(part, centre, scale), beam)[0]):
+            own = own[own >= 0]
+            d = np.sqrt(((x[own] - part[i]) ** 2).sum(axis=1))
+            v = np.concatenate([ids[starts[j] : starts[j + 1]] for j in own.tolist()])
+            d = np.repeat(d, starts[own + 1] - starts[own])
+            keep = v != qid[i]
+            out.append((v[keep], d[keep]))
+        return out
+
     def run(batches):
         import pyarrow as pa
 
+        key, held = None, []
         for batch in batches:
             for k in range(batch.num_rows):
                 r = batch.slice(k, 1).to_pylist()[0]
-                dim, scale = r["dim"], r["scale"]
-                x = np.frombuffer(r["x"]).reshape(-1, dim)
-                centre = np.frombuffer(r["centre"])
-                small = placed(x, centre, scale)
-                adj = np.frombuffer(r["adj"], np.int32).reshape(len(x) + 1, -1).astype(np.int64)
-                ids, starts = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["starts"], np.int64)
-                qid, q = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["q_x"]).reshape(-1, dim)
-                norms = (small * small).sum(axis=1)
+                if key != (r["dim"], r["group"]):
+                    key, held = (r["dim"], r["group"]), []
+                if r["q_ids"] is None:
+                    held.append(graph(r))
+                    continue
+                qid, q = np.frombuffer(r["q_ids"], np.int64), np.frombuffer(r["q_x"]).reshape(-1, r["dim"])
                 out_q, out_v, out_d = [], [], []
-                for at in range(0, len(q), 128):
-                    part = q[at : at + 128]
-                    found, _ = search(small, norms, adj, np.frombuffer(r["entry"], np.int32).astype(np.int64), placed(part, centre, scale), beam)
-                    for i, own in enumerate(found):
-                        own = own[own >= 0]
-                        d = np.sqrt(((x[own] - part[i]) ** 2).sum(axis=1))
-                        v = np.concatenate([ids[starts[j] : starts[j + 1]] for j in own.tolist()])
-                        d = np.repeat(d, starts[own + 1] - starts[own])
-                        keep = v != qid[at + i]
-                        v, d = v[keep], d[keep]
+                for at in range(0, len(q) if held else 0, 128):
+                    own, part = qid[at : at + 128], q[at : at + 128]
+                    for i, met in enumerate(zip(*[answer(g, own, part) for g in held], strict=True)):
+                        v, d = (np.concatenate(c) for c in zip(*met, strict=True))
                         best = np.lexsort((v, d))[:top]
-                        out_q += [qid[at + i]] * len(best)
+                        out_q += [own[i]] * len(best)
                         out_v += v[best].tolist()
                         out_d += d[best].tolist()
                 yield pa.RecordBatch.from_arrays([pa.array(out_q, pa.int64()), pa.array(out_v, pa.int64()), pa.array(out_d, pa.float64())], ["query_id", "vec_id", "score"])
 
-    return pairs.mapInArrow(run, "query_id long, vec_id long, score double")
+    rows = graphs.drop("shard").unionByName(visits, allowMissingColumns=True)
+    # groups are numbered in a row, so partitions get equally many
+    rows = rows.repartitionById(parts, F.pmod(F.col("group") + F.xxhash64("dim"), F.lit(parts)).cast("int"))
+    rows = rows.sortWithinPartitions("dim", "group", F.col("q_ids").isNotNull())
+    return rows.mapInArrow(run, "query_id long, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", top: int = TOP, shard: int = SHARD, degree: int = DEGREE, alpha: float = ALPHA, build_beam: int = BUILD_BEAM, beam: int = BEAM) -> DataFrame:
@@ -240,8 +271,10 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_co
     nodes = Written(_nodes(rows, top), "ann-nodes").df
     total = nodes.select("h1", "h2").distinct().count()
     shards = max(1, -(-total // shard))
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("h1", "h2", F.lit(6)), F.lit(shards)))
-    graphs = Written(_graphs(dealt, degree, alpha, build_beam), "ann-graphs").df
+    # a shard is long work on few bytes: partitions stay as many as the session has
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("h1", "h2", F.lit(6)), F.lit(shards))).repartition(parts, "dim", "shard")
+    graphs = Written(_graphs(dealt, degree, alpha, build_beam), "ann-graphs", options=_graph_files()).df
 
     def pack(pdf):
         import pandas as pd
@@ -254,7 +287,9 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_co
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(8)), F.lit(blocks)))
     asked = asked.groupBy("dim", "block").applyInPandas(pack, "dim int, q_ids binary, q_x binary")
     # every block of queries visits every shard
-    visits = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    together = max(1, min(TOGETHER, shards // (2 * parts)))
+    groups = -(-shards // together)
+    visits = asked.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    found = _answers(graphs.join(visits, ["dim", "shard"]), top, beam)
+    found = _answers(graphs.withColumn("group", F.floor(F.col("shard") / together).cast("long")), visits, parts, top, beam)
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
